@@ -1,0 +1,29 @@
+"""Join strategy helpers: broadcast only behind a proven size bound.
+
+``broadcast_if_bounded`` proves the bound with ``limit(n + 1).count()``, a job
+that stops after ``n + 1`` rows, so it stays cheap even when the side turns
+out to be large. Beyond the bound the join is left to Spark: a sort-merge join
+on the keys, which AQE may still turn into a broadcast from runtime sizes, and
+whose skewed partitions AQE splits (``spark.sql.adaptive.skewJoin.enabled``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension tables (locations, local hours) grow with the monitoring network and
+# the calendar, not with the number of readings; one million narrow rows is a
+# few tens of MB per executor.
+DIM_BROADCAST_ROWS = 1_000_000
+
+
+def row_bound(df: DataFrame, max_rows: int) -> int | None:
+    """Row count if it is at most ``max_rows``, else None."""
+    n = df.limit(max_rows + 1).count()
+    return n if n <= max_rows else None
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int, known_rows: int | None = None) -> DataFrame:
+    n = known_rows if known_rows is not None else row_bound(df, max_rows)
+    return F.broadcast(df) if n is not None and n <= max_rows else df
