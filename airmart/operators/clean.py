@@ -96,9 +96,13 @@ def flatten_payload(raw: DataFrame, lenient: bool = False) -> DataFrame:
 
 
 def latest_file_order() -> list[Column]:
-    """D8: load time descending with NULLs first, then deterministic tie-breakers."""
+    """D8: load time descending with NULLs first, then deterministic tie-breakers.
+
+    Copy time and file name break ties between files; the content hash breaks
+    ties between readings of one JSON Lines file (same name and load time).
+    """
     return [F.col("_stg_file_load_ts").desc_nulls_first(), F.col("_copy_data_ts").desc_nulls_first(),
-            F.col("_stg_file_name").desc_nulls_first()]
+            F.col("_stg_file_name").desc_nulls_first(), F.col("_stg_file_md5").desc_nulls_first()]
 
 
 def dedup_latest_file(flat: DataFrame) -> DataFrame:

@@ -122,7 +122,7 @@ flat AS (
 clean AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY measurement_epoch, location_name, latitude, longitude
-      ORDER BY _stg_file_load_ts DESC NULLS FIRST, _copy_data_ts DESC NULLS FIRST, _stg_file_name DESC NULLS FIRST) AS rn
+      ORDER BY _stg_file_load_ts DESC NULLS FIRST, _copy_data_ts DESC NULLS FIRST, _stg_file_name DESC NULLS FIRST, _stg_file_md5 DESC NULLS FIRST) AS rn
     FROM flat) WHERE rn = 1
 )"""
     keys = "hl, hu, country, city, district, location_name, region, latitude, longitude, timezone_id"
