@@ -73,7 +73,8 @@ def _wh(fn):
 
 
 def _clean_rows(wh: Warehouse) -> DataFrame:
-    return clean(wh.raw)
+    """The clean table (``clean_aqi_dt``), as the reference's consumers and tests read it."""
+    return wh.clean
 
 
 def _metric(fn, alias):
@@ -124,7 +125,7 @@ SPARK: dict[str, Callable[[Warehouse], DataFrame]] = {
     "landing_keys": _landing_keys,
     "flatten_payload": lambda wh: flatten_payload(wh.raw),
     "path_attrs": _path_attrs,
-    "dedup_latest_file": _clean_rows,
+    "dedup_latest_file": lambda wh: clean(wh.raw),
     "hourly_rollup": lambda wh: hourly_rollup(_clean_rows(wh)),
     "consumption": lambda wh: wh.consumption,
     "format_location_name": _format_names,

@@ -10,6 +10,8 @@ Layout (each a folder under the build root):
 
 * ``raw_aqi``            landing table, VARIANT payload (unpartitioned here;
                           landing files themselves are partitioned by path)
+* ``clean_aqi``          deduplicated readings, partitioned by ``utc_date`` of
+                          the measurement
 * ``aqi_consumption``    hourly layer, partitioned by ``utc_date``
 * ``air_quality_fact``   partitioned by ``utc_date``
 * ``date_dim``, ``location_dim``   small, unpartitioned; row counts observed
@@ -29,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import clean
+from ..operators.clean import CLEAN_COLUMNS, clean
 from ..operators.consumption import CONSUMPTION_COLUMNS, build_consumption
 from ..operators.star import FACT_COLUMNS, Star, air_quality_fact, date_dim, location_dim
 
@@ -70,6 +72,10 @@ class Warehouse:
     def raw(self) -> DataFrame:
         return self.table("raw_aqi")
 
+    @property
+    def clean(self) -> DataFrame:
+        return self.table("clean_aqi").select(*CLEAN_COLUMNS)
+
     @property
     def consumption(self) -> DataFrame:
         return self.table("aqi_consumption").select(*CONSUMPTION_COLUMNS)
@@ -91,10 +97,12 @@ def build_star_tables(spark: SparkSession, cons: DataFrame, root: str, mode: str
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str, arg_scale: int | None = None) -> Warehouse:
-    """Landing rows -> raw table -> clean -> hourly consumption -> star, all materialized."""
+    """Landing rows -> raw table -> clean table -> hourly consumption -> star, all materialized."""
     write_table(raw, f"{root}/raw_aqi")
     raw_t = spark.read.parquet(f"{root}/raw_aqi")
-    cons = build_consumption(clean(raw_t), arg_scale=arg_scale)
+    write_table(with_utc_date(clean(raw_t), "measurement_ts"), f"{root}/clean_aqi", partition_by=UTC_DATE)
+    clean_t = spark.read.parquet(f"{root}/clean_aqi").select(*CLEAN_COLUMNS)
+    cons = build_consumption(clean_t, arg_scale=arg_scale)
     write_table(with_utc_date(cons, "aqi_timestamp_utc"), f"{root}/aqi_consumption", partition_by=UTC_DATE)
     cons_t = spark.read.parquet(f"{root}/aqi_consumption").select(*CONSUMPTION_COLUMNS)
     rows = build_star_tables(spark, cons_t, root)

@@ -11,7 +11,8 @@ checkpointed log is the load history) and, per micro-batch, in
    handful per batch, so bounded; no extra job);
 3. recomputes clean -> hourly for exactly those dates from all raw rows of
    those dates (partition pruning) and dynamically overwrites those
-   ``utc_date`` partitions of the consumption table and the fact;
+   ``utc_date`` partitions of the clean table, the consumption table and the
+   fact;
 4. recomputes both dimensions from the consumption table (a narrow scan).
 
 Every dedup key and every hourly group lies in one UTC date (both contain the
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefn import ntz_from_epoch
-from ..operators.clean import clean
+from ..operators.clean import CLEAN_COLUMNS, clean
 from ..operators.consumption import CONSUMPTION_COLUMNS, build_consumption
 from ..operators.star import air_quality_fact, date_dim, location_dim
 from ..plans.warehouse import UTC_DATE, Warehouse, with_utc_date
@@ -84,7 +85,11 @@ class IncrementalMart:
             return
         raw = self.spark.read.parquet(self.path("raw_aqi"))
         affected = raw.where(_date_filter(M_DATE, dates)).select(*RAW_COLUMNS)
-        cons = build_consumption(clean(affected), arg_scale=self.arg_scale)
+        (with_utc_date(clean(affected), "measurement_ts").hint("rebalance", UTC_DATE).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(UTC_DATE).parquet(self.path("clean_aqi")))
+        clean_new = (self.spark.read.parquet(self.path("clean_aqi")).where(_date_filter(UTC_DATE, dates))
+                     .select(*CLEAN_COLUMNS))
+        cons = build_consumption(clean_new, arg_scale=self.arg_scale)
         (with_utc_date(cons, "aqi_timestamp_utc").hint("rebalance", UTC_DATE).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(UTC_DATE).parquet(self.path("aqi_consumption")))
         cons_all = self.spark.read.parquet(self.path("aqi_consumption"))
