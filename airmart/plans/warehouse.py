@@ -4,7 +4,7 @@ Layers are written as parquet tables under the shared folder named by
 ``spark.checkpoint.dir`` and read back, which cuts lineage (a lost executor
 costs a re-read of the table, not a recompute from the landing files) and
 gives the serving queries the small plans the reference gets from its
-dynamic tables.
+incrementally maintained tables.
 
 Layout (each a folder under the build root):
 
