@@ -14,12 +14,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.agg import round_avg
 from ..functions.timefn import boundary_diff
-from .clean import flatten_payload, latest_file_order
+from .clean import flatten_payload
 from .star import Star
 
 CHECK_SCHEMA = "test_name string, result string, metric double"
@@ -230,31 +230,53 @@ def key_integrity(star: Star) -> DataFrame:
 NULL_RULE_FIELDS = ("measurement_epoch", "location_name", "latitude", "longitude")
 
 
+def _order_key() -> Column:
+    """W-1's ordering as one comparable struct: the greatest struct is the winning file.
+
+    Each field is preceded by its null flag so that NULL sorts first in the
+    descending order (``desc_nulls_first``), as in ``latest_file_order``.
+    """
+    parts = []
+    for c in ("_stg_file_load_ts", "_copy_data_ts", "_stg_file_name", "_stg_file_md5"):
+        parts += [F.col(c).isNull().alias(f"{c}_null"), F.col(c).alias(c)]
+    return F.struct(*parts)
+
+
+DEDUP_KEYS = ("measurement_epoch", "location_name", "latitude", "longitude")
+
+
 def tag_validity(raw: DataFrame, check_nulls: bool = True, check_duplicates: bool = True,
                  check_ranges: bool = True) -> DataFrame:
-    """Flattened readings with a ``reasons`` column ('' when valid); see ``split_valid``."""
-    flat = flatten_payload(raw, lenient=True)
+    """Flattened readings with a ``reasons`` column ('' when valid); see ``split_valid``.
+
+    A duplicate is a reading that ranks below the winner of its dedup key. The
+    winner's ordering struct comes from a partial+final aggregate (a hot key is
+    collapsed map-side) and is joined back on the key; a window over all rows of
+    a key would sort a hot key in one task.
+    """
+    flat = flatten_payload(raw, lenient=True).withColumn("_order", _order_key())
     reasons = []
     if check_nulls:
         reasons.append(F.when(_any_null(NULL_RULE_FIELDS), F.lit("null")))
     if check_duplicates:
-        w = Window.partitionBy("measurement_epoch", "location_name", "latitude", "longitude").orderBy(
-            *latest_file_order())
-        flat = flat.withColumn("_rank", F.row_number().over(w))
-        reasons.append(F.when(F.col("_rank") > 1, F.lit("duplicate")))
+        best = flat.groupBy(*DEDUP_KEYS).agg(F.max("_order").alias("_best"))
+        cond = [flat[k].eqNullSafe(best[k]) for k in DEDUP_KEYS]
+        flat = flat.join(best, cond, "left").select(flat["*"], best["_best"])
+        reasons.append(F.when(F.col("_order") < F.col("_best"), F.lit("duplicate")))
     if check_ranges:
         reasons.append(F.when(range_violation(), F.lit("range")))
     tagged = flat.withColumn("reasons", F.concat_ws(",", *reasons) if reasons else F.lit(""))
-    return tagged.drop("_rank") if check_duplicates else tagged
+    return tagged.drop("_order", "_best")
 
 
 def split_valid(raw: DataFrame, **rules) -> tuple[DataFrame, DataFrame]:
     """Q-14: (accepted, rejected) readings; rejected rows carry their reasons.
 
     Values are read leniently (an uncastable value becomes NULL and fails the
-    null rule instead of the query). A duplicate is any reading that is not
-    the latest file of its dedup key (W-1's ordering). Write both sides from a
-    checkpointed ``tag_validity`` when they are both materialized.
+    null rule instead of the query). A duplicate is any reading that ranks
+    below the latest file of its dedup key (W-1's ordering); exact copies of the
+    winner in the same file are all accepted. Write both sides from one
+    materialized ``tag_validity`` when both are kept.
     """
     tagged = tag_validity(raw, **rules)
     return tagged.where(F.col("reasons") == ""), tagged.where(F.col("reasons") != "")
