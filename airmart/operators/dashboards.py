@@ -18,7 +18,8 @@ from ..functions.agg import round_avg
 from ..functions.metrics import aqi_band, freshness_status
 from ..functions.timefn import boundary_diff, hour_label
 from .star import Star
-from .views import daily_city_agg_rows, latest_district_aqi
+from .views import (daily_city_agg_rows, daily_district_aqi, hourly_city_agg, hourly_district_detail,
+                    latest_district_aqi)
 
 POLLUTANT_COLUMNS = {"PM2.5": "pm25_avg", "PM10": "pm10_avg", "SO2": "so2_avg", "NO2": "no2_avg",
                      "CO": "co_avg", "O3": "o3_avg"}
@@ -181,3 +182,23 @@ def freshness(star: Star, now, display_tz: str = "UTC") -> DataFrame:
     out = latest.select(shown.alias("latest_reading"),
                         boundary_diff("MINUTE", shown, now_col).alias("minutes_old"))
     return out.withColumn("status", freshness_status("minutes_old"))
+
+
+# Page queries for one selected local day: the fact is pruned to that day's UTC-date partitions first.
+
+def city_day_series(star: Star, country: str, city: str, date, pollutant: str | None = None) -> DataFrame:
+    """Page 2: hourly series of one city and local day (B-3 on a pruned star)."""
+    return city_hourly_series(hourly_city_agg(star.for_local_dates(date)), country, city, date, pollutant)
+
+
+def district_day_series(star: Star, country: str, city: str, district: str, date,
+                        pollutant: str | None = None) -> DataFrame:
+    """Page 3: hourly series of one district and local day (B-4 on a pruned star)."""
+    return district_hourly_series(hourly_district_detail(star.for_local_dates(date)), country, city, district,
+                                  date, pollutant)
+
+
+def city_day_map(star: Star, country: str, city: str, date) -> tuple[DataFrame, DataFrame]:
+    """Page 4: district rows and their summary for one city and local day (B-5, A-9 on a pruned star)."""
+    daily = daily_district_aqi(star.for_local_dates(date))
+    return map_rows(daily, country, city, date), map_summary(daily, country, city, date)

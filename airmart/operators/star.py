@@ -7,6 +7,7 @@ task); the fact is a narrow projection with hash keys and needs no shuffle.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -77,6 +78,23 @@ class Star:
             self.rows[name] = n if n is not None else DIM_BROADCAST_ROWS + 1
         return broadcast_if_bounded(df, DIM_BROADCAST_ROWS, known_rows=self.rows[name])
 
+    def for_local_dates(self, first, last=None) -> "Star":
+        """Facts of local days ``first..last`` only, pruned to the UTC-date partitions that can hold them.
+
+        Zone offsets lie within -12h..+14h, so a local day's hours fall in UTC
+        dates day-1..day+1; when the fact carries its ``utc_date`` partition
+        column that range becomes a partition filter (only three date folders
+        are listed and read per day), and the exact local-day predicate is
+        applied on top.
+        """
+        first = _as_date(first)
+        last = _as_date(last) if last is not None else first
+        f = self.fact
+        if "utc_date" in f.columns:
+            f = f.where(F.col("utc_date").between(F.date_sub(F.lit(first), 1), F.date_add(F.lit(last), 1)))
+        f = f.where(F.to_date(F.col("local_timestamp")).between(F.lit(first), F.lit(last)))
+        return Star(f, self.date_dim, self.location_dim, rows=self.rows)
+
     def fact_location(self) -> DataFrame:
         """``fact f JOIN location_dim l ON f.location_fk = l.location_pk`` (J-1)."""
         f, loc = self.fact.alias("f"), self.dim("location_dim").alias("l")
@@ -88,5 +106,9 @@ class Star:
         return self.fact_location().join(d, F.col("f.date_fk") == F.col("d.date_pk"))
 
 
+def _as_date(v):
+    return _dt.date.fromisoformat(v) if isinstance(v, str) else v
+
+
 def star_from_consumption(cons: DataFrame) -> Star:
     return Star(air_quality_fact(cons), date_dim(cons), location_dim(cons))

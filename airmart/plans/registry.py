@@ -114,7 +114,7 @@ def _dims(name, key):
 
 
 def _fact(wh):
-    return wh.star.fact.drop("aqi_pk", "date_fk", "location_fk")
+    return wh.star.fact.drop("aqi_pk", "date_fk", "location_fk", "utc_date")
 
 
 def _quality(wh):

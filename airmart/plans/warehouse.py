@@ -82,7 +82,8 @@ class Warehouse:
 
     @property
     def star(self) -> Star:
-        return Star(self.table("air_quality_fact").select(*FACT_COLUMNS), self.table("date_dim"),
+        # utc_date (the partition column) stays on the fact so date-bounded pages can prune partitions.
+        return Star(self.table("air_quality_fact").select(*FACT_COLUMNS, UTC_DATE), self.table("date_dim"),
                     self.table("location_dim"), rows=dict(self.rows))
 
 

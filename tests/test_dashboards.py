@@ -60,3 +60,20 @@ def test_top_cities_is_the_latest_day_of_the_daily_view(spark):
     expect = sorted((r for r in daily if r.measurement_date == latest), key=lambda r: (-r.aqi, r.country, r.city))
     got = dash.top_cities(star).collect()
     assert [(r.country, r.city, r.aqi) for r in got] == [(r.country, r.city, r.aqi) for r in expect[:10]]
+
+
+def test_day_pages_prune_utc_partitions_and_match(spark):
+    star = warehouse_for(spark, SF_SMALL).star
+    detail = v.hourly_district_detail(star)
+    pick = detail.orderBy("country", "city", "district", "measurement_time").first()
+    day = pick.measurement_time.date()
+    full = dash.district_hourly_series(detail, pick.country, pick.city, pick.district, day).collect()
+    pruned_df = dash.district_day_series(star, pick.country, pick.city, pick.district, day)
+    assert pruned_df.collect() == full
+    plan = pruned_df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(utc_date" in plan
+    rows, summary = dash.city_day_map(star, pick.country, pick.city, day)
+    assert rows.collect() == dash.map_rows(v.daily_district_aqi(star), pick.country, pick.city, day).collect()
+    assert summary.count() == 1
+    series = dash.city_day_series(star, pick.country, pick.city, day, "PM2.5").collect()
+    assert len(series) > 0
