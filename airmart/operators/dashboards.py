@@ -69,6 +69,17 @@ def filter_values(view: DataFrame, level: str, **parents) -> DataFrame:
     return df.select(*keep).distinct().orderBy(*order)
 
 
+def latest_local_day(star: Star) -> DataFrame:
+    """One row: the latest local day with facts.
+
+    Read from the fact alone: every fact joins both dimensions (they are
+    distinct projections of the same hourly table, which ``key_integrity``
+    checks), so the day equals ``MAX(measurement_date)`` of the joined view
+    without re-joining the dimensions.
+    """
+    return star.fact.agg(F.max(F.to_date("local_timestamp")).alias("_latest_day"))
+
+
 def top_cities(star: Star, n: int = 10) -> DataFrame:
     """B-1: the ``n`` cities with the highest AQI on the latest local day.
 
@@ -77,8 +88,8 @@ def top_cities(star: Star, n: int = 10) -> DataFrame:
     day's rows reach the shuffle. Ties order by country, city (D20).
     """
     j = star.fact_location_date()
-    latest = j.agg(F.max(F.to_date(F.col("f.local_timestamp"))).alias("_latest_day"))
-    day = j.join(F.broadcast(latest), F.to_date(F.col("f.local_timestamp")) == F.col("_latest_day"))
+    day = j.join(F.broadcast(latest_local_day(star)),
+                 F.to_date(F.col("f.local_timestamp")) == F.col("_latest_day"))
     agg = daily_city_agg_rows(day)
     return (agg.select("country", "city", "pm25_avg", "pm10_avg", "so2_avg", "no2_avg", "co_avg", "o3_avg",
                        "prominent_pollutant", "aqi")
@@ -153,8 +164,7 @@ def home_metrics(star: Star) -> DataFrame:
 
     Four global aggregates, each a single row, cross-joined (bounded 1x1).
     """
-    j = star.fact_location_date()
-    latest = j.agg(F.max(F.to_date(F.col("f.local_timestamp"))).cast("string").alias("latest_date"))
+    latest = latest_local_day(star).select(F.col("_latest_day").cast("string").alias("latest_date"))
     loc = star.location_dim.agg(F.count_distinct("city").alias("city_count"),
                                 F.count_distinct("district").alias("district_count"))
     cur = latest_district_aqi(star).agg(round_avg("aqi", 0).alias("avg_aqi"))

@@ -119,7 +119,9 @@ def location_hierarchy(star: Star) -> DataFrame:
 
     ``COUNT(DISTINCT ..) OVER`` is not a Spark window, and it is the same value
     per key as an aggregate: facts are aggregated per ``location_fk`` first
-    (partial aggregate, no fan-out) and left-joined to the dimension.
+    (partial aggregate, no fan-out) and left-joined to the dimension. The
+    reference's ``SELECT DISTINCT`` needs no shuffle here: dimension rows are
+    distinct and the statistics hold one row per key, so joined rows are too.
     """
     stats = (star.fact.groupBy("location_fk")
              .agg(F.count_distinct(F.to_date("local_timestamp")).alias("days_with_data"),
@@ -129,6 +131,5 @@ def location_hierarchy(star: Star) -> DataFrame:
     return (j.select("country", "city", "district", "location_name", "region", "timezone_id", "latitude",
                      "longitude", F.coalesce(F.col("days_with_data"), F.lit(0)).alias("days_with_data"),
                      "latest_reading_time")
-            .distinct()
             .orderBy(F.col("country").asc_nulls_last(), F.col("city").asc_nulls_last(),
                      F.col("district").asc_nulls_last()))
