@@ -286,3 +286,11 @@ def split_valid_report(raw: DataFrame) -> DataFrame:
     """Every reading with its validity and reasons (the registered form of Q-14), one pass."""
     return tag_validity(raw).select("measurement_epoch", "location_name", "_stg_file_name", "reasons",
                                     (F.col("reasons") == "").alias("is_valid"))
+
+
+def table_checks(spark, names=("raw_aqi", "clean_aqi_dt", "aqi_consumption_dt", "date_dim", "location_dim",
+                               "air_quality_fact")):
+    """Q-1 existence part: one row per expected table or view (catalog metadata, no data read)."""
+    rows = [(f"Exists: {n}", "PASS" if spark.catalog.tableExists(n) else "FAIL", 1.0 if spark.catalog.tableExists(n)
+             else 0.0) for n in names]
+    return spark.createDataFrame(rows, CHECK_SCHEMA)

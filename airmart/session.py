@@ -50,6 +50,30 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int,
+                     target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized for a large input (e.g. 100 TB of landing JSON on 1,000 executors).
+
+    * scan splits of ``target_partition_bytes`` (``files.maxPartitionBytes``),
+    * an initial shuffle width of one partition per target size of input, never
+      below 3x the task slots, which AQE then coalesces to the advisory size,
+    * skew handling on: a partition more than 5x the median and over 1 GB is
+      split (joins) and ``rebalance`` writes split hot output partitions.
+    Apply at session build time (``get_session(extra=cluster_settings(...))``).
+    """
+    slots = executors * cores_per_executor
+    initial = max(3 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+    }
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder for materialized tables: the cluster's ``spark.checkpoint.dir``.
 
@@ -76,4 +100,4 @@ def new_table_root(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/airmart/{label}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["get_session", "shared_root", "new_table_root", "SESSION_DEFAULTS"]
+__all__ = ["get_session", "shared_root", "new_table_root", "cluster_settings", "SESSION_DEFAULTS"]

@@ -42,3 +42,10 @@ def test_sql_views_and_functions(spark):
     bad = both.where(~(F.col("a1").eqNullSafe(F.col("b1")) & F.col("a2").eqNullSafe(F.col("b2"))
                        & F.col("a3").eqNullSafe(F.col("b3")) & F.col("a4").eqNullSafe(F.col("b4"))))
     assert bad.count() == 0 and both.count() > 0
+
+
+def test_table_existence_checks(spark):
+    from airmart.operators.quality import table_checks
+    register(spark, warehouse_for(spark, SF_SMALL))
+    got = {r.test_name: r.result for r in table_checks(spark, ("raw_aqi", "vw_location_hierarchy", "nope")).collect()}
+    assert got == {"Exists: raw_aqi": "PASS", "Exists: vw_location_hierarchy": "PASS", "Exists: nope": "FAIL"}

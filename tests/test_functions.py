@@ -130,3 +130,11 @@ def test_round_avg_half_up_and_empty(spark):
 def test_mode_ties_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), (None,), (None,)], "v string")
     assert df.agg(mode_of("v").alias("m")).first().m == "a"
+
+
+def test_cluster_settings_scale():
+    from airmart.session import cluster_settings
+    s = cluster_settings(100 << 40, executors=1000, cores_per_executor=8)
+    assert int(s["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)   # 409,600 input-sized partitions
+    small = cluster_settings(1 << 30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 120                    # never below 3x the slots
