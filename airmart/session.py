@@ -51,18 +51,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int,
-                     target_partition_bytes: int = 256 << 20) -> dict:
+                     target_partition_bytes: int = 256 << 20, input_per_shuffle_partition: int = 1 << 30) -> dict:
     """Settings sized for a large input (e.g. 100 TB of landing JSON on 1,000 executors).
 
     * scan splits of ``target_partition_bytes`` (``files.maxPartitionBytes``),
-    * an initial shuffle width of one partition per target size of input, never
-      below 3x the task slots, which AQE then coalesces to the advisory size,
+    * an initial shuffle width of one partition per GB of input (projection and
+      map-side partial aggregation shrink what is shuffled), never below 3x the
+      task slots; AQE then coalesces to the advisory size,
     * skew handling on: a partition more than 5x the median and over 1 GB is
       split (joins) and ``rebalance`` writes split hot output partitions.
     Apply at session build time (``get_session(extra=cluster_settings(...))``).
     """
     slots = executors * cores_per_executor
-    initial = max(3 * slots, -(-input_bytes // target_partition_bytes))
+    initial = max(3 * slots, -(-input_bytes // input_per_shuffle_partition))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(initial),

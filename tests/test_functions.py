@@ -135,6 +135,6 @@ def test_mode_ties_smallest(spark):
 def test_cluster_settings_scale():
     from airmart.session import cluster_settings
     s = cluster_settings(100 << 40, executors=1000, cores_per_executor=8)
-    assert int(s["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)   # 409,600 input-sized partitions
+    assert int(s["spark.sql.shuffle.partitions"]) == 102400                     # one per GB of input
     small = cluster_settings(1 << 30, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 120                    # never below 3x the slots
