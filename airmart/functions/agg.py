@@ -19,6 +19,9 @@ from ._util import as_col
 
 def round_avg(c, digits: int) -> Column:
     """``ROUND(AVG(c), digits)`` rounded HALF_UP from the exact mean (NULL for no values)."""
+    if isinstance(c, str):
+        from . import sqltext
+        return F.expr(sqltext.round_avg(sqltext.q(c), digits))
     c = as_col(c)
     n = F.nullif(F.count(c), F.lit(0)).cast("decimal(20,0)")
     return F.round(F.sum(c) / n, digits)

@@ -4,6 +4,8 @@ U-2 ``prominent_pollutant``, U-3 ``aqi_criteria_met``, U-4 ``custom_aqi``,
 P-8 EPA / DEFRA categories and the validity flag, P-9 AQI colour band and
 P-10 freshness status. All are plain ``when``/``greatest`` chains, so they
 stay inside whole-stage codegen and Catalyst shares common subexpressions.
+Given column names, they are built from SQL text (``sqltext``) in one JVM
+call; given Column objects, through the Column API.
 """
 
 from __future__ import annotations
@@ -38,6 +40,22 @@ AQI_BAND_ABOVE = "red"
 FRESH_MINUTES = 90
 
 
+def _names(cols):
+    """Quoted names when every argument is a column name (SQL-text fast path), else None."""
+    if all(isinstance(c, str) for c in cols):
+        from . import sqltext
+        return [sqltext.q(c) for c in cols]
+    return None
+
+
+def _text(builder, cols, arg_scale):
+    names = _names(cols)
+    if names is None:
+        return None
+    from . import sqltext
+    return F.expr(getattr(sqltext, builder)(names, arg_scale))
+
+
 def _args(cols, arg_scale):
     cs = [as_col(c) for c in cols]
     if len(cs) != 6:
@@ -51,6 +69,9 @@ def _args(cols, arg_scale):
 
 def prominent_pollutant(pm25, pm10, so2, no2, co, o3, arg_scale: int | None = None) -> Column:
     """Label of the largest pollutant; NULL counts as 0, ties go to the earlier label."""
+    fast = _text("prominent", (pm25, pm10, so2, no2, co, o3), arg_scale)
+    if fast is not None:
+        return fast
     xs = [F.coalesce(c, F.lit(0)) for c in _args((pm25, pm10, so2, no2, co, o3), arg_scale)]
     top = F.greatest(*xs)
     out = None
@@ -61,6 +82,9 @@ def prominent_pollutant(pm25, pm10, so2, no2, co, o3, arg_scale: int | None = No
 
 def aqi_criteria_met(pm25, pm10, so2, no2, co, o3, arg_scale: int | None = None) -> Column:
     """1 if either PM is positive, plus min(2, number of positive gases)."""
+    fast = _text("criteria", (pm25, pm10, so2, no2, co, o3), arg_scale)
+    if fast is not None:
+        return fast
     cs = _args((pm25, pm10, so2, no2, co, o3), arg_scale)
 
     def pos(c):
@@ -73,12 +97,18 @@ def aqi_criteria_met(pm25, pm10, so2, no2, co, o3, arg_scale: int | None = None)
 
 def custom_aqi(pm25, pm10, so2, no2, co, o3, arg_scale: int | None = None) -> Column:
     """Largest pollutant when the criteria count reaches 3, else 0; DECIMAL(10,2)."""
+    fast = _text("custom_aqi", (pm25, pm10, so2, no2, co, o3), arg_scale)
+    if fast is not None:
+        return fast
     cs = _args((pm25, pm10, so2, no2, co, o3), arg_scale)
     top = F.greatest(*[F.coalesce(c, F.lit(0)) for c in cs])
     return (F.when(aqi_criteria_met(*cs) >= 3, top).otherwise(F.lit(0))).cast("decimal(10,2)")
 
 
 def epa_category(idx) -> Column:
+    if isinstance(idx, str):
+        from . import sqltext
+        return F.expr(sqltext.epa(sqltext.q(idx)))
     idx = as_col(idx)
     out = None
     for k, name in EPA_CATEGORIES:
@@ -87,6 +117,9 @@ def epa_category(idx) -> Column:
 
 
 def defra_category(idx) -> Column:
+    if isinstance(idx, str):
+        from . import sqltext
+        return F.expr(sqltext.defra(sqltext.q(idx)))
     idx = as_col(idx)
     out = None
     for lo, hi, name in DEFRA_BANDS:
@@ -97,6 +130,9 @@ def defra_category(idx) -> Column:
 
 def is_valid_measurement(pm25, pm10, so2, no2, co, o3, arg_scale: int | None = None) -> Column:
     """FALSE when both PM are NULL, TRUE when the criteria count reaches 3; never NULL."""
+    fast = _text("valid", (pm25, pm10, so2, no2, co, o3), arg_scale)
+    if fast is not None:
+        return fast
     pm25, pm10 = as_col(pm25), as_col(pm10)
     return (F.when(pm25.isNull() & pm10.isNull(), F.lit(False))
             .when(aqi_criteria_met(pm25, pm10, so2, no2, co, o3, arg_scale=arg_scale) >= 3, F.lit(True))
@@ -105,6 +141,9 @@ def is_valid_measurement(pm25, pm10, so2, no2, co, o3, arg_scale: int | None = N
 
 def aqi_band(aqi) -> Column:
     """P-9 colour band; NULL stays NULL."""
+    if isinstance(aqi, str):
+        from . import sqltext
+        return F.expr(sqltext.band(sqltext.q(aqi)))
     aqi = as_col(aqi)
     out = None
     for hi, name in AQI_BANDS:

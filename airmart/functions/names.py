@@ -22,6 +22,9 @@ def _capitalize(w: Column) -> Column:
 
 def format_location_name(c) -> Column:
     """``'san_juan_de_lurigancho'`` -> ``'San Juan de Lurigancho'``."""
+    if isinstance(c, str):
+        from . import sqltext
+        return F.expr(sqltext.format_name(sqltext.q(c)))
     c = as_col(c)
     words = F.filter(F.split(F.regexp_replace(c, "_", " "), r"\s+"), lambda w: w != "")
     shaped = F.transform(

@@ -74,7 +74,7 @@ def hourly_rollup(clean: DataFrame) -> DataFrame:
 def consumption(hourly: DataFrame, arg_scale: int | None = None) -> DataFrame:
     """A-2: ``aqi_consumption_dt`` - time hierarchy in local time plus derived metrics."""
     t = F.col("hour_timestamp_local")
-    p = [F.col(c) for c in POLLUTANTS]
+    p = list(POLLUTANTS)
     criteria = aqi_criteria_met(*p, arg_scale=arg_scale)
     return hourly.select(
         t.alias("aqi_timestamp"),

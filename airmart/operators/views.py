@@ -19,7 +19,7 @@ POLLUTANT_AVGS = (("pm2_5", "pm25_avg"), ("pm10", "pm10_avg"), ("co", "co_avg"),
 
 
 def _pollutant_avgs():
-    return [round_avg(F.col(f"f.{c}"), 2).alias(a) for c, a in POLLUTANT_AVGS]
+    return [round_avg(f"f.{c}", 2).alias(a) for c, a in POLLUTANT_AVGS]
 
 
 def daily_city_agg_rows(j: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def daily_city_agg_rows(j: DataFrame) -> DataFrame:
                       F.col("d.aqi_day_name").alias("aqi_day_name"))
             .agg(*_pollutant_avgs(),
                  mode_of(F.col("f.prominent_pollutant")).alias("prominent_pollutant"),
-                 round_avg(F.col("f.custom_aqi"), 0).alias("aqi"),
+                 round_avg("f.custom_aqi", 0).alias("aqi"),
                  F.count(F.lit(1)).alias("hourly_readings_in_day"),
                  F.count_distinct(F.col("l.district")).alias("districts_reporting"),
                  F.sum(F.col("f.readings_in_hour")).alias("total_raw_readings")))
@@ -50,9 +50,9 @@ def hourly_city_agg(star: Star) -> DataFrame:
                       F.col("d.aqi_day").alias("aqi_day"), F.col("d.aqi_hour").alias("aqi_hour"),
                       F.col("d.aqi_day_name").alias("aqi_day_name"))
             .agg(*_pollutant_avgs(),
-                 round_avg(F.col("f.temp_c"), 1).alias("temp_c_avg"),
-                 round_avg(F.col("f.humidity"), 0).alias("humidity_avg"),
-                 round_avg(F.col("f.wind_kph"), 1).alias("wind_kph_avg"),
+                 round_avg("f.temp_c", 1).alias("temp_c_avg"),
+                 round_avg("f.humidity", 0).alias("humidity_avg"),
+                 round_avg("f.wind_kph", 1).alias("wind_kph_avg"),
                  F.count_distinct(F.col("l.district")).alias("districts_reporting"),
                  F.sum(F.col("f.readings_in_hour")).alias("total_raw_readings")))
 
@@ -108,7 +108,7 @@ def daily_district_aqi(star: Star) -> DataFrame:
                                                            "latitude", "longitude", "timezone_id")],
                       F.to_date(F.col("f.local_timestamp")).alias("measurement_date"))
             .agg(*_pollutant_avgs(),
-                 round_avg(F.col("f.custom_aqi"), 0).alias("aqi"),
+                 round_avg("f.custom_aqi", 0).alias("aqi"),
                  mode_of(F.col("f.prominent_pollutant")).alias("prominent_pollutant"),
                  F.count(F.lit(1)).alias("hourly_readings_in_day"),
                  F.sum(F.col("f.readings_in_hour")).alias("total_raw_readings")))

@@ -5,17 +5,16 @@ queryable with ``spark.sql`` (temporary views over the materialized tables and
 the DataFrame views), and ``register_functions(spark)`` defines the four
 pollution/name functions as SQL functions, so dashboard SQL such as
 ``SELECT ... FROM vw_daily_city_agg WHERE measurement_date = (SELECT max(...))``
-runs unchanged apart from the database prefix. The SQL bodies are generated
-from the same fixed values as the Column expressions in ``airmart.functions``;
-the tests check both forms against each other.
+runs unchanged apart from the database prefix. The SQL bodies come from the
+same text builders (``functions.sqltext``) as the library's name-based fast
+path; the tests check them against the Column-API form.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..functions.metrics import POLLUTANT_LABELS
-from ..functions.names import LOWERCASE_WORDS
+from ..functions import sqltext
 from ..operators import views as v
 from ..operators.consumption import aqi_current, aqi_daily
 from .warehouse import Warehouse
@@ -24,27 +23,13 @@ ARGS = "pm25 DECIMAL(38,9), pm10 DECIMAL(38,9), so2 DECIMAL(38,9), no2 DECIMAL(3
 _P = ("pm25", "pm10", "so2", "no2", "co", "o3")
 
 
-def _sql_list(values) -> str:
-    return ", ".join(f"'{x}'" for x in values)
-
-
 def function_sql() -> dict[str, str]:
-    words = _sql_list(LOWERCASE_WORDS)
-    z = [f"coalesce({p}, 0)" for p in _P]
-    top = f"greatest({', '.join(z)})"
-    prominent = "CASE " + " ".join(f"WHEN {zz} = {top} THEN '{lab}'" for zz, lab in zip(z, POLLUTANT_LABELS)) + " END"
-    pos = " + ".join(f"(CASE WHEN {p} > 0 THEN 1 ELSE 0 END)" for p in _P[2:])
-    criteria = f"(CASE WHEN coalesce(pm25 > 0, false) OR coalesce(pm10 > 0, false) THEN 1 ELSE 0 END) + least(2, {pos})"
+    """Signatures and bodies of the SQL functions, from the shared SQL text builders."""
     return {
-        "format_location_name": (
-            "(name STRING) RETURNS STRING RETURN CASE WHEN name IS NULL THEN NULL ELSE "
-            "array_join(transform(filter(split(replace(name, '_', ' '), '\\\\s+'), w -> w <> ''), "
-            f"(w, i) -> CASE WHEN i = 0 OR NOT array_contains(array({words}), lower(w)) "
-            "THEN concat(upper(substr(w, 1, 1)), lower(substr(w, 2))) ELSE lower(w) END), ' ') END"),
-        "prominent_pollutant": f"({ARGS}) RETURNS STRING RETURN {prominent}",
-        "aqi_criteria_met": f"({ARGS}) RETURNS INT RETURN {criteria}",
-        "calculate_custom_aqi": (f"({ARGS}) RETURNS DECIMAL(10,2) RETURN CAST(CASE WHEN ({criteria}) >= 3 "
-                                 f"THEN {top} ELSE 0 END AS DECIMAL(10,2))"),
+        "format_location_name": f"(name STRING) RETURNS STRING RETURN {sqltext.format_name('name')}",
+        "prominent_pollutant": f"({ARGS}) RETURNS STRING RETURN {sqltext.prominent(_P)}",
+        "aqi_criteria_met": f"({ARGS}) RETURNS INT RETURN {sqltext.criteria(_P)}",
+        "calculate_custom_aqi": f"({ARGS}) RETURNS DECIMAL(10,2) RETURN {sqltext.custom_aqi(_P)}",
     }
 
 

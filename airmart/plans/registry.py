@@ -51,18 +51,16 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def normalize(df: DataFrame) -> DataFrame:
-    cols = []
+    """Decimals and floats as DOUBLE, small integers as BIGINT, LTZ timestamps as NTZ (one projection)."""
+    exprs, changed = [], False
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        t = f.dataType
-        if isinstance(t, (T.DecimalType, T.FloatType)):
-            c = c.cast("double")
-        elif isinstance(t, (T.ByteType, T.ShortType, T.IntegerType)):
-            c = c.cast("bigint")
-        elif isinstance(t, T.TimestampType):
-            c = c.cast("timestamp_ntz")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+        t, name = f.dataType, f"`{f.name}`"
+        target = ("double" if isinstance(t, (T.DecimalType, T.FloatType)) else
+                  "bigint" if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType)) else
+                  "timestamp_ntz" if isinstance(t, T.TimestampType) else None)
+        changed |= target is not None
+        exprs.append(f"CAST({name} AS {target}) AS {name}" if target else name)
+    return df.selectExpr(*exprs) if changed else df
 
 
 def _wh(fn):
@@ -80,7 +78,7 @@ def _clean_rows(wh: Warehouse) -> DataFrame:
 def _metric(fn, alias):
     def run(wh):
         c = _clean_rows(wh)
-        p = [F.col(x) for x in ("pm2_5", "pm10", "so2", "no2", "co", "o3")]
+        p = ["pm2_5", "pm10", "so2", "no2", "co", "o3"]
         return c.select("measurement_epoch", "location_name", "latitude", "longitude", fn(*p).alias(alias))
     return run
 

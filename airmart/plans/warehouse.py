@@ -26,7 +26,7 @@ shuffle task per date.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -64,9 +64,16 @@ class Warehouse:
     spark: SparkSession
     root: str
     rows: dict
+    _tables: dict = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        """The table, read once per handle: schema inference (a Spark job per read) and file
+        listing are paid on first use only. A build's tables are immutable; an incremental
+        mart hands out a fresh handle after each refresh."""
+        df = self._tables.get(name)
+        if df is None:
+            df = self._tables[name] = self.spark.read.parquet(f"{self.root}/{name}")
+        return df
 
     @property
     def raw(self) -> DataFrame:

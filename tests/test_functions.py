@@ -138,3 +138,28 @@ def test_cluster_settings_scale():
     assert int(s["spark.sql.shuffle.partitions"]) == 102400                     # one per GB of input
     small = cluster_settings(1 << 30, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 120                    # never below 3x the slots
+
+
+def test_name_and_column_paths_agree(spark):
+    """The SQL-text fast path (column names) and the Column-API path build the same values."""
+    rows = [(None, None, None, None, None, None, None, None),
+            (D("0.4"), D("0.4"), D("0.4"), D("0.4"), D(0), D(0), 3, "san_juan_de_lurigancho"),
+            (D(10), None, D(1), D(20), D(30), D(0), 10, "villa_el_salvador"),
+            (D(1), D(5), D(5), D(2), D(1), D(1), 0, "  de la  PAZ ")]
+    cols = ("pm25", "pm10", "so2", "no2", "co", "o3")
+    df = spark.createDataFrame(rows, ", ".join(f"{c} decimal(10,2)" for c in cols) + ", i int, n string")
+    c = [F.col(x) for x in cols]
+    pairs = [(prominent_pollutant(*cols), prominent_pollutant(*c)),
+             (aqi_criteria_met(*cols), aqi_criteria_met(*c)),
+             (aqi_criteria_met(*cols, arg_scale=0), aqi_criteria_met(*c, arg_scale=0)),
+             (custom_aqi(*cols), custom_aqi(*c)),
+             (is_valid_measurement(*cols), is_valid_measurement(*c)),
+             (epa_category("i"), epa_category(F.col("i"))), (defra_category("i"), defra_category(F.col("i"))),
+             (aqi_band("i"), aqi_band(F.col("i"))), (format_location_name("n"), format_location_name(F.col("n")))]
+    out = df.select(*[a.alias(f"a{k}") for k, (a, _) in enumerate(pairs)],
+                    *[b.alias(f"b{k}") for k, (_, b) in enumerate(pairs)]).collect()
+    for r in out:
+        for k in range(len(pairs)):
+            assert r[f"a{k}"] == r[f"b{k}"], (k, r)
+    agg = df.agg(round_avg("pm25", 1).alias("a"), round_avg(F.col("pm25"), 1).alias("b")).first()
+    assert agg.a == agg.b
