@@ -37,16 +37,19 @@ def location_key(lat, lon) -> F.Column:
     return surrogate_key(lat, lon)
 
 
-def date_dim(cons: DataFrame) -> DataFrame:
-    """One row per distinct local hour and its calendar attributes; key = hash(local_timestamp)."""
-    d = cons.select(F.col("aqi_timestamp").alias("local_timestamp"), *DATE_COLUMNS).distinct()
-    return d.select(date_key("local_timestamp").alias("date_pk"), "local_timestamp", *DATE_COLUMNS)
+def date_dim(cons: DataFrame, extra: tuple = ()) -> DataFrame:
+    """One row per distinct local hour and its calendar attributes; key = hash(local_timestamp).
 
+    ``extra`` columns join the distinct (the incremental refresh keeps one part per UTC date).
+    """
+    d = cons.select(F.col("aqi_timestamp").alias("local_timestamp"), *DATE_COLUMNS, *extra).distinct()
+    return d.select(date_key("local_timestamp").alias("date_pk"), "local_timestamp", *DATE_COLUMNS, *extra)
 
-def location_dim(cons: DataFrame) -> DataFrame:
+
+def location_dim(cons: DataFrame, extra: tuple = ()) -> DataFrame:
     """One row per distinct 8-column location; key = hash(lat, lon), so shared coordinates collide (D6)."""
-    d = cons.select(*LOCATION_COLUMNS).distinct()
-    return d.select(location_key("latitude", "longitude").alias("location_pk"), *LOCATION_COLUMNS)
+    d = cons.select(*LOCATION_COLUMNS, *extra).distinct()
+    return d.select(location_key("latitude", "longitude").alias("location_pk"), *LOCATION_COLUMNS, *extra)
 
 
 def air_quality_fact(cons: DataFrame) -> DataFrame:

@@ -13,7 +13,9 @@ checkpointed log is the load history) and, per micro-batch, in
    those dates (partition pruning) and dynamically overwrites those
    ``utc_date`` partitions of the clean table, the consumption table and the
    fact;
-4. recomputes both dimensions from the consumption table (a narrow scan).
+4. recomputes the per-date dimension parts of those dates and rebuilds each
+   dimension as the distinct union of its parts (locations x dates rows, not
+   hourly rows).
 
 Every dedup key and every hourly group lies in one UTC date (both contain the
 measurement epoch / UTC hour), so recomputing whole dates is exact: late or
@@ -42,6 +44,11 @@ RAW_COLUMNS = ("raw", "country", "city", "district", "year", "month", "day", "_s
                "_stg_file_md5", "_copy_data_ts", "_copy_data_user", "_copy_data_role")
 
 
+def build_parts(cons_dates: DataFrame, build) -> DataFrame:
+    """``build`` (date_dim or location_dim) applied per UTC date: distinct rows keyed by date."""
+    return build(cons_dates.select(*CONSUMPTION_COLUMNS, UTC_DATE), extra=(UTC_DATE,))
+
+
 def measurement_date(raw_col="raw"):
     epoch = F.try_variant_get(F.col(raw_col), "$.current.last_updated_epoch", "decimal(38,0)")
     return F.to_date(ntz_from_epoch(epoch))
@@ -97,9 +104,22 @@ class IncrementalMart:
         (with_utc_date(air_quality_fact(cons_new), "utc_timestamp").hint("rebalance", UTC_DATE).write
          .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(UTC_DATE)
          .parquet(self.path("air_quality_fact")))
-        cons_all = cons_all.select(*CONSUMPTION_COLUMNS)
-        date_dim(cons_all).write.mode("overwrite").parquet(self.path("date_dim"))
-        location_dim(cons_all).write.mode("overwrite").parquet(self.path("location_dim"))
+        self._refresh_dimensions(cons_all.where(_date_filter(UTC_DATE, dates)))
+
+    def _refresh_dimensions(self, cons_dates: DataFrame) -> None:
+        """Dimension rows per UTC date for the touched dates, then each dimension as their distinct union.
+
+        The per-date parts hold (locations x dates) and (local hours x dates)
+        rows, so rebuilding a dimension reads them instead of the hourly table;
+        a combination that vanished from a recomputed date vanishes from the
+        dimension, as in a full rebuild.
+        """
+        for name, build in (("date_dim", date_dim), ("location_dim", location_dim)):
+            parts = build_parts(cons_dates, build)
+            (parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(UTC_DATE)
+             .parquet(self.path(f"{name}_parts")))
+            all_parts = self.spark.read.parquet(self.path(f"{name}_parts")).drop(UTC_DATE)
+            all_parts.distinct().write.mode("overwrite").parquet(self.path(name))
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         """``foreachBatch`` body: append, then refresh the touched dates."""
