@@ -39,8 +39,15 @@ _LOCK = threading.Lock()
 _BUILDS: dict = {}
 
 
+def use_utc(spark: SparkSession) -> None:
+    """The source's timestamps are UTC; LTZ audit columns are read and written in a UTC session."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The materialized mart for ``sf_dir``, built once per Spark application."""
+    use_utc(spark)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
         wh = _BUILDS.get(key)
