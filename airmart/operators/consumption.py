@@ -52,14 +52,13 @@ def hourly_rollup(clean: DataFrame) -> DataFrame:
     Both the local and the UTC hour are group keys (D2): in a half-hour zone,
     or across a DST fall-back, one local hour yields two rows.
     """
-    avg_cols = [round_avg(c, d).cast(t).alias(c) for c, d, t in HOURLY_AVERAGES]
-    avg_cols.insert(12, mode_of("wind_direction").alias("wind_direction"))
-    avg_cols += [round_avg(c, d).cast(t).alias(c) for c, d, t in HOURLY_AVERAGES_2]
+    avg_cols = [round_avg(c, d).cast(t).alias(c) for c, d, t in HOURLY_AVERAGES + HOURLY_AVERAGES_2]
     agg = (clean
            .groupBy(local_hour("measurement_ts", "timezone_id").alias("hour_timestamp_local"),
                     hour_floor("measurement_ts").alias("hour_timestamp_utc"),
                     *GROUP_KEYS)
            .agg(*avg_cols,
+                mode_of("wind_direction").alias("wind_direction"),
                 mode_of("weather_condition").alias("weather_condition"),
                 F.max("_stg_file_load_ts").alias("_stg_file_load_ts"),
                 F.max("_copy_data_ts").alias("_copy_data_ts"),

@@ -37,7 +37,7 @@ from ..operators.clean import CLEAN_COLUMNS, clean
 from ..operators.consumption import CONSUMPTION_COLUMNS, build_consumption
 from ..operators.star import air_quality_fact, date_dim, location_dim
 from ..plans.warehouse import UTC_DATE, Warehouse, with_utc_date
-from ..sources.landing import _raw_from_text
+from ..sources.landing import raw_from_text
 
 M_DATE = "m_date"
 RAW_COLUMNS = ("raw", "country", "city", "district", "year", "month", "day", "_stg_file_name", "_stg_file_load_ts",
@@ -143,7 +143,7 @@ def run_incremental(spark: SparkSession, landing_path: str, root: str, checkpoin
               .option("recursiveFileLookup", "true"))
     if layout == "document":
         reader = reader.option("wholetext", "true")
-    raw = _raw_from_text(reader.load(landing_path).select("value", "_metadata"), role, lenient=False)
+    raw = raw_from_text(reader.load(landing_path).select("value", "_metadata"), role, lenient=False)
     w = raw.writeStream.foreachBatch(mart.process_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()

@@ -34,13 +34,13 @@ def test_hot_location_redelivered(spark):
 
 
 def test_hourly_window_stream(spark, tmp_dir):
-    from airmart.sources.landing import _raw_from_text, write_landing
+    from airmart.sources.landing import raw_from_text, write_landing
     from airmart.streaming.incremental import hourly_window_stream
     raw = warehouse_for(spark, SF_SMALL).raw
     write_landing(raw, f"{tmp_dir}/land")
     stream = (spark.readStream.format("text").option("recursiveFileLookup", "true").option("maxFileAge", "36500d")
               .load(f"{tmp_dir}/land").select("value", "_metadata"))
-    counts = hourly_window_stream(_raw_from_text(stream, "SYSADMIN", lenient=False))
+    counts = hourly_window_stream(raw_from_text(stream, "SYSADMIN", lenient=False))
     q = (counts.writeStream.format("memory").queryName("hourly_counts").outputMode("complete")
          .option("checkpointLocation", f"{tmp_dir}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
