@@ -39,3 +39,24 @@ def test_incremental_equals_batch(spark, tmp_dir):
         a = spark.read.parquet(f"{tmp_dir}/inc/{dim}")
         b = getattr(batch.star, dim)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_processing_time_trigger_refreshes(spark, tmp_dir):
+    """T-2: the continuous form (processing-time trigger) picks up files as they land."""
+    import time
+
+    raw_aqi(spark, SF_SMALL).write.parquet(f"{tmp_dir}/raw0")
+    raw = spark.read.parquet(f"{tmp_dir}/raw0")
+    land = f"{tmp_dir}/landing"
+    write_landing(raw.where(F.to_date("_stg_file_load_ts") == F.lit(dt.date(2024, 1, 5))), land)
+    q = run_incremental(spark, land, f"{tmp_dir}/inc", f"{tmp_dir}/ckpt", available_now=False,
+                        processing_time="1 second")
+    try:
+        deadline = time.time() + 120
+        while time.time() < deadline and q.lastProgress is None:
+            time.sleep(1)
+        q.processAllAvailable()
+        n = spark.read.parquet(f"{tmp_dir}/inc/raw_aqi").count()
+        assert n == raw.where(F.to_date("_stg_file_load_ts") == F.lit(dt.date(2024, 1, 5))).count() > 0
+    finally:
+        q.stop()
