@@ -28,3 +28,26 @@ def test_consumption_independent_of_input_order(spark):
     a = build_consumption(clean(raw))
     b = build_consumption(clean(raw.repartition(13).sortWithinPartitions("_stg_file_md5")))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+CENTS = st.integers(min_value=-10**7, max_value=10**7)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.lists(st.one_of(CENTS, st.none()), min_size=1, max_size=30), min_size=1, max_size=12),
+       st.integers(min_value=0, max_value=3))
+def test_round_avg_matches_decimal_brute_force(spark, groups, digits):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from airmart.functions import round_avg
+
+    rows = [(g, None if c is None else Decimal(c).scaleb(-2)) for g, cs in enumerate(groups) for c in cs]
+    df = spark.createDataFrame(rows, "g int, x decimal(12,2)")
+    got = {r.g: r.a for r in df.groupBy("g").agg(round_avg("x", digits).alias("a")).collect()}
+    for g, cs in enumerate(groups):
+        vals = [Decimal(c).scaleb(-2) for c in cs if c is not None]
+        if not vals:
+            assert got[g] is None
+            continue
+        exact = sum(vals) / Decimal(len(vals))
+        assert got[g] == exact.quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP), (g, cs, digits)
