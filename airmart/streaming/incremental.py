@@ -131,16 +131,24 @@ class IncrementalMart:
 
 def run_incremental(spark: SparkSession, landing_path: str, root: str, checkpoint: str, layout: str = "lines",
                     role: str = "SYSADMIN", available_now: bool = True, processing_time: str = "30 minutes",
-                    max_file_age: str = "36500d"):
+                    max_file_age: str = "36500d", max_files_per_trigger: int | None = None,
+                    max_bytes_per_trigger: str | None = None):
     """T-1/T-2: one streaming query from landing files to the star schema.
 
     ``available_now`` processes every file present and stops (a scheduled
     refresh); otherwise the query runs with a processing-time trigger (the
-    reference's 30-minute target lag). Returns the started query.
+    reference's 30-minute target lag). ``max_files_per_trigger`` /
+    ``max_bytes_per_trigger`` bound each micro-batch, so a backfill of years of
+    files runs as many bounded batches (each touching few dates) instead of
+    one. Returns the started query.
     """
     mart = IncrementalMart(spark, root)
     reader = (spark.readStream.format("text").option("maxFileAge", max_file_age)
               .option("recursiveFileLookup", "true"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     if layout == "document":
         reader = reader.option("wholetext", "true")
     raw = raw_from_text(reader.load(landing_path).select("value", "_metadata"), role, lenient=False)
