@@ -8,6 +8,8 @@ each parquet scan reads.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -61,6 +63,18 @@ def main():
         widths = ",".join(str(len([c for c in s.split(",") if c.strip()])) for s in scans)
         print(f"| {name} | {sec:.2f} | " + " | ".join(counts) + f" | {widths} |")
     print(NOTES)
+    print("## Appendix: final plans of key queries\n")
+    for name in APPENDIX:
+        df = qs[name](spark, sf)
+        df.collect()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode="formatted")
+        text = re.sub(r"file:[^,\]]*/(airmart/[^/,\]]+)", r"<shared>/\1", buf.getvalue())
+        print(f"### {name}\n\n```\n{text.strip()}\n```\n")
+
+
+APPENDIX = ("top_cities", "dedup_latest_file", "hourly_rollup")
 
 
 NOTES = """
