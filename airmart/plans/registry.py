@@ -48,7 +48,7 @@ def use_utc(spark: SparkSession) -> None:
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The materialized mart for ``sf_dir``, built once per Spark application."""
     use_utc(spark)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.conf.get("spark.app.id", None) or id(spark), sf_dir.rstrip("/"))
     with _LOCK:
         wh = _BUILDS.get(key)
         if wh is None:

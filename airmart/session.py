@@ -84,15 +84,21 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        try:
+            root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except Exception:  # no classic SparkContext: the session conf is the only source
+            root = None
     if not root:
-        master = spark.sparkContext.master or ""
+        master = spark.conf.get("spark.master", "") or ""
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="airmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(root)
+    except Exception:
+        pass
     return root.rstrip("/")
 
 
