@@ -61,3 +61,26 @@ def test_current_status_drops_null_district_and_keeps_ties(spark):
             (_doc(1730611800, "d", -12.3, -77.3, "America/Lima"), "peru", None)]        # NULL district
     cur = aqi_current(build_consumption(clean(_raw(spark, rows)))).collect()
     assert sorted(r.location_name for r in cur) == ["a", "b"]
+
+
+def test_arg_scale_zero_through_consumption(spark):
+    """D3: with arg_scale=0 each pollutant is rounded to an integer before the metric functions."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from airmart.plans.registry import warehouse_for
+    from tests.conftest import SF_SMALL
+
+    clean_t = warehouse_for(spark, SF_SMALL).clean
+    rows = build_consumption(clean_t, arg_scale=0).collect()
+    assert rows
+
+    def r0(x):
+        return None if x is None else x.quantize(Decimal(1), rounding=ROUND_HALF_UP)
+
+    for r in rows:
+        p = [r0(x) for x in (r.pm2_5, r.pm10, r.so2, r.no2, r.co, r.o3)]
+        pm = 1 if any(x is not None and x > 0 for x in p[:2]) else 0
+        crit = pm + min(2, sum(1 for x in p[2:] if x is not None and x > 0))
+        assert r.criteria_pollutant_count == crit
+        top = max(x if x is not None else Decimal(0) for x in p)
+        assert r.custom_aqi == (top if crit >= 3 else Decimal(0))
