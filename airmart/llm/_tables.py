@@ -48,5 +48,10 @@ def own_id(column: str) -> Column:
     return F.nullif(F.col(column), F.lit(LAST_ID))
 
 
-def schema(*fields: str) -> T.StructType:
-    return T._parse_datatype_string(", ".join(fields))
+_TYPES = {"long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(),
+          "boolean": T.BooleanType(), "binary": T.BinaryType(), "longs": T.ArrayType(T.LongType())}
+
+
+def schema(fields: str, *head: T.StructField) -> T.StructType:
+    """``"a long, b string"`` as a struct type (no session needed), after the fields in ``head``."""
+    return T.StructType([*head, *(T.StructField(n, _TYPES[t]) for n, t in (f.split() for f in fields.split(",")))])

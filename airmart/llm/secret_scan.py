@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._tables import schema
 from ._words import Words, slices
 
 # The three strong patterns and their order.
@@ -41,11 +42,11 @@ _ASSIGN_KEYS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_ke
 SCOPE_CHARS = 300
 MIN_TOKEN, MIN_ENTROPY = 16, 3.0
 IDENT = re.compile(r"""(?i:\b(?:access_?(?:key)?_?id|client_?id|user(?:name|_id)?|login|account))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@-]{3,})""", re.ASCII)
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{%d,}" % MIN_TOKEN, re.ASCII)
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=.@-])[A-Za-z0-9+/_=.-]{%d,}(?![A-Za-z0-9+/_=.@-])" % MIN_TOKEN, re.ASCII)
 ENDPOINT = re.compile(r"""[A-Za-z][A-Za-z0-9+.-]*://[^\s"'<>]+|\b[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+:[0-9]{2,5}\b""", re.ASCII)
 PARAGRAPH = re.compile(r"\n[ \t\r]*\n")
 
-OUTPUT = T._parse_datatype_string("n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_linked long")
+OUTPUT = schema("n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_linked long")
 
 
 def _entropy(s: str) -> float:
