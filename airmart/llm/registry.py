@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, quality_rules, secret_scan, source_mix, substring_dedup, url_filter, warc
+from . import decontaminate, jaccard_join, line_dedup, quality_rules, secret_scan, source_mix, substring_dedup, url_filter, warc
 from ._tables import table
 from .oracle import ORACLE
 
@@ -25,6 +25,10 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.line_report(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _query(f: Query) -> Query:
     @functools.wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +70,8 @@ def _query(f: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {f.__name__: _query(f) for f in (
-    op2_quality_rules, op3_secret_scan, op4_ngram_jaccard_join, op6_url_filter, op7_substring_dedup, op8_source_mix, op9_warc)}
+    op1_line_dedup, op2_quality_rules, op3_secret_scan, op4_ngram_jaccard_join, op6_url_filter, op7_substring_dedup,
+    op8_source_mix, op9_warc, op10_benchmark_decontamination)}
 
 
 def queries() -> dict[str, Query]:
