@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, line_dedup, quality_rules, secret_scan, source_mix, substring_dedup, url_filter, warc
+from . import decontaminate, jaccard_join, katz_lm, line_dedup, quality_rules, secret_scan, source_mix, substring_dedup, url_filter, warc
 from ._tables import table
 from .oracle import ORACLE
 
@@ -41,6 +41,10 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -70,7 +74,7 @@ def _query(f: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {f.__name__: _query(f) for f in (
-    op1_line_dedup, op2_quality_rules, op3_secret_scan, op4_ngram_jaccard_join, op6_url_filter, op7_substring_dedup,
+    op1_line_dedup, op2_quality_rules, op3_secret_scan, op4_ngram_jaccard_join, op5_katz_lm, op6_url_filter, op7_substring_dedup,
     op8_source_mix, op9_warc, op10_benchmark_decontamination)}
 
 

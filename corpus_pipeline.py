@@ -37,9 +37,10 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     importable(spark)
     found = jaccard_join.jaccard_components(docs, n_words=NEAR_WORDS, percent=NEAR_PERCENT)
     first = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    named = kept.where(F.col("doc_id").isNotNull())
-    return named.dropDuplicates(["doc_id"]).unionByName(kept.where(F.col("doc_id").isNull()))
+    named = docs.where(F.col("doc_id").isNotNull()).join(first, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
+    null_stays = F.broadcast(first.where(F.col("__id").isNull()))  # one row at most
+    unnamed = docs.where(F.col("doc_id").isNull()).join(null_stays, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    return named.unionByName(unnamed)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
