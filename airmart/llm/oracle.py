@@ -34,4 +34,92 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
 FROM g
 """
 
-ORACLE = {"op8_source_mix": OP8, "op9_warc": OP9}
+OP2 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+word AS (SELECT r, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d)),
+tri AS (SELECT r, i, w, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM word WINDOW o AS (PARTITION BY r ORDER BY i)),
+often AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w, w2, w3) AS n FROM tri WHERE w3 IS NOT NULL) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM often, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r),
+words AS (SELECT r, count(*) AS n_words, sum(length(w)) AS word_chars FROM word GROUP BY r),
+line AS (SELECT r, unnest(ls) AS l, unnest(range(len(ls))) AS i FROM (SELECT r, string_split(t, chr(10)) AS ls FROM d)),
+lw AS (SELECT r, i, l, regexp_extract_all(l, '[^\x20\x09-\x0D]+') AS ws FROM line),
+judged AS (
+  SELECT r, len(ws) AS n, row_number() OVER (PARTITION BY r, l ORDER BY i) > 1 AS dup,
+    (len(ws) >= 3 AND len(list_filter(ws, lambda x: x IN ('|', '>', '>>', '/', '·', '•', '»', '→'))) >= 0.2 * len(ws))
+    OR (len(ws) <= 25 AND regexp_matches(l, 'all rights reserved|copyright|licensed under|terms of (?:use|service)|privacy policy|cookies?\b|javascript|lorem ipsum|click here|read more|sign up|log ?in\b|subscribe|share this|skip to (?:main )?content', 'i'))
+    OR NOT regexp_matches(l, '[A-Za-z]|[^\x00-\x{BF}]')
+    OR (len(ws) >= 60 AND NOT regexp_matches(l, '[.!?:;,…。！？，]'))
+    OR (len(ws) >= 3 AND len(list_filter(ws, lambda x: regexp_matches(x, '[#*$%&|<>~^=_+@{}!?]{2,}[.,;:]?$'))) > 0.3 * len(ws)) AS fails
+  FROM lw WHERE len(ws) > 0),
+lines AS (SELECT r, count(*) FILTER (WHERE dup) AS n_dup_lines, count(*) FILTER (WHERE fails) AS n_failed_lines,
+                 coalesce(sum(n) FILTER (WHERE fails), 0) AS n_lost_words FROM judged GROUP BY r),
+f AS (SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+             (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+             coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_failed_lines, 0)::BIGINT AS n_failed_lines,
+             coalesce(n_lost_words, 0)::BIGINT AS n_lost_words
+      FROM d LEFT JOIN words USING (r) LEFT JOIN rep USING (r) LEFT JOIN lines USING (r)),
+g AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+SELECT *, NOT base_failed AND n_lost_words <= 0.5 * n_words AS kept FROM g
+"""
+
+OP6 = r"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, url,
+                  CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+q AS (SELECT r, page_id, url, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+rules(h, pre, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+best AS (SELECT r, arg_max(h || pre, length(h || pre)) AS rule, arg_max(v, length(h || pre)) AS v
+         FROM q JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) GROUP BY r),
+u AS (SELECT q.*, rule, v, CAST('0x' || substr(md5(url), 1, 4) AS INT) % 5 AS fold FROM q LEFT JOIN best USING (r)),
+sym AS (SELECT r, regexp_replace(regexp_replace(lower(url), '[0-9]', '0', 'g'), '[^a-z0./\-_?=&%:#~+@]', '*', 'g') AS s FROM u),
+ch AS (SELECT r, i, instr('abcdefghijklmnopqrstuvwxyz0./-_?=&%:#~+@*', substr(s, i, 1)) AS c FROM (SELECT r, s, unnest(range(1, length(s) + 1)) AS i FROM sym)),
+g AS (SELECT r, lag(c, 2, 0) OVER o AS a, lag(c, 1, 0) OVER o AS b, c FROM ch WINDOW o AS (PARTITION BY r ORDER BY i)),
+cls AS (SELECT unnest(['allow', 'block']) AS v),
+n3 AS (SELECT v, a, b, c, count(*) AS n FROM g JOIN u USING (r) WHERE v IS NOT NULL AND fold <> 0 GROUP BY ALL),
+nab AS (SELECT v, a, b, sum(n) AS n FROM n3 GROUP BY ALL), nbc AS (SELECT v, b, c, sum(n) AS n FROM n3 GROUP BY ALL),
+nb AS (SELECT v, b, sum(n) AS n FROM n3 GROUP BY ALL), nc AS (SELECT v, c, sum(n) AS n FROM n3 GROUP BY ALL), na AS (SELECT v, sum(n) AS n FROM n3 GROUP BY ALL),
+grams AS (SELECT DISTINCT a, b, c FROM g),
+lp AS (SELECT x.a, x.b, x.c, cls.v,
+         ln((coalesce(n3.n, 0) + 2.0 * ((coalesce(nbc.n, 0) + 2.0 * ((coalesce(nc.n, 0) + 2.0 / 42) / (coalesce(na.n, 0) + 2.0))) / (coalesce(nb.n, 0) + 2.0)))
+            / (coalesce(nab.n, 0) + 2.0)) AS l
+       FROM grams x CROSS JOIN cls
+       LEFT JOIN n3 ON n3.v = cls.v AND n3.a = x.a AND n3.b = x.b AND n3.c = x.c LEFT JOIN nab ON nab.v = cls.v AND nab.a = x.a AND nab.b = x.b
+       LEFT JOIN nbc ON nbc.v = cls.v AND nbc.b = x.b AND nbc.c = x.c LEFT JOIN nb ON nb.v = cls.v AND nb.b = x.b
+       LEFT JOIN nc ON nc.v = cls.v AND nc.c = x.c LEFT JOIN na ON na.v = cls.v),
+ratio AS (SELECT a, b, c, sum(CASE v WHEN 'allow' THEN l ELSE -l END) AS d FROM lp GROUP BY ALL),
+score AS (SELECT r, avg(d) AS s FROM g JOIN ratio USING (a, b, c) GROUP BY r),
+held AS (SELECT url, v, any_value(coalesce(s, 0)) AS s FROM u LEFT JOIN score USING (r) WHERE v IS NOT NULL AND fold = 0 GROUP BY url, v),
+m AS (SELECT v, avg(s) AS m, stddev_pop(s) + 1e-9 AS sd FROM held GROUP BY v),
+t AS (SELECT coalesce((SELECT (x.m * y.sd + y.m * x.sd) / (x.sd + y.sd) FROM m x, m y WHERE x.v = 'allow' AND y.v = 'block'), 0) AS t)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN coalesce(s, 0) >= t THEN 'allow' ELSE 'block' END) AS verdict
+FROM u LEFT JOIN score USING (r), t
+"""
+
+OP4 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i, len(ws) AS n FROM d),
+g AS (SELECT doc_id, n, w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o || ' ' || lead(w, 3) OVER o AS s FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+sh AS (SELECT DISTINCT doc_id, s FROM g WHERE s IS NOT NULL UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM d WHERE len(ws) BETWEEN 1 AND 3),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pair AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+ends AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT a AS id, a AS r FROM ends UNION SELECT reach.id, ends.b FROM reach JOIN ends ON reach.r = ends.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(min(reach.r), d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.id = d.doc_id GROUP BY d.doc_id, n.n
+"""
+
+OP7 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i, len(ws) AS n FROM d),
+win AS (SELECT doc_id, i, n, string_agg(w, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS s FROM w),
+g AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM win WHERE i + 13 <= n),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM g, (SELECT unnest(range(13)) AS k) WHERE first < doc_id),
+kept AS (SELECT doc_id, count(*) AS n, count(gone.i) AS x, coalesce(string_agg(w, ' ' ORDER BY i) FILTER (WHERE gone.i IS NULL), '') AS t
+         FROM w LEFT JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(x, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE = {"op2_quality_rules": OP2, "op4_ngram_jaccard_join": OP4, "op6_url_filter": OP6, "op7_substring_dedup": OP7,
+          "op8_source_mix": OP8, "op9_warc": OP9}

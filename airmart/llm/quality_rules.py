@@ -57,7 +57,7 @@ def line_verdict(line: bytes, words: list[bytes]) -> str | None:
         return "boilerplate"
     if not _LETTER.search(line) or n >= LONG_UNPUNCTUATED and not _SENTENCE.search(line):
         return "punctuation"
-    if _MARK.search(line) and sum(1 for w in words if _MARKS.search(w)) > MARK_SHARE * n:
+    if n >= 3 and _MARK.search(line) and sum(1 for w in words if _MARKS.search(w)) > MARK_SHARE * n:
         return "punctuation"
     return None
 
