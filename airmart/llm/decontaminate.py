@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ._tables import materialize
 from ._words import _LOWER, Words, grams, mix, slices
@@ -201,13 +202,15 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 
 
 def _matches(src: DataFrame, items: Items, out: T.StructType) -> DataFrame:
+    item_type = to_arrow_type(out.fields[1].dataType)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, off in slices(batch, "_text"):
                 found = items.matches(data, off)
                 if found:
                     ids = part.column(0).take(pa.array([x[0] for x in found]))
-                    of = pa.array([items.ids[x[1]] for x in found])
+                    of = pa.array([items.ids[x[1]] for x in found], type=item_type)
                     cols = [pa.array(c, type=pa.int64()) for c in zip(*((x[2], int(items.n[x[1]]), x[3], x[4]) for x in found))]
                     yield pa.RecordBatch.from_arrays([ids, of, *cols], names=out.names)
 

@@ -11,9 +11,11 @@ its words are removed.
 The result is exact up to 128-bit content hashes: a word goes if and only if it lies in a window of ``WINDOW``
 words that also occurs in a document with a smaller id, both taken from the input.
 
-Scale: one narrow row per block (about one for five words) is dealt out by anchor and sorted; a task streams
-over the sorted rows and holds the open rows of one document. A passage that a third of all documents share
-adds one row per document to each of its anchors' partitions. Texts are dealt out by id, twice.
+Scale: one narrow row per distinct block of a text (about one for five words) is dealt out by anchor and sorted;
+a task streams over the sorted rows and holds the open rows of one document. Blocks that a text repeats are one
+row with all their places, so a text that repeats itself a million times is no hot key. A passage that a third
+of all documents share adds one row per document to each of its anchors' partitions. Texts are dealt out by id,
+twice.
 
 Edge cases: a null or empty text has no words and the SHA-256 of the empty string. A null id is larger than
 all others; rows with equal ids do not remove each other's words, whether their texts are equal or not. Other
@@ -86,12 +88,36 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(order_id(id_col).alias("id"), text.alias("text")).select("id", mark.alias("mark"), "text")
 
 
-def _places(mark: np.ndarray, window: np.ndarray, run: np.ndarray) -> pa.Array:
-    return pa.array((mark.astype(np.int64) << _PLACE_BITS) | (window << _RUN_BITS) | (run - 1))
+def _places(mark: np.ndarray, window: np.ndarray, run: np.ndarray) -> np.ndarray:
+    return (mark.astype(np.int64) << _PLACE_BITS) | (window << _RUN_BITS) | (run - 1)
+
+
+def _keyed(k1: np.ndarray, k2: np.ndarray, row: np.ndarray, ids: np.ndarray, place: np.ndarray) -> list[pa.Array]:
+    """One entry for each distinct (row, k1, k2): keys, id, first place, and the other places packed (mostly null)."""
+    order = np.lexsort((place, k2, k1, row))
+    k1, k2, row, place = k1[order], k2[order], row[order], place[order]
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
+    first = np.flatnonzero(new)
+    size = np.diff(np.concatenate((first, [len(row)])))
+    more: list = [None] * len(first)
+    for i in np.flatnonzero(size > 1):
+        more[i] = place[first[i] + 1:first[i] + size[i]].tobytes()
+    return [pa.array(k1[first].view(np.int64)), pa.array(k2[first].view(np.int64)), pa.array(ids[row[first]]), pa.array(place[first]),
+            pa.array(more, type=pa.binary())]
+
+
+def _unpacked(pick: np.ndarray, ids: np.ndarray, place: np.ndarray, more: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entry, id, place) of every place of the picked entries."""
+    at = np.flatnonzero(pick)
+    again = at[np.asarray(more.is_valid())[at]] if more.null_count < len(more) else at[:0]
+    lists = [np.frombuffer(more[int(i)].as_py(), dtype=np.int64) for i in again]
+    entry = np.concatenate([at, *(np.full(len(x), i) for i, x in zip(again, lists))]).astype(np.int64)
+    return entry, ids[entry], np.concatenate([place[at], *lists])
 
 
 def _block_rows(src: DataFrame) -> DataFrame:
-    out = schema("anchor long, content long, id long, place long")
+    out = schema("anchor long, content long, id long, place long, more binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,9 +125,7 @@ def _block_rows(src: DataFrame) -> DataFrame:
                 w = Words(data, off)
                 row, anchor, content, lo, n = blocks(w, w.hashes())
                 ids, mark = np.asarray(part.column(0)), np.asarray(part.column(1))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(ids[row]),
-                    _places(mark[row], lo - w.first[row], n)], names=out.names)
+                yield pa.RecordBatch.from_arrays(_keyed(anchor, content, row, ids, _places(mark[row], lo - w.first[row], n)), names=out.names)
 
     return src.mapInArrow(run, out)
 
@@ -117,7 +141,7 @@ def _parse(rows: DataFrame) -> DataFrame:
         held: list[tuple[np.ndarray, np.ndarray]] = []  # open rows of the last anchor while it has one content
         for batch in batches:
             a, c, ids, place = (np.asarray(batch.column(i)) for i in range(4))
-            n = len(a)
+            more, n = batch.column(4), len(a)
             if not n:
                 continue
             new_a, new_c = np.ones(n, dtype=bool), np.ones(n, dtype=bool)
@@ -144,9 +168,10 @@ def _parse(rows: DataFrame) -> DataFrame:
             if not multi[-1]:
                 wait = ~copied & (ag == ag[-1])
                 if wait.any():
-                    held.append((ids[wait], place[wait]))
+                    held.append(_unpacked(wait, ids, place, more)[1:])
             if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(place[keep]), pa.array(copied[keep])], names=out.names)
+                entry, i, p = _unpacked(keep, ids, place, more)
+                yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(p), pa.array(copied[entry])], names=out.names)
             anchor, content, least, several = a[-1], c[-1], low[-1], bool(multi[-1])
 
     return rows.mapInArrow(run, out)
@@ -165,8 +190,8 @@ def _windows(place: np.ndarray) -> np.ndarray:
 
 
 def _open_windows(src: DataFrame, places: DataFrame) -> DataFrame:
-    """``w1, w2, id, place``: the windows of open blocks, one by one."""
-    out = schema("w1 long, w2 long, id long, place long")
+    """``w1, w2, id, place, more``: the windows of open blocks."""
+    out = schema("w1 long, w2 long, id long, place long, more binary")
     rows = src.join(_by_text(places), ["id", "mark"]).select("id", "mark", "text", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,9 +208,7 @@ def _open_windows(src: DataFrame, places: DataFrame) -> DataFrame:
                 at = local + w.first[row]
                 w1, w2 = (mix((t[at + WINDOW] - t[at]) * q[at], 25) for t in (total, other))
                 ids, mark = np.asarray(part.column(0)), np.asarray(part.column(1))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(ids[row]),
-                    _places(mark[row], local, np.ones(len(local), dtype=np.int64))], names=out.names)
+                yield pa.RecordBatch.from_arrays(_keyed(w1, w2, row, ids, _places(mark[row], local, np.ones(len(local), dtype=np.int64))), names=out.names)
 
     return rows.mapInArrow(run, out)
 
@@ -207,7 +230,8 @@ def _repeats(rows: DataFrame) -> DataFrame:
             again = ids > low
             last, least = (a[-1], b[-1]), low[-1]
             if again.any():
-                yield pa.RecordBatch.from_arrays([pa.array(ids[again]), pa.array(place[again])], names=out.names)
+                _, i, p = _unpacked(again, ids, place, batch.column(4))
+                yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(p)], names=out.names)
 
     return rows.mapInArrow(run, out)
 
