@@ -45,7 +45,7 @@ _U = np.uint64
 
 def bands(percent: int, top: int = 1 << 40) -> list[tuple[int, int, int]]:
     """(least size, first-level partitions, spare ones) of each band, from the least size that can differ."""
-    out, lo = [], 100 // (100 - percent)
+    out, lo = [], -(-percent // (100 - percent))  # a set of this size and one with one element more
     while lo < top:
         hi = max(lo + 1, math.floor(lo * BAND))
         need = (hi - 1) * (100 - percent) // percent // 2 + 1
