@@ -13,9 +13,12 @@ many spare first-level partitions as its sets have such partitions by expectatio
 the few sets with more also take signatures for their empty subsets (only such sets can need them).
 
 Groups: equal sets are one class before any join. In a signature bucket every class is first compared with one
-hub (the class in most buckets), which links a large group with as many comparisons as members. Only classes
-of one bucket that are in different components after that are compared directly, and only if their sizes and
-the L1 distance of their 256 bin counts (a lower bound of the difference) allow a link.
+hub (the class in most buckets), which links a large group with as many comparisons as members. Classes of one
+bucket that are in different components after that are not paired off. Each is described by its difference to
+the hub instead: two classes differ by the difference of their differences, and as they are not both linked to
+the hub, a link needs a least number of common elements of these. So under a fixed order (elements the hub
+lacks first) the two must share one of their first few elements; only such pairs are verified, after their
+sizes and the L1 distance of 256 bin counts (a lower bound of the difference) allowed a link.
 
 Edge cases: an empty or null text has an empty set, size 0, and is linked with nothing. A text with fewer
 words than n is one n-gram. Rows that share an id are one document with several texts; null ids order last and
@@ -222,25 +225,31 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, schema("a long, b long")).distinct()
 
 
-def _verified(pairs: DataFrame, src: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs whose sets have the similarity. Texts of the pairs' documents only are dealt out."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = materialize(src.join(ids, "id", "left_semi"), "jaccard-texts")
-    rows = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-            .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
+def _sets_of(n: int):
+    """text -> hashes of its n-grams, remembering the last few."""
+    memo: dict[str, np.ndarray] = {}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, np.ndarray] = {}
+    def set_of(text: str | None) -> np.ndarray:
+        if text not in memo:
+            if len(memo) >= 64:
+                memo.clear()
+            data = np.frombuffer((text or "").encode(), dtype=np.uint8)
+            w = Words(data, np.array([0, len(data)]), lower=True)
+            memo[text] = shingles(w, w.hashes(), n)[1]
+        return memo[text]
 
-        def set_of(text: str | None) -> np.ndarray:
-            if text not in memo:
-                if len(memo) >= 64:
-                    memo.clear()
-                data = np.frombuffer((text or "").encode(), dtype=np.uint8)
-                w = Words(data, np.array([0, len(data)]), lower=True)
-                memo[text] = shingles(w, w.hashes(), n)[1]
-            return memo[text]
+    return set_of
 
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    return (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+            .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs whose sets have the similarity."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        set_of = _sets_of(n)
         for batch in batches:
             ok = []
             for ta, tb in zip(batch.column(2), batch.column(3)):
@@ -250,7 +259,40 @@ def _verified(pairs: DataFrame, src: DataFrame, n: int, percent: int) -> DataFra
             ok = pa.array(ok, type=pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
-    return rows.mapInArrow(run, schema("a long, b long")).distinct()
+    return _with_texts(pairs, texts).mapInArrow(run, schema("a long, b long")).distinct()
+
+
+def _differences(spokes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """``id, hub`` -> ``hub, element, id, pos, d, n``: the first elements of the difference to the hub, as many as any
+    link of the class can need; ``d`` is the whole difference, ``n`` the set's size."""
+    out = schema("hub long, element long, id long, pos long, d long, n long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        set_of = _sets_of(n)
+        for batch in batches:
+            for i in range(len(batch)):
+                own, hub = set_of(batch.column(2)[i].as_py()), set_of(batch.column(3)[i].as_py())
+                new, gone = np.setdiff1d(own, hub, assume_unique=True), np.setdiff1d(hub, own, assume_unique=True)
+                d = len(new) + len(gone)
+                first = np.concatenate((new, gone))[:len(own) * (100 - percent) // percent + 1]
+                m = len(first)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(m, batch.column(1)[i].as_py())), pa.array(first.view(np.int64)), pa.array(np.full(m, batch.column(0)[i].as_py())),
+                    pa.array(np.arange(m)), pa.array(np.full(m, d)), pa.array(np.full(m, len(own)))], names=out.names)
+
+    return _with_texts(spokes.select(F.col("id").alias("a"), F.col("hub").alias("b")), texts).mapInArrow(run, out)
+
+
+def _cross(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that a link allows by their differences to a common hub: with ``k`` the
+    most that linked sets of their sizes differ by, they share at least ``t`` elements, so they share one of the first
+    ``d - t + 1`` of either."""
+    x, y = rows.alias("x"), rows.alias("y")
+    k = F.expr(f"(x.n + y.n) * {100 - percent} div {100 + percent}")
+    near = (x.join(y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.id") < F.col("y.id"))
+                   & (F.col("x.label") != F.col("y.label")) & (F.col("x.n") * percent <= F.col("y.n") * 100) & (F.col("y.n") * percent <= F.col("x.n") * 100)
+                   & (2 * F.col("x.pos") <= F.col("x.d") - F.col("y.d") + k) & (2 * F.col("y.pos") <= F.col("y.d") - F.col("x.d") + k)))
+    return near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS,
@@ -271,25 +313,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     degree = buckets.groupBy("id").agg(F.count(F.lit(1)).alias("deg"))
     hubs = buckets.join(degree, "id").groupBy("sig").agg(F.max_by("id", F.struct("deg", -F.col("id"))).alias("hub"))
     starred = materialize(buckets.join(hubs, "sig"), "jaccard-hubs")
-    sets = prints.join(member.where("id = rep").select("id").distinct(), "id", "left_semi")
-    sets = materialize(sets.join(buckets.select("id").distinct(), "id", "left_semi"), "jaccard-candidates")
-    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    star = starred.where("id <> hub").select(*ordered("id", "hub")).distinct()
+    found = materialize(buckets.select("id").distinct(), "jaccard-candidates")
+    texts = materialize(src.join(found, "id", "left_semi"), "jaccard-texts")
+    sets = materialize(prints.select("id", "n", "bins").join(found, "id", "left_semi"), "jaccard-bins")
+    spokes = starred.where("id <> hub").select("id", "hub").distinct()
+    star = spokes.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     star = materialize(_possible(star, sets, percent), "jaccard-star")
-    links = materialize(_verified(star, src, n_words, percent), "jaccard-links")
+    links = materialize(_verified(star, texts, n_words, percent), "jaccard-links")
     label = components(links)
 
     # What one hub could not settle: classes of a bucket in different components.
-    named = starred.join(label, "id", "left").select("sig", "id", "hub", F.coalesce("label", "id").alias("label"))
-    others = named.where("id <> hub")
+    others = starred.where("id <> hub").join(label, "id", "left").select("sig", "id", "hub", F.coalesce("label", "id").alias("label"))
     split = others.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("sig")
-    others = materialize(others.join(split, "sig").join(sets.select("id", "n"), "id").select("sig", "id", "label", "n"), "jaccard-open")
-    x, y = others.alias("x"), others.alias("y")
-    cross = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
-                   & (F.col("x.n") * percent <= F.col("y.n") * 100) & (F.col("y.n") * percent <= F.col("x.n") * 100))
-    cross = cross.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    others = materialize(others.join(split, "sig").select("id", "hub", "label").distinct(), "jaccard-open")
+    rows = _differences(others.select("id", "hub"), texts, n_words, percent).join(others.select("id", "label").distinct(), "id")
+    cross = _cross(materialize(rows, "jaccard-differences"), percent)
     cross = materialize(_possible(cross, sets, percent), "jaccard-cross")
-    label = components(links.unionByName(_verified(cross, src, n_words, percent)))
+    label = components(links.unionByName(_verified(cross, texts, n_words, percent)))
     out = member.join(label.select(F.col("id").alias("rep"), "label"), "rep", "left")
     return out.select(own_id("id").alias(id_col), F.col("n").alias("n_shingles"),
                       F.nullif(F.coalesce("label", "rep"), F.lit(LAST_ID)).alias("component_id"))
