@@ -8,7 +8,8 @@ count as repeats.
 
 Scale: narrow rows (hash, id, place) are combined on the map side; joins on a hot chunk split between tasks;
 the bytes of repeated chunks are combined on the map side before they are dealt out, so a chunk that a third of
-all documents share arrives once per map task.
+all documents share arrives once per map task. The lists of chunks grow with the input, so they meet the texts by
+a merge join at every size.
 
 Edge cases: a null or empty text, and a text of one line, has no multi-line chunk and stays as it is (a null
 stays null). A tail of one line belongs to the chunk before it. Chunks without a word are never removed. Null
@@ -114,7 +115,7 @@ def _chunk_bytes(src: DataFrame, wanted: DataFrame) -> DataFrame:
     """``h1, h2, id, place, bytes`` of the wanted chunks (of ``id, place``)."""
     out = schema("h1 long, h2 long, id long, place long, bytes binary")
     lists = wanted.groupBy("id", F.shiftrightunsigned("place", _PLACE_BITS).alias("mark")).agg(F.collect_list("place").alias("places"))
-    rows = src.join(lists, ["id", "mark"]).select("id", "mark", "text", "places")
+    rows = src.join(lists.hint("merge"), ["id", "mark"]).select("id", "mark", "text", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,7 +185,7 @@ def _kept(src_rows: DataFrame, passed: list[str], out: T.StructType, text_out: b
 def _with_places(src: DataFrame, extra: list[str]) -> DataFrame:
     gone = repeated_chunks(src.select("id", "mark", "text"))
     lists = gone.groupBy("id", F.shiftrightunsigned("place", _PLACE_BITS).alias("mark")).agg(F.collect_list("place").alias("places"))
-    return src.join(lists, ["id", "mark"], "left").select("id", "text", "places", *extra)
+    return src.join(lists.hint("merge"), ["id", "mark"], "left").select("id", "text", "places", *extra)
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
