@@ -89,8 +89,7 @@ lp AS (SELECT x.a, x.b, x.c, cls.v,
 ratio AS (SELECT a, b, c, sum(CASE v WHEN 'allow' THEN l ELSE -l END) AS d FROM lp GROUP BY ALL),
 score AS (SELECT r, avg(d) AS s FROM g JOIN ratio USING (a, b, c) GROUP BY r),
 held AS (SELECT url, v, any_value(coalesce(s, 0)) AS s FROM u LEFT JOIN score USING (r) WHERE v IS NOT NULL AND fold = 0 GROUP BY url, v),
-m AS (SELECT v, avg(s) AS m, stddev_pop(s) + 1e-9 AS sd FROM held GROUP BY v),
-t AS (SELECT coalesce((SELECT (x.m * y.sd + y.m * x.sd) / (x.sd + y.sd) FROM m x, m y WHERE x.v = 'allow' AND y.v = 'block'), 0) AS t)
+t AS (SELECT coalesce(((SELECT avg(s) FROM held WHERE v = 'allow') + (SELECT avg(s) FROM held WHERE v = 'block')) / 2, 0) AS t)
 SELECT page_id, host, path, rule, coalesce(v, CASE WHEN coalesce(s, 0) >= t THEN 'allow' ELSE 'block' END) AS verdict
 FROM u LEFT JOIN score USING (r), t
 """

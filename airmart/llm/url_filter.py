@@ -4,7 +4,7 @@ A rule is a host and a path prefix; it fits its host and all subdomains, and the
 URLs that a rule decides train two smoothed variable-order Markov models over characters (contexts of 2, 1
 and 0 characters, each interpolated with the next shorter one): one of accepted and one of rejected URLs. All
 other URLs are judged by the length-normalised difference of the two log-likelihoods against a threshold
-calibrated on a held-out fifth of the decided URLs (the point as many deviations from either class's mean).
+calibrated on a held-out fifth of the decided URLs (halfway between the means of the two classes).
 
 Size bound: characters are mapped to ``ALPHABET``, so the model has ``len(ALPHABET) ** 3`` entries (74,088)
 whatever the input; only this table is broadcast. Counting and scoring pre-aggregate on the map side.
@@ -104,10 +104,8 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     mean = lambda grams, *by: grams.join(model, "code", "left").groupBy(*by)
     score = F.coalesce(F.sum("ratio") / F.count("ratio"), F.lit(0.0))
     held = mean(_grams(decided.where(fold == 0)), "url", "verdict").agg(score.alias("score"))
-    stats = held.agg(*(f(F.when(F.col("verdict") == v, F.col("score"))).alias(f"{n}_{v}")
-                       for v in ("allow", "block") for n, f in (("m", F.avg), ("s", F.stddev_pop))))
-    a, b = F.col("s_allow") + 1e-9, F.col("s_block") + 1e-9
-    limit = materialize(stats.select(F.coalesce((F.col("m_allow") * b + F.col("m_block") * a) / (a + b), F.lit(0.0)).alias("t")), "url-limit")
+    means = held.agg(*(F.avg(F.when(F.col("verdict") == v, F.col("score"))).alias(v) for v in ("allow", "block")))
+    limit = materialize(means.select(F.coalesce((F.col("allow") + F.col("block")) / 2, F.lit(0.0)).alias("t")), "url-limit")
 
     ruled = src.where(F.col("rule").isNotNull()).select(
         F.col("id").alias(id_col), "host", "path", "rule", "verdict", F.lit(None).cast("double").alias("score"))
