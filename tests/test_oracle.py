@@ -4,10 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from airmart.plans import registry
 from scripts.check_oracle import TABLES, rows_of
 from tests.conftest import SF_SMALL
 
-ORACLE = entry.oracle_sql()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,13 +20,13 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    missing = set(entry.queries()) - set(ORACLE)
+    missing = set(registry.queries()) - set(ORACLE)
     assert missing == {"landing_roundtrip", "incremental_equals_batch"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = registry.queries()[name](spark, SF_SMALL)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
     res = duck.sql(ORACLE[name])
     o_cols, o_rows = res.columns, res.fetchall()
