@@ -207,9 +207,8 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sizes and bin counts allow a link (a bound, never a false refusal)."""
     x = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bins").alias("ba"))
     y = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("bb"))
-    sized = pairs.join(x.drop("ba"), "a").join(y.drop("bb"), "b").where(
-        F.col("na") * percent <= F.col("nb") * 100).where(F.col("nb") * percent <= F.col("na") * 100)
-    rows = sized.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "na", "nb", "ba", "bb")
+    rows = pairs.join(x, "a").join(y, "b").where(
+        F.col("na") * percent <= F.col("nb") * 100).where(F.col("nb") * percent <= F.col("na") * 100).select("a", "b", "na", "nb", "ba", "bb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,8 +241,8 @@ def _sets_of(n: int):
 
 
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    return (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-            .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
+    return (pairs.hint("merge").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+            .hint("merge").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -303,18 +302,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = prints.where("n > 0").groupBy("f1", "f2").agg(F.min("id").alias("rep"))
     member = materialize(prints.select("id", "n", "f1", "f2").join(classes, ["f1", "f2"], "left")
                          .select("id", "n", F.coalesce("rep", "id").alias("rep")), "jaccard-classes")
-    # A set can only share its signatures with others; the shuffle below is the one pass over all of them.
+    # Tables that grow with the input meet by merge joins at every size. A set can only share its signatures with others; the shuffle below is the one pass over all of them.
     rows = set_signatures(src, n_words, percent).repartition(width(spark), "sig").sortWithinPartitions("sig", "id")
     shared = materialize(_shared(rows), "jaccard-shared")
     copies = member.where("id <> rep").select("id", "rep").distinct()
-    by_class = shared.join(copies, "id", "left").select("sig", F.coalesce("rep", "id").alias("id")).distinct()
+    by_class = shared.join(copies.hint("merge"), "id", "left").select("sig", F.coalesce("rep", "id").alias("id")).distinct()
     of_sig = by_class.groupBy("sig").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("sig")
-    buckets = materialize(by_class.join(of_sig, "sig"), "jaccard-buckets")
+    buckets = materialize(by_class.join(of_sig.hint("merge"), "sig"), "jaccard-buckets")
     degree = buckets.groupBy("id").agg(F.count(F.lit(1)).alias("deg"))
-    hubs = buckets.join(degree, "id").groupBy("sig").agg(F.max_by("id", F.struct("deg", -F.col("id"))).alias("hub"))
-    starred = materialize(buckets.join(hubs, "sig"), "jaccard-hubs")
+    hubs = buckets.join(degree.hint("merge"), "id").groupBy("sig").agg(F.max_by("id", F.struct("deg", -F.col("id"))).alias("hub"))
+    starred = materialize(buckets.join(hubs.hint("merge"), "sig"), "jaccard-hubs")
     found = materialize(buckets.select("id").distinct(), "jaccard-candidates")
-    texts = materialize(src.join(found, "id", "left_semi"), "jaccard-texts")
+    texts = materialize(src.join(found.hint("merge"), "id", "left_semi"), "jaccard-texts")
     sets = materialize(prints.select("id", "n", "bins").join(found, "id", "left_semi"), "jaccard-bins")
     spokes = starred.where("id <> hub").select("id", "hub").distinct()
     star = spokes.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
