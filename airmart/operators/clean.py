@@ -55,6 +55,7 @@ PARTITION_COLS = ("country", "city", "district", "year", "month", "day")
 AUDIT_COLS = ("_stg_file_name", "_stg_file_load_ts", "_stg_file_md5", "_copy_data_ts",
               "_copy_data_user", "_copy_data_role")
 DEDUP_KEYS = ("measurement_epoch", "location_name", "latitude", "longitude")
+ORDER_COLUMNS = ("_stg_file_load_ts", "_copy_data_ts", "_stg_file_name", "_stg_file_md5")
 
 CLEAN_COLUMNS = (
     "measurement_ts", "measurement_epoch", "request_ts", "request_epoch", "location_name", "region",
@@ -101,8 +102,7 @@ def latest_file_order() -> list[Column]:
     Copy time and file name break ties between files; the content hash breaks
     ties between readings of one JSON Lines file (same name and load time).
     """
-    return [F.col("_stg_file_load_ts").desc_nulls_first(), F.col("_copy_data_ts").desc_nulls_first(),
-            F.col("_stg_file_name").desc_nulls_first(), F.col("_stg_file_md5").desc_nulls_first()]
+    return [F.col(c).desc_nulls_first() for c in ORDER_COLUMNS]
 
 
 def dedup_latest_file(flat: DataFrame) -> DataFrame:

@@ -3,13 +3,14 @@ daily view (A-3) and current status per district (B-9).
 
 A-1 is one hash aggregate (partial on the map side, final after one shuffle on
 the ten group keys); MODE is an ObjectHashAggregate whose buffer is bounded by
-the handful of distinct wind directions / conditions. Location names are
+the handful of distinct wind directions / conditions, so the session settings
+allow more groups per task before it falls back to sorting. Location names are
 formatted *after* grouping (D10), once per group instead of once per reading.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.agg import mode_of, round_avg
@@ -17,7 +18,6 @@ from ..functions.metrics import (aqi_criteria_met, custom_aqi, defra_category, e
                                  is_valid_measurement, prominent_pollutant)
 from ..functions.names import format_location_name
 from ..functions.timefn import day_name, day_of_week0, hour_floor, local_hour
-from ..plans.joins import broadcast_if_bounded
 
 GROUP_KEYS = ("country", "city", "district", "location_name", "region", "latitude", "longitude", "timezone_id")
 
@@ -28,8 +28,6 @@ HOURLY_AVERAGES = (
     ("us_epa_index", 0, "decimal(10,0)"), ("gb_defra_index", 0, "decimal(10,0)"),
     ("temp_c", 1, "decimal(10,1)"), ("humidity", 0, "decimal(10,0)"), ("cloud_cover", 0, "decimal(10,0)"),
     ("wind_kph", 1, "decimal(10,1)"),
-)
-HOURLY_AVERAGES_2 = (
     ("pressure_mb", 1, "decimal(10,1)"), ("precip_mm", 2, "decimal(10,2)"),
     ("visibility_km", 1, "decimal(10,1)"), ("uv_index", 0, "decimal(10,0)"),
 )
@@ -52,7 +50,7 @@ def hourly_rollup(clean: DataFrame) -> DataFrame:
     Both the local and the UTC hour are group keys (D2): in a half-hour zone,
     or across a DST fall-back, one local hour yields two rows.
     """
-    avg_cols = [round_avg(c, d).cast(t).alias(c) for c, d, t in HOURLY_AVERAGES + HOURLY_AVERAGES_2]
+    avg_cols = [round_avg(c, d).cast(t).alias(c) for c, d, t in HOURLY_AVERAGES]
     agg = (clean
            .groupBy(local_hour("measurement_ts", "timezone_id").alias("hour_timestamp_local"),
                     hour_floor("measurement_ts").alias("hour_timestamp_utc"),
@@ -120,31 +118,18 @@ def aqi_daily(cons: DataFrame) -> DataFrame:
                  F.sum("readings_in_hour").alias("total_raw_readings")))
 
 
-# Districts per country are few (the monitoring roster), far below this bound.
-LATEST_KEYS_BROADCAST_ROWS = 1_000_000
-
-
 def aqi_current(cons: DataFrame) -> DataFrame:
     """B-9 ``vw_aqi_current``: rows at the latest hour of each (country, district).
 
-    Equality join on country and district, so NULL keys drop out and every
-    location sharing the latest hour is returned (D18). The per-district
-    maxima are a partial+final aggregate; they are broadcast after a size
-    check, so the consumption table itself is never shuffled for the join.
+    Rows with a NULL country or district drop out, and every location sharing
+    the latest hour is returned (D18): rank 1 over (country, district) by hour,
+    which Spark limits within each map task before the shuffle, so a district
+    that holds a third of all rows sends only its latest rows.
     """
-    latest = (cons.groupBy("country", "district")
-              .agg(F.max("aqi_timestamp").alias("latest_timestamp"))
-              .where(F.col("country").isNotNull() & F.col("district").isNotNull()
-                     & F.col("latest_timestamp").isNotNull()))
-    lm = broadcast_if_bounded(latest.withColumnsRenamed({"country": "lm_country", "district": "lm_district"}),
-                              LATEST_KEYS_BROADCAST_ROWS)
-    c = cons.select("country", "district", "location_name", "aqi_timestamp", "latitude", "longitude",
-                    "timezone_id", "pm2_5", "pm10", "us_epa_index", "epa_category", "prominent_pollutant",
-                    "temp_c", "humidity", "wind_kph", "weather_condition", "is_valid_measurement",
-                    "readings_in_hour")
-    j = c.join(lm, (c.country == lm.lm_country) & (c.district == lm.lm_district)
-               & (c.aqi_timestamp == lm.latest_timestamp))
-    return j.select("country", "district", "location_name", F.col("aqi_timestamp").alias("last_updated"),
+    latest_first = Window.partitionBy("country", "district").orderBy(F.col("aqi_timestamp").desc())
+    return (cons.where(F.col("country").isNotNull() & F.col("district").isNotNull() & F.col("aqi_timestamp").isNotNull())
+            .select("country", "district", "location_name", F.col("aqi_timestamp").alias("last_updated"),
                     "latitude", "longitude", "timezone_id", "pm2_5", "pm10", "us_epa_index", "epa_category",
-                    "prominent_pollutant", "temp_c", "humidity", "wind_kph", "weather_condition",
-                    "is_valid_measurement", "readings_in_hour")
+                    "prominent_pollutant", "temp_c", "humidity", "wind_kph", "weather_condition", "is_valid_measurement",
+                    "readings_in_hour", F.rank().over(latest_first).alias("_rank"))
+            .where(F.col("_rank") == 1).drop("_rank"))

@@ -75,18 +75,21 @@ def latest_local_day(star: Star) -> DataFrame:
     Read from the fact alone: every fact joins both dimensions (they are
     distinct projections of the same hourly table, which ``key_integrity``
     checks), so the day equals ``MAX(measurement_date)`` of the joined view
-    without re-joining the dimensions.
+    without re-joining the dimensions. A local day is at most one day off its
+    UTC date, so it lies in the three latest UTC dates, and only these are read.
     """
-    return star.fact.agg(F.max(F.to_date("local_timestamp")).alias("_latest_day"))
+    return star.latest_utc_dates(3).fact.agg(F.max(F.to_date("local_timestamp")).alias("_latest_day"))
 
 
 def top_cities(star: Star, n: int = 10) -> DataFrame:
     """B-1: the ``n`` cities with the highest AQI on the latest local day.
 
     The latest day is a one-row aggregate (broadcast, bounded by construction);
-    facts are filtered to that day *before* the daily aggregation, so only one
-    day's rows reach the shuffle. Ties order by country, city (D20).
+    facts are pruned to the three latest UTC dates, which hold it, and filtered to
+    that day *before* the daily aggregation, so only one day's rows reach the
+    shuffle. Ties order by country, city (D20).
     """
+    star = star.latest_utc_dates(3)
     j = star.fact_location_date()
     day = j.join(F.broadcast(latest_local_day(star)),
                  F.to_date(F.col("f.local_timestamp")) == F.col("_latest_day"))
@@ -187,7 +190,7 @@ def freshness(star: Star, now, display_tz: str = "UTC") -> DataFrame:
     ``current_timestamp()``), interpreted in ``display_tz`` wall-clock time.
     """
     now_col = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
-    latest = star.fact.agg(F.max("utc_timestamp").alias("_max_utc"))
+    latest = star.latest_utc_dates(1).fact.agg(F.max("utc_timestamp").alias("_max_utc"))
     shown = F.convert_timezone(F.lit("UTC"), F.lit(display_tz), F.col("_max_utc"))
     out = latest.select(shown.alias("latest_reading"),
                         boundary_diff("MINUTE", shown, now_col).alias("minutes_old"))

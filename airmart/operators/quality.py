@@ -14,13 +14,14 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.agg import round_avg
 from ..functions.timefn import boundary_diff
-from .clean import flatten_payload
+from ..session import new_table_root
+from .clean import DEDUP_KEYS, ORDER_COLUMNS, flatten_payload, latest_file_order
 from .star import Star
 
 CHECK_SCHEMA = "test_name string, result string, metric double"
@@ -224,75 +225,63 @@ def key_integrity(star: Star) -> DataFrame:
     Duplicate keys are reproduced, not repaired (D2 half-hour zones and DST
     give two facts per local hour; D6 shared coordinates give two locations
     per key); this check reports them. Orphan checks are anti joins against
-    dimensions broadcast behind their size check.
+    both dimensions.
     """
     return (_dup_key_check("date_dim.date_pk unique", star.date_dim, "date_pk")
             .unionByName(_dup_key_check("location_dim.location_pk unique", star.location_dim, "location_pk"))
             .unionByName(_dup_key_check("air_quality_fact.aqi_pk unique", star.fact, "aqi_pk"))
             .unionByName(_orphan_check("air_quality_fact.date_fk -> date_dim", star.fact, "date_fk",
-                                       star.dim("date_dim"), "date_pk"))
+                                       star.date_dim, "date_pk"))
             .unionByName(_orphan_check("air_quality_fact.location_fk -> location_dim", star.fact, "location_fk",
-                                       star.dim("location_dim"), "location_pk")))
+                                       star.location_dim, "location_pk")))
 
 
 # Q-14: the rule set declared in the reference's configuration (nulls, duplicates, ranges).
 NULL_RULE_FIELDS = ("measurement_epoch", "location_name", "latitude", "longitude")
 
 
-def _order_key() -> Column:
-    """W-1's ordering as one comparable struct: the greatest struct is the winning file.
-
-    Each field is preceded by its null flag so that NULL sorts first in the
-    descending order (``desc_nulls_first``), as in ``latest_file_order``.
-    """
-    parts = []
-    for c in ("_stg_file_load_ts", "_copy_data_ts", "_stg_file_name", "_stg_file_md5"):
-        parts += [F.col(c).isNull().alias(f"{c}_null"), F.col(c).alias(c)]
-    return F.struct(*parts)
-
-
-DEDUP_KEYS = ("measurement_epoch", "location_name", "latitude", "longitude")
-
-
 def tag_validity(raw: DataFrame, check_nulls: bool = True, check_duplicates: bool = True,
                  check_ranges: bool = True) -> DataFrame:
     """Flattened readings with a ``reasons`` column ('' when valid); see ``split_valid``.
 
-    A duplicate is a reading that ranks below the winner of its dedup key. The
-    winner's ordering struct comes from a partial+final aggregate (a hot key is
-    collapsed map-side) and is joined back on the key; a window over all rows of
-    a key would sort a hot key in one task.
+    Each dedup key has one winner, by W-1's order; every other reading of the key
+    is a duplicate, identical copies included. With this rule the flattened rows
+    are first written with a row id (payloads are parsed once), winners are picked
+    from the key and order columns alone (limited within each map task, so a hot
+    key sends one row a task), and they are joined back on the row id.
     """
-    flat = flatten_payload(raw, lenient=True).withColumn("_order", _order_key())
+    flat = flatten_payload(raw, lenient=True)
     reasons = []
     if check_nulls:
         reasons.append(F.when(_any_null(NULL_RULE_FIELDS), F.lit("null")))
     if check_duplicates:
-        best = flat.groupBy(*DEDUP_KEYS).agg(F.max("_order").alias("_best"))
-        cond = [flat[k].eqNullSafe(best[k]) for k in DEDUP_KEYS]
-        flat = flat.join(best, cond, "left").select(flat["*"], best["_best"])
-        reasons.append(F.when(F.col("_order") < F.col("_best"), F.lit("duplicate")))
+        path = new_table_root(raw.sparkSession, "tagged")
+        flat.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+        flat = raw.sparkSession.read.parquet(path)
+        first = Window.partitionBy(*DEDUP_KEYS).orderBy(*latest_file_order(), "_row")
+        winners = (flat.select(*DEDUP_KEYS, *ORDER_COLUMNS, "_row").withColumn("_rank", F.row_number().over(first))
+                   .where(F.col("_rank") == 1).select(F.col("_row").alias("_winner")))
+        flat = flat.join(winners, F.col("_row") == F.col("_winner"), "left")
+        reasons.append(F.when(F.col("_winner").isNull(), F.lit("duplicate")))
     if check_ranges:
         reasons.append(F.when(range_violation(), F.lit("range")))
     tagged = flat.withColumn("reasons", F.concat_ws(",", *reasons) if reasons else F.lit(""))
-    return tagged.drop("_order", "_best")
+    return tagged.drop("_row", "_winner")
 
 
 def split_valid(raw: DataFrame, **rules) -> tuple[DataFrame, DataFrame]:
     """Q-14: (accepted, rejected) readings; rejected rows carry their reasons.
 
     Values are read leniently (an uncastable value becomes NULL and fails the
-    null rule instead of the query). A duplicate is any reading that ranks
-    below the latest file of its dedup key (W-1's ordering); exact copies of the
-    winner in the same file are all accepted. Write both sides from one
-    materialized ``tag_validity`` when both are kept.
+    null rule instead of the query). A duplicate is any reading but the one that
+    W-1 keeps for its dedup key, so as many are accepted as ``clean`` keeps.
     """
     tagged = tag_validity(raw, **rules)
     return tagged.where(F.col("reasons") == ""), tagged.where(F.col("reasons") != "")
 
 
 def split_valid_report(raw: DataFrame) -> DataFrame:
-    """Every reading with its validity and reasons (the registered form of Q-14), one pass."""
+    """Every reading with its validity and reasons (the registered form of Q-14)."""
     return tag_validity(raw).select("measurement_epoch", "location_name", "_stg_file_name", "reasons",
                                     (F.col("reasons") == "").alias("is_valid"))
 

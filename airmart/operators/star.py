@@ -8,13 +8,12 @@ task); the fact is a narrow projection with hash keys and needs no shuffle.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
-from ..plans.joins import DIM_BROADCAST_ROWS, broadcast_if_bounded, row_bound
 
 DATE_COLUMNS = ("aqi_year", "aqi_month", "aqi_quarter", "aqi_day", "aqi_hour", "aqi_day_of_week", "aqi_day_name")
 LOCATION_COLUMNS = ("latitude", "longitude", "country", "city", "district", "location_name", "region",
@@ -66,20 +65,12 @@ def air_quality_fact(cons: DataFrame) -> DataFrame:
 
 @dataclass
 class Star:
-    """The three star tables plus any row counts already proven (for broadcast decisions)."""
+    """The three star tables. Joins carry no hints: Spark broadcasts a dimension by its size in bytes, or
+    adaptively by its size at run time, and sorts and merges beyond that."""
 
     fact: DataFrame
     date_dim: DataFrame
     location_dim: DataFrame
-    rows: dict = field(default_factory=dict)
-
-    def dim(self, name: str) -> DataFrame:
-        """The dimension, with a broadcast hint only if its row count is proven bounded."""
-        df = getattr(self, name)
-        if name not in self.rows:
-            n = row_bound(df, DIM_BROADCAST_ROWS)
-            self.rows[name] = n if n is not None else DIM_BROADCAST_ROWS + 1
-        return broadcast_if_bounded(df, DIM_BROADCAST_ROWS, known_rows=self.rows[name])
 
     def for_local_dates(self, first, last=None) -> "Star":
         """Facts of local days ``first..last`` only, pruned to the UTC-date partitions that can hold them.
@@ -96,16 +87,28 @@ class Star:
         if "utc_date" in f.columns:
             f = f.where(F.col("utc_date").between(F.date_sub(F.lit(first), 1), F.date_add(F.lit(last), 1)))
         f = f.where(F.to_date(F.col("local_timestamp")).between(F.lit(first), F.lit(last)))
-        return Star(f, self.date_dim, self.location_dim, rows=self.rows)
+        return Star(f, self.date_dim, self.location_dim)
+
+    def latest_utc_dates(self, days: int) -> "Star":
+        """Facts of the ``days`` latest UTC dates only.
+
+        The latest date comes from the partition column, and as a scalar
+        subquery on it the filter prunes date folders at run time. A fact
+        without the partition column is left as it is.
+        """
+        if "utc_date" not in self.fact.columns:
+            return self
+        last = self.fact.agg(F.max("utc_date")).scalar()
+        return Star(self.fact.where(F.col("utc_date") > F.date_sub(last, days)), self.date_dim, self.location_dim)
 
     def fact_location(self) -> DataFrame:
         """``fact f JOIN location_dim l ON f.location_fk = l.location_pk`` (J-1)."""
-        f, loc = self.fact.alias("f"), self.dim("location_dim").alias("l")
+        f, loc = self.fact.alias("f"), self.location_dim.alias("l")
         return f.join(loc, F.col("f.location_fk") == F.col("l.location_pk"))
 
     def fact_location_date(self) -> DataFrame:
         """J-1 plus ``JOIN date_dim d ON f.date_fk = d.date_pk`` (J-2)."""
-        d = self.dim("date_dim").alias("d")
+        d = self.date_dim.alias("d")
         return self.fact_location().join(d, F.col("f.date_fk") == F.col("d.date_pk"))
 
 

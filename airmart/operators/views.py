@@ -1,9 +1,9 @@
 """Serving views over the star schema (A-4, A-5, A-6, B-7, W-2, W-3).
 
-Every view joins the fact to dimensions that are broadcast only after their
-row count is proven bounded (``Star.dim``), so the fact is read once and never
-shuffled for a join; the only shuffle is the aggregation's, after a map-side
-partial aggregate.
+Every view joins the fact to its dimensions without hints: Spark broadcasts a
+dimension by its size, so the fact is read once and, while dimensions are small,
+not shuffled for a join; then the only shuffle is the aggregation's, after a
+map-side partial aggregate.
 """
 
 from __future__ import annotations

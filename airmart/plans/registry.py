@@ -122,6 +122,12 @@ def _fact(wh):
     return wh.star.fact.drop("aqi_pk", "date_fk", "location_fk", "utc_date")
 
 
+def _split_valid(wh):
+    """All readings, every tenth delivered twice (an identical copy), with validity and reasons."""
+    copies = wh.raw.where(F.col("_stg_file_md5") < "1a")
+    return q.split_valid_report(wh.raw.unionByName(copies))
+
+
 def _quality(wh):
     return q.quality_report(wh.raw, _clean_rows(wh), now=FIXED_NOW)
 
@@ -165,16 +171,28 @@ SPARK: dict[str, Callable[[Warehouse], DataFrame]] = {
     "district_summary": lambda wh: q.district_summary(_clean_rows(wh)),
     "quality_report": _quality,
     "key_integrity": lambda wh: q.key_integrity(wh.star),
-    "split_valid": lambda wh: q.split_valid_report(wh.raw),
+    "split_valid": _split_valid,
 }
 
 
+LOCAL_COLUMNS = ("_copy_data_ts", "_copy_data_user", "_copy_data_role")  # of the copy, not of the reading
+
+
+def _landed(spark: SparkSession, raw: DataFrame, label: str, layout: str, **options) -> DataFrame:
+    root = new_table_root(spark, label)
+    write_landing(raw, f"{root}/landing", layout=layout, **options)
+    return read_landing(spark, f"{root}/landing", layout=layout)
+
+
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S-2 -> S-3: land every reading as gzip JSON Lines, read the files back, flatten (rows-only check)."""
-    wh = warehouse_for(spark, sf_dir)
-    root = new_table_root(spark, "landing")
-    write_landing(wh.raw, f"{root}/landing", compression="gzip")
-    return normalize(flatten_payload(read_landing(spark, f"{root}/landing")))
+    """S-2 -> S-3..S-6: every reading as gzip JSON Lines, in folders whose names need escapes, read back and flattened."""
+    raw = warehouse_for(spark, sf_dir).raw.withColumn("district", F.concat("district", F.lit(" o'x:y%z+")))
+    return normalize(flatten_payload(_landed(spark, raw, "landing", "lines", compression="gzip")).drop(*LOCAL_COLUMNS))
+
+
+def landing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean layer (latest file wins) over one document per file."""
+    return normalize(clean(_landed(spark, warehouse_for(spark, sf_dir).raw, "documents", "document")).drop(*LOCAL_COLUMNS))
 
 
 def incremental_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,19 +215,37 @@ def incremental_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
                   raw.where(ts >= F.lit(cut2)).unionByName(raw.where(first_day))]
     for part in deliveries:
         write_landing(part, f"{root}/landing")
-        run_incremental(spark, f"{root}/landing", f"{root}/mart", f"{root}/checkpoint").awaitTermination()
-    return normalize(spark.read.parquet(f"{root}/mart/aqi_consumption").select(*CONSUMPTION_COLUMNS))
+        run_incremental(spark, f"{root}/landing", f"{root}/mart", f"{root}/checkpoint", layout="lines").awaitTermination()
+    return normalize(spark.read.parquet(f"{root}/mart/aqi_consumption").select(*CONSUMPTION_COLUMNS).drop("_copy_data_ts"))
+
 
+def _page(fn):
+    """A page query on the star, restricted to a selection that all test tables hold."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return normalize(fn(warehouse_for(spark, sf_dir).star))
+    return run
 
-ROWS_ONLY = {"landing_roundtrip": landing_roundtrip, "incremental_equals_batch": incremental_mart}
+
+# The selection of the drill-down pages.
+PAGE = {"country": "India", "city": "New Delhi", "date": "2024-01-10"}
+DISTRICT = "Santa Anita"
+
+LANDED = {"landing_roundtrip": landing_roundtrip, "landing_documents": landing_documents, "incremental_equals_batch": incremental_mart}
+PAGES = {
+    "page_city_day": _page(lambda star: dash.city_day_series(star, **PAGE, pollutant="PM10")),
+    "page_district_day": _page(lambda star: dash.district_day_series(star, PAGE["country"], PAGE["city"], DISTRICT, PAGE["date"], "O3")),
+    "page_map_rows": _page(lambda star: dash.city_day_map(star, **PAGE)[0]),
+    "page_map_summary": _page(lambda star: dash.city_day_map(star, **PAGE)[1]),
+    "page_districts": _page(lambda star: dash.filter_values(v.hourly_district_detail(star), "district", country=PAGE["country"], city=PAGE["city"])),
+    "freshness_lima": _page(lambda star: dash.freshness(star, FIXED_NOW, "America/Lima")),
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: _wh(fn) for name, fn in SPARK.items()}
-    out.update(ROWS_ONLY)
-    return out
+    return out | LANDED | PAGES
 
 
 def oracle_sql() -> dict[str, str]:
     from .oracle_queries import ORACLE
-    return {name: ORACLE[name] for name in SPARK if name in ORACLE}
+    return {name: ORACLE[name] for name in (*SPARK, *LANDED, *PAGES) if name in ORACLE}

@@ -14,21 +14,21 @@ Layout (each a folder under the build root):
                           the measurement
 * ``aqi_consumption``    hourly layer, partitioned by ``utc_date``
 * ``air_quality_fact``   partitioned by ``utc_date``
-* ``date_dim``, ``location_dim``   small, unpartitioned; row counts observed
-                          while writing prove the broadcast bound for free.
+* ``date_dim``, ``location_dim``   small, unpartitioned
 
 A location-hour lies in exactly one UTC date, so ``utc_date`` partitions can
 be recomputed independently (``streaming.incremental``). Writes use the
 ``rebalance`` hint on the partition column: AQE then sizes the output tasks
 (splitting a hot date, merging small ones) instead of writing one file per
-shuffle task per date.
+shuffle task per date. The fact is a narrow projection of the hourly table and
+is read from that table's date folders, so it is written without a shuffle.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import CLEAN_COLUMNS, clean
@@ -43,18 +43,13 @@ def with_utc_date(df: DataFrame, ts_col: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite",
-                count_rows: bool = False) -> int | None:
-    """Write ``df`` as parquet; returns the row count when ``count_rows`` (observed, no extra job)."""
-    obs = None
-    if count_rows:
-        obs = Observation()
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+                rebalance: bool = True) -> None:
+    """Write ``df`` as parquet; a partitioned table is rebalanced unless its rows already lie together."""
     if partition_by:
-        df = df.hint("rebalance", partition_by)
+        df = df.hint("rebalance", partition_by) if rebalance else df
         df.write.mode(mode).partitionBy(partition_by).parquet(path)
     else:
         df.write.mode(mode).parquet(path)
-    return obs.get["rows"] if obs is not None else None
 
 
 @dataclass
@@ -63,7 +58,6 @@ class Warehouse:
 
     spark: SparkSession
     root: str
-    rows: dict
     _tables: dict = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
@@ -90,19 +84,16 @@ class Warehouse:
     @property
     def star(self) -> Star:
         # utc_date (the partition column) stays on the fact so date-bounded pages can prune partitions.
-        # rows is shared, so a dimension size proven once (or observed at build time) is reused.
         return Star(self.table("air_quality_fact").select(*FACT_COLUMNS, UTC_DATE), self.table("date_dim"),
-                    self.table("location_dim"), rows=self.rows)
+                    self.table("location_dim"))
 
 
-def build_star_tables(spark: SparkSession, cons: DataFrame, root: str, mode: str = "overwrite") -> dict:
-    """Write fact (by utc_date) and both dimensions from a consumption table."""
-    rows = {}
+def build_star_tables(spark: SparkSession, cons: DataFrame, root: str, mode: str = "overwrite") -> None:
+    """Write fact (by utc_date) and both dimensions from a materialized consumption table."""
     write_table(with_utc_date(air_quality_fact(cons), "utc_timestamp"), f"{root}/air_quality_fact",
-                partition_by=UTC_DATE, mode=mode)
-    rows["date_dim"] = write_table(date_dim(cons), f"{root}/date_dim", count_rows=True)
-    rows["location_dim"] = write_table(location_dim(cons), f"{root}/location_dim", count_rows=True)
-    return rows
+                partition_by=UTC_DATE, mode=mode, rebalance=False)
+    write_table(date_dim(cons), f"{root}/date_dim")
+    write_table(location_dim(cons), f"{root}/location_dim")
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str, arg_scale: int | None = None) -> Warehouse:
@@ -114,10 +105,10 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str, arg_scale: i
     cons = build_consumption(clean_t, arg_scale=arg_scale)
     write_table(with_utc_date(cons, "aqi_timestamp_utc"), f"{root}/aqi_consumption", partition_by=UTC_DATE)
     cons_t = spark.read.parquet(f"{root}/aqi_consumption").select(*CONSUMPTION_COLUMNS)
-    rows = build_star_tables(spark, cons_t, root)
-    return Warehouse(spark, root, rows)
+    build_star_tables(spark, cons_t, root)
+    return Warehouse(spark, root)
 
 
 def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
-    """Handles on an existing build (dimension sizes are proven on first use)."""
-    return Warehouse(spark, root, {})
+    """Handles on an existing build."""
+    return Warehouse(spark, root)

@@ -22,6 +22,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # MODE keeps one small map per group; below this many groups a task aggregates without sorting.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 
@@ -45,7 +47,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
+    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode",
+              "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"):
         spark.conf.set(k, conf[k])
     return spark
 
@@ -72,6 +75,8 @@ def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
         "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": SESSION_DEFAULTS[
+            "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"],
     }
 
 
@@ -84,21 +89,10 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        try:
-            root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-        except Exception:  # no classic SparkContext: the session conf is the only source
-            root = None
-    if not root:
-        master = spark.conf.get("spark.master", "") or ""
-        if not master.startswith("local"):
+        if not (spark.conf.get("spark.master", "") or "").startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="airmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    try:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:
-        pass
     return root.rstrip("/")
 
 

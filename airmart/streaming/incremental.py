@@ -126,10 +126,10 @@ class IncrementalMart:
         self.refresh_dates(self.append_raw(batch, batch_id))
 
     def warehouse(self) -> Warehouse:
-        return Warehouse(self.spark, self.root, {})
+        return Warehouse(self.spark, self.root)
 
 
-def run_incremental(spark: SparkSession, landing_path: str, root: str, checkpoint: str, layout: str = "lines",
+def run_incremental(spark: SparkSession, landing_path: str, root: str, checkpoint: str, layout: str = "document",
                     role: str = "SYSADMIN", available_now: bool = True, processing_time: str = "30 minutes",
                     max_file_age: str = "36500d", max_files_per_trigger: int | None = None,
                     max_bytes_per_trigger: str | None = None):
