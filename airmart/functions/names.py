@@ -26,7 +26,7 @@ def format_location_name(c) -> Column:
         from . import sqltext
         return F.expr(sqltext.format_name(sqltext.q(c)))
     c = as_col(c)
-    words = F.filter(F.split(F.regexp_replace(c, "_", " "), r"\s+"), lambda w: w != "")
+    words = F.filter(F.split(F.regexp_replace(c, "_", " "), r"(?U)\s+"), lambda w: w != "")
     shaped = F.transform(
         words,
         lambda w, i: F.when((i == 0) | ~F.lower(w).isin(*LOWERCASE_WORDS), _capitalize(w))

@@ -22,7 +22,7 @@ def q(name: str) -> str:
 def format_name(x: str) -> str:
     words = ", ".join(f"'{w}'" for w in LOWERCASE_WORDS)
     return (f"CASE WHEN {x} IS NULL THEN NULL ELSE array_join(transform(filter(split(replace({x}, '_', ' '), "
-            f"'\\\\s+'), w -> w <> ''), (w, i) -> CASE WHEN i = 0 OR NOT array_contains(array({words}), lower(w)) "
+            f"'(?U)\\\\s+'), w -> w <> ''), (w, i) -> CASE WHEN i = 0 OR NOT array_contains(array({words}), lower(w)) "
             f"THEN concat(upper(substr(w, 1, 1)), lower(substr(w, 2))) ELSE lower(w) END), ' ') END")
 
 

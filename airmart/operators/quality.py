@@ -26,7 +26,7 @@ from .star import Star
 
 CHECK_SCHEMA = "test_name string, result string, metric double"
 
-# Accepted ranges of the numeric check (inclusive bounds).
+# Fixed values (with the check titles below): accepted ranges of the numeric check (inclusive bounds).
 RANGES = (("pm2_5", 0, 500), ("pm10", 0, 500), ("temp_c", -50, 60), ("humidity", 0, 100),
           ("us_epa_index", 1, 6))
 REQUIRED_FIELDS = ("measurement_ts", "location_name", "latitude", "longitude", "_stg_file_name")
@@ -114,16 +114,22 @@ def clean_checks(clean: DataFrame, raw: DataFrame | None = None, now=None, min_d
                  expected_tz: str = "America/Lima") -> DataFrame:
     """Q-1, Q-3..Q-10 on the clean table (one scan, plus one count of raw for Q-10)."""
     now_c = _now(now)
-    a = clean.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.least(*[F.count(c) for c in REQUIRED_FIELDS]).alias("min_required"),
+    # One row per district and time zone first; distinct counts and the string maximum then read only these.
+    g = clean.groupBy("district", "timezone_id").agg(
+        F.count(F.lit(1)).alias("n"), *(F.count(c).alias(f"has_{c}") for c in REQUIRED_FIELDS),
         F.max(F.col("_copy_data_ts").cast("timestamp_ntz")).alias("latest_load"),
+        _flag_sum(range_violation()).alias("out_of_range"), _flag_sum(_any_null(METADATA_FIELDS)).alias("missing_meta"),
+        F.count("temp_c").alias("with_temp"))
+    a = g.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.coalesce(F.least(*[F.sum(f"has_{c}") for c in REQUIRED_FIELDS]), F.lit(0)).alias("min_required"),
+        F.max("latest_load").alias("latest_load"),
         F.count_distinct("district").alias("districts"),
-        _flag_sum(range_violation()).alias("out_of_range"),
-        _flag_sum(_any_null(METADATA_FIELDS)).alias("missing_meta"),
+        F.sum("out_of_range").alias("out_of_range"),
+        F.sum("missing_meta").alias("missing_meta"),
         F.count_distinct("timezone_id").alias("timezones"),
         F.max("timezone_id").alias("max_tz"),
-        F.count("temp_c").alias("with_temp"))
+        F.coalesce(F.sum("with_temp"), F.lit(0)).alias("with_temp"))
     if raw is not None:
         a = a.crossJoin(raw.agg(F.count(F.lit(1)).alias("raw_n")))  # J-5: two one-row aggregates
     n = F.col("n")
@@ -152,12 +158,39 @@ def clean_checks(clean: DataFrame, raw: DataFrame | None = None, now=None, min_d
     return a.select(F.inline(F.array(*checks)))
 
 
+def required_fields(clean: DataFrame) -> DataFrame:
+    """Q-3 in detail: rows and rows with a value, per required field."""
+    a = clean.agg(F.count(F.lit(1)).alias("n"), *(F.count(c).alias(c) for c in REQUIRED_FIELDS))
+    return a.select(F.inline(F.array(*(F.struct(F.lit(c).alias("field"), F.col("n").alias("row_count"), F.col(c).alias("with_value"))
+                                       for c in REQUIRED_FIELDS))))
+
+
+def dedup_counts(raw: DataFrame, clean: DataFrame) -> DataFrame:
+    """Q-10 in detail: rows landed and rows kept."""
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("layer"), "row_count")
+    return count(raw, "raw").unionByName(count(clean, "clean"))
+
+
+def staged_files_check(files: DataFrame, raw: DataFrame) -> DataFrame:
+    """Q-11 on the stage itself: files of a listing (``list_files``) and those that the raw table does not hold yet."""
+    listed = files.select(F.col("relative_path").alias("_stg_file_name")).distinct()
+    loaded = raw.select("_stg_file_name", F.lit(True).alias("loaded")).distinct()
+    a = listed.join(loaded, "_stg_file_name", "left").agg(F.count(F.lit(1)).alias("n"), F.count("loaded").alias("loaded"))
+    return a.select(F.inline(F.array(
+        _row("Stage 6: Files listed", _pass(F.col("n") > 0, "WARN"), F.col("n")),
+        _row("Stage 6: Files not loaded", _pass(F.col("n") == F.col("loaded"), "WARN"), F.col("n") - F.col("loaded")))))
+
+
 def quality_report(raw: DataFrame, clean: DataFrame, now=None, country: str = "peru", min_districts: int = 10,
-                   expected_tz: str = "America/Lima") -> DataFrame:
-    """Q-13: every stage and clean check in one frame."""
-    return (stage_checks(raw, country)
-            .unionByName(duplicate_check(clean))
-            .unionByName(clean_checks(clean, raw, now, min_districts, expected_tz)))
+                   expected_tz: str = "America/Lima", files: DataFrame | None = None, tables: tuple = ()) -> DataFrame:
+    """Q-13: every stage and clean check in one frame, with existence rows for catalog ``tables`` and, with a
+    listing of the stage's ``files``, what is staged and not loaded."""
+    out = (stage_checks(raw, country)
+           .unionByName(duplicate_check(clean))
+           .unionByName(clean_checks(clean, raw, now, min_districts, expected_tz)))
+    if files is not None:
+        out = out.unionByName(staged_files_check(files, raw))
+    return out.unionByName(table_checks(raw.sparkSession, tables)) if tables else out
 
 
 def stage_metrics(raw: DataFrame, now=None) -> DataFrame:

@@ -15,8 +15,14 @@ no code with the Spark side. Conventions that make the two comparable:
 
 from __future__ import annotations
 
-from ..functions.names import LOWERCASE_WORDS
-from ..sources.readings import CITIES, COPY_ROLE, COPY_USER, COUNTRIES, DISTRICTS, TIMEZONES, WIND_DIRS
+# Fixed values, written out here so that a wrong list on the Spark side shows.
+LOWERCASE_WORDS = ("de", "del", "la", "las", "el", "los", "y", "e", "a", "al")
+COUNTRIES = ("peru", "singapore", "india", "united_states", "united_kingdom")
+CITIES = ("lima", "singapore", "new_delhi", "new_york", "ciudad_de_londres")
+TIMEZONES = ("America/Lima", "Asia/Singapore", "Asia/Kolkata", "America/New_York", "Europe/London")
+DISTRICTS = ("santa_anita", "san_juan_de_lurigancho", "villa_el_salvador")
+WIND_DIRS = ("N", "NE", "E", "SE", "S", "SW", "W", "NW")
+COPY_USER, COPY_ROLE = "fixture_loader", "SYSADMIN"
 
 FIXED_NOW = "2024-02-01 00:00:00"
 

@@ -170,6 +170,8 @@ SPARK: dict[str, Callable[[Warehouse], DataFrame]] = {
     "clean_metrics": lambda wh: q.clean_metrics(_clean_rows(wh)),
     "district_summary": lambda wh: q.district_summary(_clean_rows(wh)),
     "quality_report": _quality,
+    "required_fields": lambda wh: q.required_fields(_clean_rows(wh)),
+    "dedup_counts": lambda wh: q.dedup_counts(wh.raw, _clean_rows(wh)),
     "key_integrity": lambda wh: q.key_integrity(wh.star),
     "split_valid": _split_valid,
 }

@@ -58,6 +58,7 @@ class Warehouse:
 
     spark: SparkSession
     root: str
+    versions: dict = field(default_factory=dict)
     _tables: dict = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
@@ -66,7 +67,7 @@ class Warehouse:
         mart hands out a fresh handle after each refresh."""
         df = self._tables.get(name)
         if df is None:
-            df = self._tables[name] = self.spark.read.parquet(f"{self.root}/{name}")
+            df = self._tables[name] = self.spark.read.parquet(f"{self.root}/{self.versions.get(name, name)}")
         return df
 
     @property

@@ -15,7 +15,9 @@ checkpointed log is the load history) and, per micro-batch, in
    fact;
 4. recomputes the per-date dimension parts of those dates and rebuilds each
    dimension as the distinct union of its parts (locations x dates rows, not
-   hourly rows).
+   hourly rows) in a folder of its own, which one appended row in ``versions``
+   then makes the current one: readers never see a half-written dimension, and
+   a crash in between leaves the old one.
 
 Every dedup key and every hourly group lies in one UTC date (both contain the
 measurement epoch / UTC hour), so recomputing whole dates is exact: late or
@@ -28,6 +30,7 @@ There is no late-data cutoff, as in the reference; files older than
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +43,7 @@ from ..plans.warehouse import UTC_DATE, Warehouse, with_utc_date
 from ..sources.landing import raw_from_text
 
 M_DATE = "m_date"
+MAX_FILES = 100_000  # files of a micro-batch, so a backfill of years is many bounded batches
 RAW_COLUMNS = ("raw", "country", "city", "district", "year", "month", "day", "_stg_file_name", "_stg_file_load_ts",
                "_stg_file_md5", "_copy_data_ts", "_copy_data_user", "_copy_data_role")
 
@@ -119,28 +123,33 @@ class IncrementalMart:
             (parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(UTC_DATE)
              .parquet(self.path(f"{name}_parts")))
             all_parts = self.spark.read.parquet(self.path(f"{name}_parts")).drop(UTC_DATE)
-            all_parts.distinct().write.mode("overwrite").parquet(self.path(name))
+            folder = f"{name}_versions/{uuid.uuid4().hex}"
+            all_parts.distinct().write.parquet(self.path(folder))
+            row = self.spark.range(1).select(F.lit(name).alias("name"), F.lit(folder).alias("folder"), F.current_timestamp().alias("since"))
+            row.write.mode("append").parquet(self.path("versions"))
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         """``foreachBatch`` body: append, then refresh the touched dates."""
         self.refresh_dates(self.append_raw(batch, batch_id))
 
     def warehouse(self) -> Warehouse:
-        return Warehouse(self.spark, self.root)
+        """Handles on the current tables (two dimensions, so two rows of versions are read)."""
+        now = self.spark.read.parquet(self.path("versions")).groupBy("name").agg(F.max_by("folder", "since").alias("folder"))
+        return Warehouse(self.spark, self.root, {r["name"]: r["folder"] for r in now.collect()})
 
 
 def run_incremental(spark: SparkSession, landing_path: str, root: str, checkpoint: str, layout: str = "document",
                     role: str = "SYSADMIN", available_now: bool = True, processing_time: str = "30 minutes",
-                    max_file_age: str = "36500d", max_files_per_trigger: int | None = None,
+                    max_file_age: str = "36500d", max_files_per_trigger: int | None = MAX_FILES,
                     max_bytes_per_trigger: str | None = None):
     """T-1/T-2: one streaming query from landing files to the star schema.
 
     ``available_now`` processes every file present and stops (a scheduled
     refresh); otherwise the query runs with a processing-time trigger (the
-    reference's 30-minute target lag). ``max_files_per_trigger`` /
-    ``max_bytes_per_trigger`` bound each micro-batch, so a backfill of years of
-    files runs as many bounded batches (each touching few dates) instead of
-    one. Returns the started query.
+    reference's 30-minute target lag). ``max_files_per_trigger`` (MAX_FILES unless
+    given) / ``max_bytes_per_trigger`` bound each micro-batch, so a backfill of
+    years of files runs as many bounded batches (each touching few dates) instead
+    of one. Returns the started query.
     """
     mart = IncrementalMart(spark, root)
     reader = (spark.readStream.format("text").option("maxFileAge", max_file_age)

@@ -8,7 +8,7 @@ from airmart.operators.consumption import CONSUMPTION_COLUMNS
 from airmart.plans.warehouse import build_warehouse
 from airmart.sources.landing import read_landing, write_landing
 from airmart.sources.readings import raw_aqi
-from airmart.streaming.incremental import run_incremental
+from airmart.streaming.incremental import IncrementalMart, run_incremental
 from tests.conftest import SF_SMALL
 
 
@@ -23,20 +23,21 @@ def test_incremental_equals_batch(spark, tmp_dir):
     land = f"{tmp_dir}/landing"
     for part in deliveries:
         write_landing(part, land, compression="gzip")
-        run_incremental(spark, land, f"{tmp_dir}/inc", f"{tmp_dir}/ckpt").awaitTermination()
+        run_incremental(spark, land, f"{tmp_dir}/inc", f"{tmp_dir}/ckpt", layout="lines").awaitTermination()
     # A run with no new files changes nothing.
-    run_incremental(spark, land, f"{tmp_dir}/inc", f"{tmp_dir}/ckpt").awaitTermination()
+    run_incremental(spark, land, f"{tmp_dir}/inc", f"{tmp_dir}/ckpt", layout="lines").awaitTermination()
 
     inc = spark.read.parquet(f"{tmp_dir}/inc/aqi_consumption").select(*CONSUMPTION_COLUMNS).drop("_copy_data_ts")
-    batch = build_warehouse(spark, read_landing(spark, land), f"{tmp_dir}/batch")
+    batch = build_warehouse(spark, read_landing(spark, land, layout="lines"), f"{tmp_dir}/batch")
     bat = batch.consumption.drop("_copy_data_ts")
     assert inc.count() == bat.count() > 0
     assert inc.exceptAll(bat).count() == 0 and bat.exceptAll(inc).count() == 0
     fact_inc = spark.read.parquet(f"{tmp_dir}/inc/air_quality_fact").drop("_copy_data_ts", "utc_date")
     fact_bat = batch.star.fact.drop("_copy_data_ts", "utc_date")
     assert fact_inc.exceptAll(fact_bat).count() == 0 and fact_bat.exceptAll(fact_inc).count() == 0
+    star_inc = IncrementalMart(spark, f"{tmp_dir}/inc").warehouse().star
     for dim in ("date_dim", "location_dim"):
-        a = spark.read.parquet(f"{tmp_dir}/inc/{dim}")
+        a = getattr(star_inc, dim)
         b = getattr(batch.star, dim)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -49,7 +50,7 @@ def test_processing_time_trigger_refreshes(spark, tmp_dir):
     raw = spark.read.parquet(f"{tmp_dir}/raw0")
     land = f"{tmp_dir}/landing"
     write_landing(raw.where(F.to_date("_stg_file_load_ts") == F.lit(dt.date(2024, 1, 5))), land)
-    q = run_incremental(spark, land, f"{tmp_dir}/inc", f"{tmp_dir}/ckpt", available_now=False,
+    q = run_incremental(spark, land, f"{tmp_dir}/inc", f"{tmp_dir}/ckpt", layout="lines", available_now=False,
                         processing_time="1 second")
     try:
         deadline = time.time() + 120
@@ -68,10 +69,10 @@ def test_bounded_batches_equal_one_batch(spark, tmp_dir):
     raw = spark.read.parquet(f"{tmp_dir}/raw0")
     land = f"{tmp_dir}/landing"
     write_landing(raw, land)
-    q = run_incremental(spark, land, f"{tmp_dir}/small", f"{tmp_dir}/ckpt_small", max_files_per_trigger=150)
+    q = run_incremental(spark, land, f"{tmp_dir}/small", f"{tmp_dir}/ckpt_small", layout="lines", max_files_per_trigger=150)
     q.awaitTermination()
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) > 1
-    run_incremental(spark, land, f"{tmp_dir}/one", f"{tmp_dir}/ckpt_one").awaitTermination()
+    run_incremental(spark, land, f"{tmp_dir}/one", f"{tmp_dir}/ckpt_one", layout="lines").awaitTermination()
     a = spark.read.parquet(f"{tmp_dir}/small/aqi_consumption").drop("_copy_data_ts")
     b = spark.read.parquet(f"{tmp_dir}/one/aqi_consumption").drop("_copy_data_ts")
     assert a.count() == b.count() > 0
