@@ -14,11 +14,12 @@ the few sets with more also take signatures for their empty subsets (only such s
 
 Groups: equal sets are one class before any join. In a signature bucket every class is first compared with one
 hub (the class in most buckets), which links a large group with as many comparisons as members. Classes of one
-bucket that are in different components after that are not paired off. Each is described by its difference to
-the hub instead: two classes differ by the difference of their differences, and as they are not both linked to
-the hub, a link needs a least number of common elements of these. So under a fixed order (elements the hub
-lacks first) the two must share one of their first few elements; only such pairs are verified, after their
-sizes and the L1 distance of 256 bin counts (a lower bound of the difference) allowed a link.
+bucket that are in different components after that are compared directly in buckets of up to ``SMALL_BUCKET``
+members. In larger ones they are not paired off: each is described by its difference to the hub. Two classes
+differ by the difference of their differences, and as they are not both linked to the hub, a link needs a least
+number of common elements of these. So under a fixed order (elements the hub lacks first) the two must share one
+of their first few elements; only such pairs go on. Every pair is verified on the texts, after sizes and the L1
+distance of 256 bin counts (a lower bound of the difference) allowed a link.
 
 Edge cases: an empty or null text has an empty set, size 0, and is linked with nothing. A text with fewer
 words than n is one n-gram. Rows that share an id are one document with several texts; null ids order last and
@@ -43,6 +44,7 @@ from ._words import Words, grams, mix, slices
 N_WORDS, PERCENT = 4, 85
 BAND = 1.5      # ratio of the borders of a size band; above 100 / PERCENT
 BINS = 256
+SMALL_BUCKET = 32  # members up to which a bucket is compared pair by pair; larger ones by differences to their hub
 _U = np.uint64
 
 
@@ -282,6 +284,14 @@ def _differences(spokes: DataFrame, texts: DataFrame, n: int, percent: int) -> D
     return _with_texts(spokes.select(F.col("id").alias("a"), F.col("hub").alias("b")), texts).mapInArrow(run, out)
 
 
+def _pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of small buckets (a member meets SMALL_BUCKET others at most) in different components."""
+    x, y = rows.alias("x"), rows.alias("y")
+    near = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
+                  & (F.col("x.n") * percent <= F.col("y.n") * 100) & (F.col("y.n") * percent <= F.col("x.n") * 100))
+    return near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
 def _cross(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that a link allows by their differences to a common hub: with ``k`` the
     most that linked sets of their sizes differ by, they share at least ``t`` elements, so they share one of the first
@@ -291,7 +301,7 @@ def _cross(rows: DataFrame, percent: int) -> DataFrame:
     near = (x.join(y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.id") < F.col("y.id"))
                    & (F.col("x.label") != F.col("y.label")) & (F.col("x.n") * percent <= F.col("y.n") * 100) & (F.col("y.n") * percent <= F.col("x.n") * 100)
                    & (2 * F.col("x.pos") <= F.col("x.d") - F.col("y.d") + k) & (2 * F.col("y.pos") <= F.col("y.d") - F.col("x.d") + k)))
-    return near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    return near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS,
@@ -302,7 +312,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = prints.where("n > 0").groupBy("f1", "f2").agg(F.min("id").alias("rep"))
     member = materialize(prints.select("id", "n", "f1", "f2").join(classes, ["f1", "f2"], "left")
                          .select("id", "n", F.coalesce("rep", "id").alias("rep")), "jaccard-classes")
-    # Tables that grow with the input meet by merge joins at every size. A set can only share its signatures with others; the shuffle below is the one pass over all of them.
+    # Tables that grow with the input meet by merge joins at every size. The next shuffle is the one pass over all signatures.
     rows = set_signatures(src, n_words, percent).repartition(width(spark), "sig").sortWithinPartitions("sig", "id")
     shared = materialize(_shared(rows), "jaccard-shared")
     copies = member.where("id <> rep").select("id", "rep").distinct()
@@ -323,11 +333,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # What one hub could not settle: classes of a bucket in different components.
     others = starred.where("id <> hub").join(label, "id", "left").select("sig", "id", "hub", F.coalesce("label", "id").alias("label"))
-    split = others.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("sig")
-    others = materialize(others.join(split, "sig").select("id", "hub", "label").distinct(), "jaccard-open")
-    rows = _differences(others.select("id", "hub"), texts, n_words, percent).join(others.select("id", "label").distinct(), "id")
-    cross = _cross(materialize(rows, "jaccard-differences"), percent)
-    cross = materialize(_possible(cross, sets, percent), "jaccard-cross")
+    split = others.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi")
+    others = others.join(split.select("sig", "m").hint("merge"), "sig").join(sets.select("id", "n"), "id")
+    others = materialize(others, "jaccard-open")
+    pairs = _pairs(others.where(F.col("m") <= SMALL_BUCKET), percent)
+    large = others.where(F.col("m") > SMALL_BUCKET).select("id", "hub", "label").distinct()
+    rows = _differences(large.select("id", "hub"), texts, n_words, percent).join(large.select("id", "label").distinct(), "id")
+    pairs = pairs.unionByName(_cross(materialize(rows, "jaccard-differences"), percent)).distinct()
+    cross = materialize(_possible(pairs, sets, percent), "jaccard-cross")
     label = components(links.unionByName(_verified(cross, texts, n_words, percent)))
     out = member.join(label.select(F.col("id").alias("rep"), "label"), "rep", "left")
     return out.select(own_id("id").alias(id_col), F.col("n").alias("n_shingles"),

@@ -204,3 +204,22 @@ def test_substring_edges(make_docs):
     assert got == [(False, 1, 0, 0), (False, 2, 0, 0), (False, 3, 0, 0), (False, 5, 13, 0), (False, 5, 13, 0), (False, 5, 14, 0), (False, 6, 12, 0), (False, 7, 50_000, 0),
                    (True, 0, 13, 13), (True, 0, 14, 13)]
     assert substring_dedup.remove_copies(docs.limit(0)).count() == 0
+
+
+def test_jaccard_large_bucket_by_differences(make_docs, monkeypatch):
+    """The way of large buckets finds what the pairs of small ones find."""
+    rnd = random.Random(12)
+    base = [f"w{i}" for i in range(150)]
+    docs = []
+    for i in range(90):
+        w = list(base)
+        for _ in range(rnd.randrange(0, 14)):
+            at = rnd.randrange(150)
+            w[at] = f"x{rnd.randrange(40)}"
+        docs.append((i, " ".join(w)))
+    want = brute.components(docs)
+    assert len({c for _, c in want.values()}) > 5
+    for limit in (0, 32, 1000):
+        monkeypatch.setattr(jaccard_join, "SMALL_BUCKET", limit)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(make_docs(docs)).collect()}
+        assert got == want, limit
