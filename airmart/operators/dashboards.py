@@ -89,8 +89,7 @@ def top_cities(star: Star, n: int = 10) -> DataFrame:
     that day *before* the daily aggregation, so only one day's rows reach the
     shuffle. Ties order by country, city (D20).
     """
-    star = star.latest_utc_dates(3)
-    j = star.fact_location_date()
+    j = star.latest_utc_dates(3).fact_location_date()
     day = j.join(F.broadcast(latest_local_day(star)),
                  F.to_date(F.col("f.local_timestamp")) == F.col("_latest_day"))
     agg = daily_city_agg_rows(day)
