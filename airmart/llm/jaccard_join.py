@@ -264,9 +264,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
 
 
 def _differences(spokes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """``id, hub`` -> ``hub, element, id, pos, d, n``: the first elements of the difference to the hub, as many as any
-    link of the class can need; ``d`` is the whole difference, ``n`` the set's size."""
-    out = schema("hub long, element long, id long, pos long, d long, n long")
+    """``id, hub`` -> ``hub, element, id, pos, new, d, n``: the first elements of the difference to the hub, as many as
+    any link of the class can need; ``d`` is the whole difference, ``new`` its elements that the hub lacks (they come
+    first), ``n`` the set's size."""
+    out = schema("hub long, element long, id long, pos long, new long, d long, n long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         set_of = _sets_of(n)
@@ -279,7 +280,7 @@ def _differences(spokes: DataFrame, texts: DataFrame, n: int, percent: int) -> D
                 m = len(first)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(m, batch.column(1)[i].as_py())), pa.array(first.view(np.int64)), pa.array(np.full(m, batch.column(0)[i].as_py())),
-                    pa.array(np.arange(m)), pa.array(np.full(m, d)), pa.array(np.full(m, len(own)))], names=out.names)
+                    pa.array(np.arange(m)), pa.array(np.full(m, len(new))), pa.array(np.full(m, d)), pa.array(np.full(m, len(own)))], names=out.names)
 
     return _with_texts(spokes.select(F.col("id").alias("a"), F.col("hub").alias("b")), texts).mapInArrow(run, out)
 
@@ -294,13 +295,16 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 def _cross(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that a link allows by their differences to a common hub: with ``k`` the
-    most that linked sets of their sizes differ by, they share at least ``t`` elements, so they share one of the first
-    ``d - t + 1`` of either."""
+    most that linked sets of their sizes differ by, they share ``t = (dx + dy - k) / 2`` elements at least, so they
+    share one of the first ``d - t + 1`` of either; and if ``t`` is more than the elements of the hub that either
+    misses, the first that they share is one that the hub lacks."""
     x, y = rows.alias("x"), rows.alias("y")
     k = F.expr(f"(x.n + y.n) * {100 - percent} div {100 + percent}")
+    missed = F.least(F.col("x.d") - F.col("x.new"), F.col("y.d") - F.col("y.new"))
     near = (x.join(y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.id") < F.col("y.id"))
                    & (F.col("x.label") != F.col("y.label")) & (F.col("x.n") * percent <= F.col("y.n") * 100) & (F.col("y.n") * percent <= F.col("x.n") * 100)
-                   & (2 * F.col("x.pos") <= F.col("x.d") - F.col("y.d") + k) & (2 * F.col("y.pos") <= F.col("y.d") - F.col("x.d") + k)))
+                   & (2 * F.col("x.pos") <= F.col("x.d") - F.col("y.d") + k) & (2 * F.col("y.pos") <= F.col("y.d") - F.col("x.d") + k)
+                   & ((F.col("x.pos") < F.col("x.new")) | (F.col("x.d") + F.col("y.d") - k <= 2 * missed))))
     return near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
