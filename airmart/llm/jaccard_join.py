@@ -44,7 +44,7 @@ from ._words import Words, grams, mix, slices
 N_WORDS, PERCENT = 4, 85
 BAND = 1.5      # ratio of the borders of a size band; above 100 / PERCENT
 BINS = 256
-SMALL_BUCKET = 32  # members up to which a bucket is compared pair by pair; larger ones by differences to their hub
+SMALL_BUCKET = 10  # members up to which a bucket is compared pair by pair; larger ones by differences to their hub
 _U = np.uint64
 
 
@@ -296,15 +296,15 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
 def _cross(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that a link allows by their differences to a common hub: with ``k`` the
     most that linked sets of their sizes differ by, they share ``t = (dx + dy - k) / 2`` elements at least, so they
-    share one of the first ``d - t + 1`` of either; and if ``t`` is more than the elements of the hub that either
-    misses, the first that they share is one that the hub lacks."""
+    share one of the first ``d - t + 1`` of either. What ``t`` is above the elements of the hub that either misses, they
+    share of those that the hub lacks, so the same holds among these alone."""
     x, y = rows.alias("x"), rows.alias("y")
     k = F.expr(f"(x.n + y.n) * {100 - percent} div {100 + percent}")
-    missed = F.least(F.col("x.d") - F.col("x.new"), F.col("y.d") - F.col("y.new"))
+    over = F.col("x.d") + F.col("y.d") - k - 2 * F.least(F.col("x.d") - F.col("x.new"), F.col("y.d") - F.col("y.new"))
     near = (x.join(y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.id") < F.col("y.id"))
                    & (F.col("x.label") != F.col("y.label")) & (F.col("x.n") * percent <= F.col("y.n") * 100) & (F.col("y.n") * percent <= F.col("x.n") * 100)
                    & (2 * F.col("x.pos") <= F.col("x.d") - F.col("y.d") + k) & (2 * F.col("y.pos") <= F.col("y.d") - F.col("x.d") + k)
-                   & ((F.col("x.pos") < F.col("x.new")) | (F.col("x.d") + F.col("y.d") - k <= 2 * missed))))
+                   & ((over <= 0) | (2 * F.least(F.col("x.new") - F.col("x.pos"), F.col("y.new") - F.col("y.pos")) >= over))))
     return near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
@@ -344,7 +344,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     large = others.where(F.col("m") > SMALL_BUCKET).select("id", "hub", "label").distinct()
     rows = _differences(large.select("id", "hub"), texts, n_words, percent).join(large.select("id", "label").distinct(), "id")
     pairs = pairs.unionByName(_cross(materialize(rows, "jaccard-differences"), percent)).distinct()
-    cross = materialize(_possible(pairs, sets, percent), "jaccard-cross")
+    seen = spokes.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+    cross = materialize(_possible(pairs.join(seen, ["a", "b"], "left_anti"), sets, percent), "jaccard-cross")
     label = components(links.unionByName(_verified(cross, texts, n_words, percent)))
     out = member.join(label.select(F.col("id").alias("rep"), "label"), "rep", "left")
     return out.select(own_id("id").alias(id_col), F.col("n").alias("n_shingles"),
