@@ -47,24 +47,27 @@ def fold_words(data: np.ndarray, off: np.ndarray) -> Words:
     return Words(_FOLD[data], off)
 
 
-def cgk_keys(h: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """LSH keys (windows x REPEATS) of the windows ``h[start:start + length]``.
+def cgk_keys(h: np.ndarray, start: np.ndarray, length: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """LSH keys (windows x REPEATS) of the windows ``h[start:start + length]`` in texts ``h[lo:hi]``.
 
     The walk of each window and repeat reads its word, moves on by a random bit of (repeat, step, word), and
-    reads the empty symbol after the end. A key hashes the words read at SAMPLES steps, drawn per repeat and
-    length, so equal strings have equal keys."""
+    reads the empty symbol outside its text and after its end. A key hashes the words read at SAMPLES steps, drawn
+    per repeat and length; a window is as long as its item also where it reaches over a border of its text, so
+    both are read at the same steps."""
     m = len(start)
     keys = np.zeros((m, REPEATS), dtype=np.uint64)
     if not m:
         return keys
     at = np.zeros((m, REPEATS), dtype=np.int64)
     steps = STRETCH * length
+    stop = np.minimum(start + length, hi)[:, None]
     rep = np.arange(REPEATS, dtype=np.uint64)
     pick = mix(mix(rep, 31)[None, :, None] + length[:, None, None].astype(np.uint64) * _U(64) + np.arange(SAMPLES, dtype=np.uint64)[None, None, :], 32)
     pick = (pick % steps[:, None, None].astype(np.uint64)).astype(np.int64)
     for step in range(int(steps.max())):
-        over = at >= length[:, None]
-        word = np.where(over, _U(0), h[np.minimum(start[:, None] + at, len(h) - 1)])
+        here = start[:, None] + at
+        over = here >= stop
+        word = np.where(over | (here < lo[:, None]), _U(0), h[np.clip(here, 0, len(h) - 1)])
         hit = (pick == step).any(axis=2)
         keys[hit] = mix(keys[hit] + word[hit], 33)
         bit = (mix(word + mix(rep + _U(step * 64), 34)[None, :], 35) & _U(1)).astype(np.int64)
@@ -106,7 +109,7 @@ class Items:
         self.k = np.floor(self.n * max_edits + 1e-9).astype(np.int64)
         live = np.flatnonzero(self.n > 0)
         self.keys = np.zeros((len(raw), REPEATS), dtype=np.uint64)
-        self.keys[live] = cgk_keys(h, w.first[live], self.n[live])
+        self.keys[live] = cgk_keys(h, w.first[live], self.n[live], w.first[live], w.first[live + 1])
         pieces: dict[int, list[tuple[int, int, int]]] = {}
         for i in live:
             cuts = np.linspace(0, self.n[i], self.k[i] + 2).astype(np.int64)
@@ -120,9 +123,10 @@ class Items:
             seen[(hashes >> _U(44)).astype(np.int64)] = True
             self.pieces[size] = (seen, hashes, np.array([x[1] for x in rows_of]), np.array([x[2] for x in rows_of]))
 
-    def windows(self, w: Words, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, start word) of the item-sized windows of a slice around unchanged pieces."""
-        items, starts = [], []
+    def windows(self, w: Words, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, row, start word) of the item-sized windows of a slice around unchanged pieces; a window may begin
+        before its text and end after it."""
+        items, rows, starts = [], [], []
         for size, (seen, hashes, item, offset) in self.pieces.items():
             g = grams(h, size)
             if not len(g):
@@ -134,26 +138,22 @@ class Items:
             at, lo = np.repeat(at, many), np.repeat(lo, many)
             which = lo + np.arange(len(lo)) - np.repeat(np.cumsum(many) - many, many)
             items.append(item[which])
+            rows.append(w.doc[at])
             starts.append(at - offset[which])
-            # The window stays in its text: it begins at the text's first word at the earliest.
-            starts[-1] = np.maximum(starts[-1], w.first[w.doc[at]])
         if not items:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        pair = np.unique(np.stack([np.concatenate(items), np.concatenate(starts)]), axis=1)
-        return pair[0], pair[1]
+            return tuple(np.zeros((3, 0), dtype=np.int64))
+        return tuple(np.unique(np.stack([np.concatenate(x) for x in (items, rows, starts)]), axis=1))
 
     def matches(self, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(row, item, distance, first word, end word) of the best passage for each contaminated (row, item)."""
         w = fold_words(data, off)
         h = w.hashes()
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        all_items, all_starts = self.windows(w, h)
-        for a in range(0, len(all_items), 2048):
-            item, start = all_items[a:a + 2048], all_starts[a:a + 2048]
-            row = w.doc[start]
+        found = self.windows(w, h)
+        for a in range(0, len(found[0]), 2048):
+            item, row, start = (x[a:a + 2048] for x in found)
             stop = w.first[row + 1]
-            length = np.minimum(self.n[item], stop - start)
-            keys = cgk_keys(h, start, length)
+            keys = cgk_keys(h, start, self.n[item], w.first[row], stop)
             for i in np.flatnonzero((keys == self.keys[item]).any(axis=1)):
                 it, r = int(item[i]), int(row[i])
                 k = int(self.k[it])

@@ -151,6 +151,26 @@ def test_decontamination_recall_and_precision(make_docs, spark):
     assert clean == {i for i, _ in docs} - {i for i, _ in got}
 
 
+def test_decontamination_recall_of_windows_cut_short():
+    rnd = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(300)]
+    items = [rnd.choices(vocabulary, k=rnd.randrange(10, 60)) for _ in range(120)]
+    block = decontaminate.Items([(i, " ".join(x).encode()) for i, x in enumerate(items)])
+    cut, whole, head = [], [], []
+    for item in items:
+        edits = rnd.randrange(1, int(0.2 * len(item)) + 1)
+        body = rnd.choices(vocabulary, k=40)
+        cut.append(body + item[:len(item) - edits])                                    # the text ends before the item does
+        head.append(item[edits:] + body)                                               # and starts after it did
+        gone = set(rnd.sample(range(len(item)), edits))
+        whole.append([x for j, x in enumerate(item) if j not in gone])                 # the item itself, words deleted
+    for texts in (cut, whole, head):
+        raw = [" ".join(t).encode() for t in texts]
+        off = np.concatenate(([0], np.cumsum([len(t) for t in raw]))).astype(np.int64)
+        found = {(r, i) for r, i, *_ in block.matches(np.frombuffer(b"".join(raw), dtype=np.uint8), off)}
+        assert sum((i, i) in found for i in range(len(items))) >= 0.98 * len(items)
+
+
 def test_decontamination_edges_and_blocks(make_docs, spark, monkeypatch):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta"), (1, "one two"), (None, "rho sigma tau")], "item_id int, text string")
     docs = make_docs([*EDGES, (7, "x Alpha beta, gamma delta epsilon zeta."), (8, "one, TWO"), (8, "rho sigma tau")])
