@@ -3,9 +3,10 @@
 Strong findings stand alone: assignments to a secret-like key (``assign``), access key ids (``access``) and
 long hex strings (``hex``). Weak parts are reported only when complementary parts co-occur: labelled access
 identifiers (``id``), random-looking tokens (``token``) and endpoints (``endpoint``) are joined on their
-position intervals within a scope, and a token is reported (with its partners) when an identifier or an
-endpoint lies within ``SCOPE_CHARS`` code points of it in the same paragraph. Strong findings count as
-partners too. The interval join runs over sorted positions, so a text with many parts costs n log n.
+position intervals within a scope, and a token is reported when an identifier or an endpoint lies within
+``SCOPE_CHARS`` code points of it in the same paragraph, and every identifier and endpoint when a secret does.
+Strong findings count as partners too. The interval join runs over sorted positions, from each side to its
+nearest of the other, so a text with many parts costs n log n.
 
 Edge cases: a null or empty text has no findings (counts 0, empty span string, the SHA-256 of the empty
 string). Repeated rows, null ids and other columns (whatever their names) change nothing: it is a pure map
@@ -20,6 +21,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -63,15 +65,16 @@ def strong_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def _near(spans: list[tuple[int, int, str]], others: list[tuple[int, int, str]], breaks: list[int]) -> list[list[int]]:
-    """Interval join: for each span the indexes of its nearest neighbours among ``others`` (sorted, disjoint) on
-    either side, if they lie within ``SCOPE_CHARS`` and no paragraph border is between."""
+    """Interval join: for each span the indexes of its nearest neighbours among ``others`` (sorted) on either
+    side, if they lie within ``SCOPE_CHARS`` and no paragraph border is between."""
     starts = [o[0] for o in others]
+    last = list(accumulate(range(len(others)), lambda i, j: max(i, j, key=lambda k: others[k][1])))  # of those up to each, what ends last
     found = []
     for a, b, _ in spans:
         i = bisect_right(starts, a)
         hits = []
-        for j in (i - 1, i):
-            if 0 <= j < len(others):
+        for j in (*last[max(i - 1, 0):i], i):
+            if j < len(others):
                 x, y, _ = others[j]
                 gap_lo, gap_hi = (y, a) if x <= a else (b, x)
                 if gap_hi - gap_lo <= SCOPE_CHARS and bisect_left(breaks, gap_lo) == bisect_left(breaks, max(gap_lo, gap_hi)):
@@ -103,9 +106,8 @@ def linked_spans(text: str, strong: list[tuple[int, int, str]]) -> list[tuple[in
     out = set()
     for role in (keys, endpoints):
         if role:
-            for s, hits in zip(secrets, _near(secrets, role, breaks)):
-                for j in hits:
-                    out.update(x for x in (s, role[j]) if x[2] in ("id", "token", "endpoint"))
+            for spans, others in ((secrets, role), (role, secrets)):
+                out.update(x for x, hits in zip(spans, _near(spans, others, breaks)) if hits and x[2] in ("id", "token", "endpoint"))
     return sorted(out)
 
 
