@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,6 +40,17 @@ def test_katz_shards_and_batches(make_docs, small_docs):
         assert all(math.isclose(got[i], want[i][5], rel_tol=1e-9, abs_tol=1e-9) for i in want)
 
 
+def test_katz_batches_number_their_texts():
+    """An Arrow batch of more short texts than 16 bits can number is cut."""
+    n = 150_000
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(np.zeros(n, dtype=bool)), pa.array(["a", None] * (n // 2))], names=["id", "held", "text"])
+    ids = []
+    for of, _, tok, _, text in katz_lm._tokens(iter([batch])):
+        assert len(of) <= katz_lm.BATCH_TEXTS and (np.bincount(text, minlength=len(of)) == np.where(of % 2 == 0, 2, 1)).all() and len(tok) == len(text)
+        ids.append(of)
+    assert (np.concatenate(ids) == np.arange(n)).all()
+
+
 def test_katz_edges(make_docs):
     docs = make_docs([(1, None), (2, ""), (3, "a b a b a b"), (3, "a b a b a b"), (None, "A b")])
     got = sorted(((r.doc_id is None, r.doc_id or 0, r.n_tokens) for r in katz_lm.score_documents(docs).collect()))
