@@ -42,7 +42,7 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz_lm.score_documents(table(spark, sf_dir, "documents"))
+    return katz_lm.score_documents(table(spark, sf_dir, "documents"), min_bigram=1)
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

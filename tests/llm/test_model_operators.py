@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from airmart.llm import katz_lm, source_mix, url_filter, warc
+from airmart.llm import katz_lm, registry, source_mix, url_filter, warc
 
 from . import brute
 
@@ -40,6 +40,16 @@ def test_katz_shards_and_batches(make_docs, small_docs):
         assert all(math.isclose(got[i], want[i][5], rel_tol=1e-9, abs_tol=1e-9) for i in want)
 
 
+def test_katz_query_keeps_bigrams_seen_once(spark, make_docs, tmp_path):
+    rnd = random.Random(11)
+    docs = [(i, " ".join(f"v{rnd.randrange(40)}" for _ in range(rnd.randrange(0, 25)))) for i in range(60)]
+    make_docs(docs).write.parquet(f"{tmp_path}/documents.parquet")
+    want, cut = brute.katz(docs, least=1), brute.katz(docs)
+    got = {r.doc_id: r.score for r in registry.queries()["op5_katz_lm"](spark, str(tmp_path)).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[i], want[i][5], rel_tol=1e-9, abs_tol=1e-9) for i in want)
+    assert sum(not math.isclose(got[i], cut[i][5], rel_tol=1e-9) for i in want) > len(want) / 2
+
+
 def test_katz_batches_number_their_texts():
     """An Arrow batch of more short texts than 16 bits can number is cut."""
     n = 150_000
