@@ -22,9 +22,9 @@ of their first few elements; only such pairs go on. Every pair is verified on th
 distance of 256 bin counts (a lower bound of the difference) allowed a link.
 
 Edge cases: an empty or null text has an empty set, size 0, and is linked with nothing. A text with fewer
-words than n is one n-gram. Rows that share an id are one document with several texts; null ids order last and
-count as one document, whose ``component_id`` is null if it reaches no other. Other columns are not read. An
-empty table gives an empty one.
+words than n is one n-gram. A node is an id with a text (a 64-bit hash of both): rows that share an id, or have none,
+are linked by their own texts alone. Null ids order last; ``component_id`` is null where a text reaches no row
+with an id. Other columns are not read. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -34,11 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._tables import LAST_ID, materialize, order_id, own_id, schema, width
+from ._tables import materialize, order_id, own_id, schema, width
 from ._words import Words, grams, mix, slices
 
 N_WORDS, PERCENT = 4, 85
@@ -129,24 +129,29 @@ def signatures(row: np.ndarray, val: np.ndarray, n_rows: int, percent: int, band
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(order_id(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return docs.select(node(id_col, text_col).alias("id"), order_id(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
 
 
-def _over_sets(src: DataFrame, n: int, out, make) -> DataFrame:
-    """``make(ids, row, val)`` -> arrays, over the sets of each slice of texts."""
+def node(id_col: str, text_col: str) -> Column:
+    """What links hold: the row's id with its text."""
+    return F.xxhash64(order_id(id_col), F.col(text_col).cast("string"))
+
+
+def _over_sets(src: DataFrame, n: int, out, make, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The columns ``keep`` and ``make(ids, row, val)`` -> arrays, over the sets of each slice of texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, off in slices(batch, "text"):
                 w = Words(data, off, lower=True)
                 row, val = shingles(w, w.hashes(), n)
-                yield pa.RecordBatch.from_arrays(make(np.asarray(part.column(0)), row, val), names=out.names)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *make(np.asarray(part.column("id")), row, val)], names=out.names)
 
     return src.mapInArrow(run, out)
 
 
 def set_prints(src: DataFrame, n: int) -> DataFrame:
-    """``id, n, f1, f2, bins`` of each row: size, 128-bit fingerprint and bin counts of its set."""
-    out = schema("id long, n long, f1 long, f2 long, bins binary")
+    """``key, id, n, f1, f2, bins`` of each row: own id, node, size, 128-bit fingerprint and bin counts of its set."""
+    out = schema("key long, id long, n long, f1 long, f2 long, bins binary")
 
     def make(ids, row, val):
         size = np.bincount(row, minlength=len(ids))
@@ -160,7 +165,7 @@ def set_prints(src: DataFrame, n: int) -> DataFrame:
         raw = np.minimum(bins, 255).astype(np.uint8).reshape(len(ids), BINS)
         return [pa.array(ids), pa.array(size), *f, pa.array([x.tobytes() for x in raw], type=pa.binary())]
 
-    return _over_sets(src, n, out, make)
+    return _over_sets(src, n, out, make, ("key",))
 
 
 def set_signatures(src: DataFrame, n: int, percent: int) -> DataFrame:
@@ -311,11 +316,19 @@ def _cross(rows: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS,
                        percent: int = PERCENT) -> DataFrame:
     """One row per document: id, ``n_shingles`` and ``component_id`` (smallest id reachable by links)."""
+    nodes = jaccard_nodes(docs, id_col, text_col, n_words, percent)
+    return nodes.select(own_id("key").alias(id_col), F.col("n").alias("n_shingles"), own_id("first.key").alias("component_id"))
+
+
+def jaccard_nodes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS,
+                  percent: int = PERCENT) -> DataFrame:
+    """One row per document: ``key`` (its id in order), ``id`` (its node), ``n`` (n-grams) and ``first``, the key and id
+    of the node of smallest key that links reach."""
     spark, src = docs.sparkSession, _source(docs, id_col, text_col)
     prints = materialize(set_prints(src, n_words), "jaccard-sets")
-    classes = prints.where("n > 0").groupBy("f1", "f2").agg(F.min("id").alias("rep"))
-    member = materialize(prints.select("id", "n", "f1", "f2").join(classes, ["f1", "f2"], "left")
-                         .select("id", "n", F.coalesce("rep", "id").alias("rep")), "jaccard-classes")
+    classes = prints.where("n > 0").groupBy("f1", "f2").agg(F.min(F.struct("key", "id")).alias("rep"))
+    member = prints.select("key", "id", "n", "f1", "f2").join(classes, ["f1", "f2"], "left").withColumn("rep", F.coalesce("rep", F.struct("key", "id")))
+    member = materialize(member.select("key", "id", "n", F.col("rep.id").alias("rep"), F.col("rep.key").alias("rep_key")), "jaccard-classes")
     # Tables that grow with the input meet by merge joins at every size. The next shuffle is the one pass over all signatures.
     rows = set_signatures(src, n_words, percent).repartition(width(spark), "sig").sortWithinPartitions("sig", "id")
     shared = materialize(_shared(rows), "jaccard-shared")
@@ -327,8 +340,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hubs = buckets.join(degree.hint("merge"), "id").groupBy("sig").agg(F.max_by("id", F.struct("deg", -F.col("id"))).alias("hub"))
     starred = materialize(buckets.join(hubs.hint("merge"), "sig"), "jaccard-hubs")
     found = materialize(buckets.select("id").distinct(), "jaccard-candidates")
-    texts = materialize(src.join(found.hint("merge"), "id", "left_semi"), "jaccard-texts")
-    sets = materialize(prints.select("id", "n", "bins").join(found, "id", "left_semi"), "jaccard-bins")
+    texts = materialize(src.select("id", "text").join(found.hint("merge"), "id", "left_semi").dropDuplicates(["id"]), "jaccard-texts")
+    sets = materialize(prints.select("id", "n", "bins").join(found, "id", "left_semi").dropDuplicates(["id"]), "jaccard-bins")
     spokes = starred.where("id <> hub").select("id", "hub").distinct()
     star = spokes.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     star = materialize(_possible(star, sets, percent), "jaccard-star")
@@ -347,6 +360,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     seen = spokes.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
     cross = materialize(_possible(pairs.join(seen, ["a", "b"], "left_anti"), sets, percent), "jaccard-cross")
     label = components(links.unionByName(_verified(cross, texts, n_words, percent)))
-    out = member.join(label.select(F.col("id").alias("rep"), "label"), "rep", "left")
-    return out.select(own_id("id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.nullif(F.coalesce("label", "rep"), F.lit(LAST_ID)).alias("component_id"))
+    linked = label.join(member.where("id = rep").select("id", F.col("key")).distinct().hint("merge"), "id")
+    lows = linked.groupBy("label").agg(F.min(F.struct("key", "id")).alias("first"))
+    firsts = label.join(lows, "label").select(F.col("id").alias("rep"), "first")
+    out = member.join(firsts, "rep", "left")
+    return out.select("key", "id", "n", F.coalesce("first", F.struct(F.col("rep_key").alias("key"), F.col("rep").alias("id"))).alias("first"))

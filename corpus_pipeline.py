@@ -31,16 +31,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicate documents the one with the smallest id stays. Documents without words
-    are linked with nothing and stay; rows that share an id are one document, of which one row stays; rows without
-    an id stay if their text is linked with no other document."""
+    """Of each component of near-duplicate texts the row with the smallest id stays. A row is judged by its own text,
+    whatever else shares its id; rows equal in id and text are one, of which one stays. Texts without words are
+    linked with nothing and stay, each row of them that has no id too."""
     importable(spark)
-    found = jaccard_join.jaccard_components(docs, n_words=NEAR_WORDS, percent=NEAR_PERCENT)
-    first = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(first, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    null_stays = F.broadcast(first.where(F.col("__id").isNull()))  # one row at most
-    unnamed = docs.where(F.col("doc_id").isNull()).join(null_stays, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return named.unionByName(unnamed)
+    nodes = jaccard_join.jaccard_nodes(docs, n_words=NEAR_WORDS, percent=NEAR_PERCENT)
+    first = nodes.where("id = first.id").select(F.col("id").alias("__node"), (F.col("n") == 0).alias("__bare")).distinct()
+    kept = docs.withColumn("__node", jaccard_join.node("doc_id", "text")).join(first, "__node")
+    alone = F.when(F.col("doc_id").isNull() & F.col("__bare"), F.monotonically_increasing_id())
+    return kept.withColumn("__alone", alone).dropDuplicates(["__node", "__alone"]).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

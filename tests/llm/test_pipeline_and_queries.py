@@ -96,3 +96,15 @@ def test_stages_take_edges(spark, make_docs):
                 assert ids == [0, 0, 1, 4, 5, 6]
             elif name in ("benchmark_decontamination", "source_mix"):
                 assert len(ids) == len(rows)
+
+
+def test_near_duplicates_are_judged_row_by_row(spark, make_docs):
+    """Rows that share an id, or have none, neither fall with each other's texts nor link them."""
+    a, b, c, d, e = (" ".join(f"{k}{i}" for i in range(40)) for k in "abcde")
+    rows = [(1, a), (None, a), (None, b), (5, b), (None, c), (None, c), (7, a + " tail"), (8, d), (8, e), (9, e), (None, ""), (None, "")]
+    got = cp.keep_one_of_group(spark, make_docs(rows), SMALL).collect()
+    assert sorted(((r.doc_id or 0), r.text) for r in got) == sorted([(1, a), (5, b), (0, c), (8, d), (8, e), (0, ""), (0, "")])
+    found = registry.jaccard_join.jaccard_components(make_docs(rows)).collect()
+    none = sorted(str(r.component_id) for r in found if r.doc_id is None and r.n_shingles)
+    assert none == ["1", "5", "None", "None"]
+    assert {(r.doc_id, r.component_id) for r in found if r.doc_id} == {(1, 1), (5, 5), (7, 1), (8, 8), (9, 8)}
