@@ -6,6 +6,10 @@ borders next to them. A chunk that occurred before in the corpus (by id, then po
 share a 128-bit hash are compared byte by byte: occurrences are grouped by their bytes, and only equal bytes
 count as repeats.
 
+With ``runs`` (the registered query) the units are all pairs of neighbouring lines instead, so every repeated run of
+two lines or more goes, wherever chunk borders would lie. The first occurrence of a line always stays: a pair repeats
+one of its own text only where the two do not overlap.
+
 Scale: narrow rows (hash, id, place) are combined on the map side; joins on a hot chunk split between tasks;
 the bytes of repeated chunks are combined on the map side before they are dealt out, so a chunk that a third of
 all documents share arrives once per map task. The lists of chunks grow with the input, so they meet the texts by
@@ -76,6 +80,24 @@ def chunks(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([0], end[:-1])).astype(np.int64)[:len(end)], end
 
 
+def pairs(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
+    """(first line, end line) of all pairs of neighbouring lines of a slice."""
+    a = np.flatnonzero(lines.row[1:] == lines.row[:-1])
+    return a, a + 2
+
+
+def _pair_hashes(lines: Lines, a: np.ndarray) -> list[np.ndarray]:
+    return [mix(mix(h[a], 47) + mix(h[a + 1] + _U(1), 46), 48) for h in lines.hash]
+
+
+def _units(lines: Lines, runs: bool) -> tuple[np.ndarray, np.ndarray]:
+    return pairs(lines) if runs else chunks(lines)
+
+
+def _unit_hashes(lines: Lines, a: np.ndarray, b: np.ndarray, runs: bool) -> list[np.ndarray]:
+    return _pair_hashes(lines, a) if runs else _chunk_hashes(lines, a, b)
+
+
 def _chunk_hashes(lines: Lines, a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
     out = []
     for h in lines.hash:
@@ -90,7 +112,7 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(order_id(id_col).alias("id"), text.alias("text")).select("id", mark.alias("mark"), "text")
 
 
-def chunk_rows(src: DataFrame) -> DataFrame:
+def chunk_rows(src: DataFrame, runs: bool = False) -> DataFrame:
     """``h1, h2, id, place`` of the chunks of two lines or more that hold a word; place: text mark and chunk number."""
     out = schema("h1 long, h2 long, id long, place long")
 
@@ -98,11 +120,12 @@ def chunk_rows(src: DataFrame) -> DataFrame:
         for batch in batches:
             for part, data, off in slices(batch, "text"):
                 lines = Lines(data, off)
-                a, b = chunks(lines)
-                h1, h2 = _chunk_hashes(lines, a, b)
+                a, b = _units(lines, runs)
+                h1, h2 = _unit_hashes(lines, a, b, runs)
                 row = lines.row[a]
                 number = np.arange(len(a)) - np.searchsorted(a, lines.first[row])
-                words = np.add.reduceat(lines.has_word.astype(np.int64), a) if len(a) else a
+                total = np.concatenate(([0], np.cumsum(lines.has_word)))
+                words = total[b] - total[a]
                 ok = (b - a >= MIN_LINES) & (words > 0)
                 ids, mark = np.asarray(part.column(0))[row], np.asarray(part.column(1))[row]
                 place = (mark << _PLACE_BITS) | number
@@ -111,7 +134,7 @@ def chunk_rows(src: DataFrame) -> DataFrame:
     return src.mapInArrow(run, out)
 
 
-def _chunk_bytes(src: DataFrame, wanted: DataFrame) -> DataFrame:
+def _chunk_bytes(src: DataFrame, wanted: DataFrame, runs: bool) -> DataFrame:
     """``h1, h2, id, place, bytes`` of the wanted chunks (of ``id, place``)."""
     out = schema("h1 long, h2 long, id long, place long, bytes binary")
     lists = wanted.groupBy("id", F.shiftrightunsigned("place", _PLACE_BITS).alias("mark")).agg(F.collect_list("place").alias("places"))
@@ -121,8 +144,8 @@ def _chunk_bytes(src: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for part, data, off in slices(batch, "text"):
                 lines = Lines(data, off)
-                a, b = chunks(lines)
-                h1, h2 = (x.view(np.int64) for x in _chunk_hashes(lines, a, b))
+                a, b = _units(lines, runs)
+                h1, h2 = (x.view(np.int64) for x in _unit_hashes(lines, a, b, runs))
                 begin = np.searchsorted(a, lines.first[:-1])
                 cols: list[list] = [[], [], [], [], []]
                 for i, places in enumerate(part.column(3)):
@@ -135,31 +158,31 @@ def _chunk_bytes(src: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, out)
 
 
-def repeated_chunks(src: DataFrame) -> DataFrame:
+def repeated_chunks(src: DataFrame, runs: bool = False) -> DataFrame:
     """``id, place`` of the chunks that occurred before, byte for byte."""
-    rows = materialize(chunk_rows(src), "line-chunks")
+    rows = materialize(chunk_rows(src, runs), "line-chunks")
     key = ["h1", "h2"]
     again = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key)
     again = materialize(rows.join(again, key), "line-repeats")
-    held = _chunk_bytes(src, again.select("id", "place"))
+    held = _chunk_bytes(src, again.select("id", "place"), runs)
     kinds = materialize(held.groupBy(*key, "bytes").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("n")), "line-bytes")
     differ = kinds.groupBy(*key).agg(F.count(F.lit(1)).alias("kinds"), F.min("first").alias("first"))
-    later = (F.col("id") != F.col("first.id")) | (F.col("place") != F.col("first.place"))
+    later = (F.col("id") != F.col("first.id")) | (F.col("place") - F.col("first.place") >= (2 if runs else 1))
     out = again.join(differ.where("kinds = 1").select(*key, "first"), key).where(later).select("id", "place")
     clash = differ.where("kinds > 1").select(*key)
     if not clash.isEmpty():  # different bytes under one 128-bit hash: settled by the bytes themselves
         both = again.join(clash, key)
-        out = out.unionByName(_chunk_bytes(src, both.select("id", "place")).join(kinds.select(*key, "bytes", "first"), [*key, "bytes"])
+        out = out.unionByName(_chunk_bytes(src, both.select("id", "place"), runs).join(kinds.select(*key, "bytes", "first"), [*key, "bytes"])
                               .where(later).select("id", "place"))
     return materialize(out, "line-removals")
 
 
-def _kept(src_rows: DataFrame, passed: list[str], out: T.StructType, text_out: bool) -> DataFrame:
+def _kept(src_rows: DataFrame, passed: list[str], out: T.StructType, text_out: bool, runs: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, off in slices(batch, "text"):
                 lines = Lines(data, off)
-                a, b = chunks(lines)
+                a, b = _units(lines, runs)
                 begin = np.searchsorted(a, lines.first[:-1])
                 total, gone, kept = [], [], []
                 raw = data.tobytes()
@@ -182,20 +205,20 @@ def _kept(src_rows: DataFrame, passed: list[str], out: T.StructType, text_out: b
     return src_rows.mapInArrow(run, out)
 
 
-def _with_places(src: DataFrame, extra: list[str]) -> DataFrame:
-    gone = repeated_chunks(src.select("id", "mark", "text"))
+def _with_places(src: DataFrame, extra: list[str], runs: bool) -> DataFrame:
+    gone = repeated_chunks(src.select("id", "mark", "text"), runs)
     lists = gone.groupBy("id", F.shiftrightunsigned("place", _PLACE_BITS).alias("mark")).agg(F.collect_list("place").alias("places"))
     return src.join(lists.hint("merge"), ["id", "mark"], "left").select("id", "text", "places", *extra)
 
 
-def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: bool = False) -> DataFrame:
     """One row per document: id, ``n_lines``, ``n_removed_lines`` and ``kept_sha256`` (of the kept lines)."""
     out = schema("id long, n_lines long, n_removed_lines long, kept_sha256 string")
-    rows = _kept(_with_places(_source(docs, id_col, text_col), []), ["id"], out, False)
+    rows = _kept(_with_places(_source(docs, id_col, text_col), [], runs), ["id"], out, False, runs)
     return rows.select(own_id("id").alias(id_col), "n_lines", "n_removed_lines", "kept_sha256")
 
 
-def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
+def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars", runs: bool = False) -> DataFrame:
     """The documents with all their columns, repeated chunks gone from the text and ``chars_col`` brought up to date.
     Documents of which no word is left are dropped; documents that lost nothing stay as they are."""
     src = docs.select(order_id(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
@@ -203,7 +226,7 @@ def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mark = F.xxhash64("text").bitwiseAND(F.lit((1 << (_PLACE_BITS - 1)) - 1))
     src = src.select("id", mark.alias("mark"), "text", "rest")
     out = T.StructType([T.StructField("rest", src.schema["rest"].dataType), *schema("n_lines long, gone long, kept string").fields])
-    rows = _kept(_with_places(src, ["rest"]), ["rest"], out, True)
+    rows = _kept(_with_places(src, ["rest"], runs), ["rest"], out, True, runs)
     rows = rows.where((F.col("gone") == 0) | F.col("kept").rlike("[^\\x20\\x09-\\x0D]"))
     text = F.when(~F.col("rest.__null"), F.col("kept"))
     pick = {text_col: text}

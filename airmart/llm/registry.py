@@ -26,7 +26,7 @@ def importable(spark: SparkSession) -> None:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return line_dedup.line_report(table(spark, sf_dir, "documents"), runs=True)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from airmart.llm import jaccard_join, line_dedup, substring_dedup
+from airmart.llm import jaccard_join, line_dedup, registry, substring_dedup
 from airmart.llm._components import components
 
 from . import brute
@@ -89,6 +89,25 @@ def test_line_chunks_resist_shifts(make_docs):
     assert gone[1] == 0 and gone[2] >= 50 and gone[3] >= 50
 
 
+def test_line_runs_match_brute_force(make_docs, tmp_path):
+    """Planted passages of 2 to 6 lines in texts of few lines: every repeated run goes, as the query counts it."""
+    rnd = random.Random(21)
+    shared = [[f"passage {k} line {j}" for j in range(2 + k % 5)] for k in range(15)]
+    docs = [(i, "\n".join([*(f"own {i} {j}" for j in range(rnd.randrange(0, 4))), *rnd.choice(shared), *(f"tail {i} {j}" for j in range(rnd.randrange(0, 3)))])) for i in range(90)]
+    docs += [(200, "a\na\na"), (201, "b\nb\nb\nb"), (202, "single"), (203, None), (204, "\n\n\n")]
+    first, want = {}, {}
+    for i, t in docs:
+        lines, gone = (t or "").split("\n"), set()
+        for j, pair in enumerate(zip(lines, lines[1:])):
+            at = first.setdefault(pair, (i, j))
+            if any(pair) and (at[0] != i or j - at[1] >= 2):
+                gone |= {j, j + 1}
+        want[i] = (len(gone), hashlib.sha256("\n".join(x for j, x in enumerate(lines) if j not in gone).encode()).hexdigest())
+    make_docs(docs).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_removed_lines, r.kept_sha256) for r in registry.queries()["op1_line_dedup"](make_docs(docs).sparkSession, str(tmp_path)).collect()}
+    assert got == want and sum(n for n, _ in want.values()) > 200
+
+
 def test_line_dedup_compares_bytes(make_docs, monkeypatch):
     """With a hash that sees only chunk lengths, different chunks clash; their bytes keep them apart."""
     monkeypatch.setattr(line_dedup, "_chunk_hashes", lambda lines, a, b: [(b - a).astype(np.uint64)] * 2)
