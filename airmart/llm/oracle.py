@@ -120,5 +120,37 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(x, 0)::BIGINT AS n_
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+OP12 = r"""
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS s
+      FROM e a, e b WHERE a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.q) = len(b.q)),
+p AS (SELECT a, anchor_id, id AS positive_id, s AS ps, row_number() OVER (PARTITION BY a ORDER BY s DESC, id, b) AS k FROM s WHERE same QUALIFY k <= 5)
+SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.a, p.k ORDER BY s.s DESC, s.id, s.b)::INT AS rank, s.id AS negative_id,
+       p.ps AS positive_score, s.s AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 30 * p.ps <= 100 * s.s AND 100 * s.s <= 90 * p.ps
+QUALIFY rank <= 10
+"""
+
+OP13 = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+piece AS (SELECT lang, regexp_extract_all(x, '[^\x20\x09]+') AS ws
+          FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS x FROM d)),
+total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM piece GROUP BY lang),
+gram AS (SELECT lang, ws[i:i + m - 1] AS w
+         FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM piece, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(ws) >= m)),
+c AS (SELECT lang, w, len(w) AS m, array_to_string(w, ' ') AS phrase, count(*) AS f FROM gram GROUP BY lang, w HAVING count(*) >= 30),
+cut AS (SELECT *, unnest(range(1, m)) AS k FROM c WHERE m >= 2),
+scored AS (SELECT cut.*, x.f AS l, y.f AS r, ((2000000::HUGEINT * cut.f) // (x.f + y.f))::BIGINT AS score
+           FROM cut JOIN c x ON x.lang = cut.lang AND x.w = cut.w[1:k] JOIN c y ON y.lang = cut.lang AND y.w = cut.w[k + 1:cut.m]),
+low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+stay AS (SELECT * FROM low WHERE NOT EXISTS (
+  SELECT 1 FROM c q WHERE q.lang = low.lang AND q.m > low.m AND 100 * q.f >= 80 * low.f AND contains(' ' || q.phrase || ' ', ' ' || low.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank, phrase, f AS a, l, r, n, score
+FROM stay JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
 ORACLE = {"op2_quality_rules": OP2, "op4_ngram_jaccard_join": OP4, "op6_url_filter": OP6, "op7_substring_dedup": OP7,
-          "op8_source_mix": OP8, "op9_warc": OP9}
+          "op8_source_mix": OP8, "op9_warc": OP9, "op12_hard_negatives": OP12, "op13_phrase_mining": OP13}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, katz_lm, line_dedup, quality_rules, secret_scan, source_mix, substring_dedup, url_filter, warc
+from . import decontaminate, hard_negatives, jaccard_join, katz_lm, license_scan, line_dedup, phrase_mining, quality_rules, secret_scan, source_mix, substring_dedup, url_filter, warc
 from ._tables import table
 from .oracle import ORACLE
 
@@ -65,6 +65,18 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.ranked_phrases(table(spark, sf_dir, "documents"))
+
+
 def _query(f: Query) -> Query:
     @functools.wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +87,7 @@ def _query(f: Query) -> Query:
 
 QUERIES: dict[str, Query] = {f.__name__: _query(f) for f in (
     op1_line_dedup, op2_quality_rules, op3_secret_scan, op4_ngram_jaccard_join, op5_katz_lm, op6_url_filter, op7_substring_dedup,
-    op8_source_mix, op9_warc, op10_benchmark_decontamination)}
+    op8_source_mix, op9_warc, op10_benchmark_decontamination, op11_license_scan, op12_hard_negatives, op13_phrase_mining)}
 
 
 def queries() -> dict[str, Query]:

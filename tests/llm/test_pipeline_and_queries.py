@@ -18,14 +18,14 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     return con
 
 
 def test_every_operator_is_registered():
     names = entry.queries().keys()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(registry.oracle_sql()) <= set(names)
     assert len(cp.STAGES) == 5 and cp.ORACLE_SQL is None
 
