@@ -122,9 +122,9 @@ FROM d LEFT JOIN kept USING (doc_id)
 
 OP12 = r"""
 WITH e AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                  list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
            FROM embeddings
-           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS s
       FROM e a, e b WHERE a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.q) = len(b.q)),
 p AS (SELECT a, anchor_id, id AS positive_id, s AS ps, row_number() OVER (PARTITION BY a ORDER BY s DESC, id, b) AS k FROM s WHERE same QUALIFY k <= 5)
