@@ -100,7 +100,7 @@ FORMS = (
     ("url", 2, 0.95, "(?:opensource org licen[cs]es?|spdx org licen[cs]es|choosealicense com licen[cs]es) (?:{id})(?: html| php| txt)?", "opensource|spdx|choosealicense"),
     ("notice", 3, 0.9, "(?:licen[cs]ed|released|distributed|available|published|provided|covered|licen[cs]e)(?: [^ ]+){{0,4}}? under (?:the )?"
                        "(?:terms (?:and conditions )?of )?(?:the )?(?:{name})(?: licen[cs]e)?(?: agreement)?{tail}", "under"),
-    ("title", 4, 0.8, "(?:the )?(?:{name}) licen[cs]e(?: agreement)?{tail}", "license|licence"),
+    ("title", 4, 0.8, "(?:the )?(?:{name}){end}(?: agreement)?{tail}", "license|licence"),
 )
 
 # Signatures of licence bodies and other notices: label, relevance, expression, keyword.
@@ -175,10 +175,11 @@ def _pattern(expression: str) -> re.Pattern:
 
 def _named(label: str, ident: str, names: str, keywords: tuple[str, ...], tail: str = "") -> list[Rule]:
     """The rules of one licence: every wording around its names."""
+    end = "(?: licen[cs]e)?" if "licen[cs]e" in names else " licen[cs]e"
     out = []
     for kind, priority, relevance, form, extra in FORMS:
         words = set(ident.replace("(?:", " ").split()[:1]) if kind in ("tag", "url") else keywords
-        out.append(Rule(label, kind, priority, relevance, _pattern(form.format(id=ident, name=names, tail=tail)),
+        out.append(Rule(label, kind, priority, relevance, _pattern(form.format(id=ident, name=names, tail=tail, end=end)),
                         (frozenset(words), frozenset(extra.split("|")))))
     return out
 
