@@ -77,12 +77,12 @@ def has_path(v: Column, path: str) -> Column:
     return F.variant_get(v, path, "variant").isNotNull()
 
 
-def flatten_payload(raw: DataFrame, lenient: bool = False) -> DataFrame:
+def flatten_payload(raw: DataFrame, lenient: bool = False, keep: tuple = ()) -> DataFrame:
     """P-1 + P-2: typed clean-layer columns from the VARIANT document.
 
     Strict by default: a present but uncastable value fails the query, as the
     reference's hard casts do. ``lenient=True`` yields NULL instead (used by
-    the quarantine split, Q-14).
+    the quarantine split, Q-14). ``keep`` names further columns to pass on.
     """
     v = F.col("raw")
     fields = {name: _get(v, path, typ, narrow, lenient) for name, path, typ, narrow in PAYLOAD_FIELDS}
@@ -92,7 +92,7 @@ def flatten_payload(raw: DataFrame, lenient: bool = False) -> DataFrame:
         ntz_from_epoch(fields["request_epoch"]).alias("request_ts"),
     ]
     cols += [fields[n].alias(n) for n in CLEAN_COLUMNS[3:32]]
-    cols += [F.col(c) for c in PARTITION_COLS + AUDIT_COLS]
+    cols += [F.col(c) for c in (*PARTITION_COLS, *AUDIT_COLS, *keep)]
     return raw.where(has_path(v, "$.current.last_updated")).select(*cols)
 
 

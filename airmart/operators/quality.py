@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 
 from ..functions.agg import round_avg
 from ..functions.timefn import boundary_diff
-from ..session import new_table_root
 from .clean import DEDUP_KEYS, ORDER_COLUMNS, flatten_payload, latest_file_order
 from .star import Star
 
@@ -73,54 +72,59 @@ def _invalid_json(raw: DataFrame) -> Column:
     return F.col("raw").isNull()
 
 
-def stage_checks(raw: DataFrame, country: str = "peru") -> DataFrame:
-    """Q-1, Q-7, Q-11 on the landing table (one scan)."""
-    pattern = f"%country={country}%"
-    a = raw.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct(F.when(F.col("_stg_file_name").like(pattern), F.col("_stg_file_name"))).alias("files"),
-        _flag_sum(_any_null(METADATA_FIELDS)).alias("missing_meta"),
+def _stage_aggregate(raw: DataFrame, country: str) -> DataFrame:
+    """One row of counts over the landing table."""
+    return raw.agg(
+        F.count(F.lit(1)).alias("raw_n"),
+        F.count_distinct(F.when(F.col("_stg_file_name").like(f"%country={country}%"), F.col("_stg_file_name"))).alias("files"),
+        _flag_sum(_any_null(METADATA_FIELDS)).alias("raw_missing_meta"),
         # A VARIANT holds parsed JSON, so a non-NULL payload is valid; malformed documents reach the
         # table as NULL (lenient reader) or fail the load (strict reader). No re-serialization per row.
         _flag_sum(_invalid_json(raw)).alias("invalid"),
         _flag_sum(F.col("country") == country).alias("country_rows"),
         _flag_sum(_any_null(PARTITION_FIELDS)).alias("missing_parts"))
-    n = F.coalesce(F.col("n"), F.lit(0))
-    rows = F.array(
-        _row("Stage 4: Data Existence", _pass(n > 0, "WARN"), n),
+
+
+def _stage_rows() -> list[Column]:
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return [
+        _row("Stage 4: Data Existence", _pass(F.col("raw_n") > 0, "WARN"), F.col("raw_n")),
         _row("Stage 6: Files in Stage", _pass(F.col("files") > 0, "WARN"), F.col("files")),
-        _row("Stage 7: Metadata Completeness", _pass(F.coalesce(F.col("missing_meta"), F.lit(0)) == 0, "FAIL"),
-             F.coalesce(F.col("missing_meta"), F.lit(0))),
-        _row("Stage 8: JSON Validity", _pass(F.coalesce(F.col("invalid"), F.lit(0)) == 0, "FAIL"),
-             F.coalesce(F.col("invalid"), F.lit(0))),
-        _row("Stage 9: Country Data", _pass(F.coalesce(F.col("country_rows"), F.lit(0)) > 0, "WARN"),
-             F.coalesce(F.col("country_rows"), F.lit(0))),
-        _row("Stage 10: Partition Attributes", _pass(F.coalesce(F.col("missing_parts"), F.lit(0)) == 0, "FAIL"),
-             F.coalesce(F.col("missing_parts"), F.lit(0))),
-    )
-    return a.select(F.inline(rows))
+        _row("Stage 7: Metadata Completeness", _pass(zero("raw_missing_meta") == 0, "FAIL"), zero("raw_missing_meta")),
+        _row("Stage 8: JSON Validity", _pass(zero("invalid") == 0, "FAIL"), zero("invalid")),
+        _row("Stage 9: Country Data", _pass(zero("country_rows") > 0, "WARN"), zero("country_rows")),
+        _row("Stage 10: Partition Attributes", _pass(zero("missing_parts") == 0, "FAIL"), zero("missing_parts")),
+    ]
+
+
+def stage_checks(raw: DataFrame, country: str = "peru") -> DataFrame:
+    """Q-1, Q-7, Q-11 on the landing table (one scan)."""
+    return _stage_aggregate(raw, country).select(F.inline(F.array(*_stage_rows())))
+
+
+def _duplicate_aggregate(clean: DataFrame) -> DataFrame:
+    groups = clean.groupBy("measurement_ts", "location_name", "latitude", "longitude").agg(F.count(F.lit(1)).alias("copies"))
+    return groups.agg(F.count_if(F.col("copies") > 1).alias("dup_keys"))
+
+
+def _duplicate_rows() -> list[Column]:
+    return [_row("Clean 2: Duplicate Check", _pass(F.col("dup_keys") == 0, "FAIL"), F.col("dup_keys"))]
 
 
 def duplicate_check(clean: DataFrame) -> DataFrame:
     """Q-2 / A-11: PASS when no (measurement_ts, name, lat, lon) occurs twice (D12)."""
-    dups = (clean.groupBy("measurement_ts", "location_name", "latitude", "longitude").count()
-            .where(F.col("count") > 1))
-    a = dups.agg(F.count(F.lit(1)).alias("dup_keys"))
-    return a.select(F.inline(F.array(_row("Clean 2: Duplicate Check", _pass(F.col("dup_keys") == 0, "FAIL"),
-                                          F.col("dup_keys")))))
+    return _duplicate_aggregate(clean).select(F.inline(F.array(*_duplicate_rows())))
 
 
-def clean_checks(clean: DataFrame, raw: DataFrame | None = None, now=None, min_districts: int = 10,
-                 expected_tz: str = "America/Lima") -> DataFrame:
-    """Q-1, Q-3..Q-10 on the clean table (one scan, plus one count of raw for Q-10)."""
-    now_c = _now(now)
-    # One row per district and time zone first; distinct counts and the string maximum then read only these.
+def _clean_aggregate(clean: DataFrame) -> DataFrame:
+    """One row of counts over the clean table. One row per district and time zone first; distinct counts and the string
+    maximum then read only these."""
     g = clean.groupBy("district", "timezone_id").agg(
         F.count(F.lit(1)).alias("n"), *(F.count(c).alias(f"has_{c}") for c in REQUIRED_FIELDS),
         F.max(F.col("_copy_data_ts").cast("timestamp_ntz")).alias("latest_load"),
         _flag_sum(range_violation()).alias("out_of_range"), _flag_sum(_any_null(METADATA_FIELDS)).alias("missing_meta"),
         F.count("temp_c").alias("with_temp"))
-    a = g.agg(
+    return g.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.coalesce(F.least(*[F.sum(f"has_{c}") for c in REQUIRED_FIELDS]), F.lit(0)).alias("min_required"),
         F.max("latest_load").alias("latest_load"),
@@ -130,32 +134,39 @@ def clean_checks(clean: DataFrame, raw: DataFrame | None = None, now=None, min_d
         F.count_distinct("timezone_id").alias("timezones"),
         F.max("timezone_id").alias("max_tz"),
         F.coalesce(F.sum("with_temp"), F.lit(0)).alias("with_temp"))
-    if raw is not None:
-        a = a.crossJoin(raw.agg(F.count(F.lit(1)).alias("raw_n")))  # J-5: two one-row aggregates
-    n = F.col("n")
+
+
+def _clean_rows(now, min_districts: int, expected_tz: str, with_raw: bool) -> list[Column]:
+    now_c, n = _now(now), F.col("n")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     pct = F.col("with_temp") * F.lit(100.0) / F.nullif(n, F.lit(0))
-    hours = boundary_diff("HOUR", F.col("latest_load"), now_c)
     checks = [
         _row("Clean 1: Table Existence", _pass(n > 0, "FAIL"), n),
         _row("Clean 3: Required Fields", _pass(F.col("min_required") == n, "FAIL"), n),
         _row("Clean 4: Data Freshness",
              _pass(F.coalesce(F.col("latest_load") >= now_c - F.expr("INTERVAL 24 HOURS"), F.lit(False)), "WARN"),
-             hours),
+             boundary_diff("HOUR", F.col("latest_load"), now_c)),
         _row("Clean 5: District Coverage", _pass(F.col("districts") >= min_districts, "WARN"), F.col("districts")),
-        _row("Clean 6: Numeric Value Ranges", _pass(F.coalesce(F.col("out_of_range"), F.lit(0)) == 0, "FAIL"),
-             F.coalesce(F.col("out_of_range"), F.lit(0))),
-        _row("Clean 7: Metadata Integrity", _pass(F.coalesce(F.col("missing_meta"), F.lit(0)) == 0, "FAIL"),
-             F.coalesce(F.col("missing_meta"), F.lit(0))),
+        _row("Clean 6: Numeric Value Ranges", _pass(zero("out_of_range") == 0, "FAIL"), zero("out_of_range")),
+        _row("Clean 7: Metadata Integrity", _pass(zero("missing_meta") == 0, "FAIL"), zero("missing_meta")),
         _row("Clean 8: Timezone Consistency",
              _pass((F.col("timezones") == 1) & F.coalesce(F.col("max_tz") == expected_tz, F.lit(False)), "WARN"),
              F.col("timezones")),
         _row("Clean 9: Weather Data Completeness",
              F.when(pct >= 95.0, "PASS").when(pct >= 80.0, "WARN").otherwise("FAIL"), F.round(pct, 2)),
     ]
+    if with_raw:
+        checks.append(_row("Clean 10: Deduplication Logic", _pass(n <= F.col("raw_n"), "FAIL"), F.col("raw_n") - n))
+    return checks
+
+
+def clean_checks(clean: DataFrame, raw: DataFrame | None = None, now=None, min_districts: int = 10,
+                 expected_tz: str = "America/Lima") -> DataFrame:
+    """Q-1, Q-3..Q-10 on the clean table (one scan, plus one count of raw for Q-10)."""
+    a = _clean_aggregate(clean)
     if raw is not None:
-        checks.append(_row("Clean 10: Deduplication Logic", _pass(n <= F.col("raw_n"), "FAIL"),
-                           F.col("raw_n") - n))
-    return a.select(F.inline(F.array(*checks)))
+        a = a.crossJoin(raw.agg(F.count(F.lit(1)).alias("raw_n")))  # J-5: two one-row aggregates
+    return a.select(F.inline(F.array(*_clean_rows(now, min_districts, expected_tz, raw is not None))))
 
 
 def required_fields(clean: DataFrame) -> DataFrame:
@@ -171,28 +182,55 @@ def dedup_counts(raw: DataFrame, clean: DataFrame) -> DataFrame:
     return count(raw, "raw").unionByName(count(clean, "clean"))
 
 
-def staged_files_check(files: DataFrame, raw: DataFrame) -> DataFrame:
-    """Q-11 on the stage itself: files of a listing (``list_files``) and those that the raw table does not hold yet."""
+NOT_LOADED, GONE = "listed, not loaded", "loaded, gone"
+
+
+def reconcile_stage(files: DataFrame, raw: DataFrame) -> DataFrame:
+    """Q-11 / S-8: files of a listing (``list_files``) against the load history, in both directions: ``_stg_file_name`` and
+    ``status`` of files that are listed and not loaded, and of loaded files that are gone."""
     listed = files.select(F.col("relative_path").alias("_stg_file_name")).distinct()
-    loaded = raw.select("_stg_file_name", F.lit(True).alias("loaded")).distinct()
-    a = listed.join(loaded, "_stg_file_name", "left").agg(F.count(F.lit(1)).alias("n"), F.count("loaded").alias("loaded"))
+    loaded = raw.select("_stg_file_name").where(F.col("_stg_file_name").isNotNull()).distinct()
+    missing = listed.join(loaded, "_stg_file_name", "left_anti").withColumn("status", F.lit(NOT_LOADED))
+    return missing.unionByName(loaded.join(listed, "_stg_file_name", "left_anti").withColumn("status", F.lit(GONE)))
+
+
+def staged_files_check(files: DataFrame, raw: DataFrame) -> DataFrame:
+    """Q-11 on the stage itself: files listed, those that the raw table does not hold yet, and loaded ones that are gone."""
+    open_files = reconcile_stage(files, raw).agg(F.count_if(F.col("status") == NOT_LOADED).alias("missing"), F.count_if(F.col("status") == GONE).alias("gone"))
+    a = files.agg(F.count_distinct("relative_path").alias("listed")).crossJoin(open_files)  # two one-row aggregates
     return a.select(F.inline(F.array(
-        _row("Stage 6: Files listed", _pass(F.col("n") > 0, "WARN"), F.col("n")),
-        _row("Stage 6: Files not loaded", _pass(F.col("n") == F.col("loaded"), "WARN"), F.col("n") - F.col("loaded")))))
+        _row("Stage 6: Files listed", _pass(F.col("listed") > 0, "WARN"), F.col("listed")),
+        _row("Stage 6: Files not loaded", _pass(F.col("missing") == 0, "WARN"), F.col("missing")),
+        _row("Stage 6: Loaded files gone", _pass(F.col("gone") == 0, "WARN"), F.col("gone")))))
 
 
 def quality_report(raw: DataFrame, clean: DataFrame, now=None, country: str = "peru", min_districts: int = 10,
                    expected_tz: str = "America/Lima", files: DataFrame | None = None, tables: tuple = ()) -> DataFrame:
     """Q-13: every stage and clean check in one frame, with existence rows for catalog ``tables`` and, with a
-    listing of the stage's ``files``, what is staged and not loaded."""
-    out = (stage_checks(raw, country)
-           .unionByName(duplicate_check(clean))
-           .unionByName(clean_checks(clean, raw, now, min_districts, expected_tz)))
+    listing of the stage's ``files``, what is staged and not loaded. Raw is scanned once (its count serves Q-10 too)."""
+    facts = _stage_aggregate(raw, country).crossJoin(_duplicate_aggregate(clean)).crossJoin(_clean_aggregate(clean))  # one row each
+    out = facts.select(F.inline(F.array(*_stage_rows(), *_duplicate_rows(), *_clean_rows(now, min_districts, expected_tz, True))))
     if files is not None:
         out = out.unionByName(staged_files_check(files, raw))
     return out.unionByName(table_checks(raw.sparkSession, tables)) if tables else out
 
 
+def audit_checks(raw: DataFrame, started, user: str | Column | None = None, role: str = "SYSADMIN") -> DataFrame:
+    """S-6 / F-17: the audit columns of a load that began at ``started``: every row was copied since then and not after now, by
+    one user (the session's unless given) and one role. The metric counts the rows that break the rule."""
+    user = F.current_user() if user is None else user if isinstance(user, Column) else F.lit(user)
+    ts = F.col("_copy_data_ts").cast("timestamp")
+    a = raw.agg(F.count(F.lit(1)).alias("n"),
+                F.count_if(~F.coalesce(ts.between(F.lit(started).cast("timestamp"), F.current_timestamp()), F.lit(False))).alias("late"),
+                F.count_if(~F.col("_copy_data_user").eqNullSafe(user)).alias("others"),
+                F.count_if(~F.col("_copy_data_role").eqNullSafe(F.lit(role))).alias("roles"))
+    return a.select(F.inline(F.array(
+        _row("Audit 1: Rows loaded", _pass(F.col("n") > 0, "WARN"), F.col("n")),
+        _row("Audit 2: Load time within the run", _pass(F.col("late") == 0, "FAIL"), F.col("late")),
+        _row("Audit 3: One user", _pass(F.col("others") == 0, "FAIL"), F.col("others")),
+        _row("Audit 4: One role", _pass(F.col("roles") == 0, "FAIL"), F.col("roles")))))
+
+
 def stage_metrics(raw: DataFrame, now=None) -> DataFrame:
     """A-12: raw row and distinct counts, first/last load, hours since the last load."""
     now_c = _now(now)
@@ -241,65 +279,76 @@ def district_summary(clean: DataFrame) -> DataFrame:
             .orderBy(F.col("district").asc_nulls_last()))
 
 
-def _dup_key_check(name: str, df: DataFrame, key: str) -> DataFrame:
-    dups = df.groupBy(key).count().where(F.col("count") > 1).agg(F.count(F.lit(1)).alias("dups"))
-    return dups.select(F.inline(F.array(_row(name, _pass(F.col("dups") == 0, "FAIL"), F.col("dups")))))
-
-
-def _orphan_check(name: str, fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFrame:
-    orphans = fact.select(fk).join(dim.select(F.col(pk).alias(fk)), fk, "left_anti")
-    a = orphans.agg(F.count(F.lit(1)).alias("orphans"))
-    return a.select(F.inline(F.array(_row(name, _pass(F.col("orphans") == 0, "FAIL"), F.col("orphans")))))
-
-
 def key_integrity(star: Star) -> DataFrame:
     """Q-12: key uniqueness of both dimensions and the fact, and fact-to-dimension references.
 
-    Duplicate keys are reproduced, not repaired (D2 half-hour zones and DST
-    give two facts per local hour; D6 shared coordinates give two locations
-    per key); this check reports them. Orphan checks are anti joins against
-    both dimensions.
+    Duplicate keys are reproduced, not repaired (D2 half-hour zones and DST give two facts per local hour; D6 shared
+    coordinates give two locations per key); this check reports them. All keys go through one grouped pass: each table
+    is read once, every key tagged with its space and with whether it owns or refers. A reference without an owner
+    (or a NULL one) is an orphan.
     """
-    return (_dup_key_check("date_dim.date_pk unique", star.date_dim, "date_pk")
-            .unionByName(_dup_key_check("location_dim.location_pk unique", star.location_dim, "location_pk"))
-            .unionByName(_dup_key_check("air_quality_fact.aqi_pk unique", star.fact, "aqi_pk"))
-            .unionByName(_orphan_check("air_quality_fact.date_fk -> date_dim", star.fact, "date_fk",
-                                       star.date_dim, "date_pk"))
-            .unionByName(_orphan_check("air_quality_fact.location_fk -> location_dim", star.fact, "location_fk",
-                                       star.location_dim, "location_pk")))
+    key = lambda space, owns, c: F.struct(F.lit(space).alias("space"), F.lit(owns).alias("owns"), F.col(c).alias("key"))
+    fact = star.fact.select(F.inline(F.array(key("fact", True, "aqi_pk"), key("date", False, "date_fk"), key("location", False, "location_fk"))))
+    owned = star.date_dim.select(key("date", True, "date_pk").alias("k")).unionByName(star.location_dim.select(key("location", True, "location_pk").alias("k")))
+    groups = (fact.unionByName(owned.select("k.space", "k.owns", "k.key")).groupBy("space", "key")
+              .agg(F.count_if("owns").alias("owners"), F.count_if(~F.col("owns")).alias("references")))
+    orphan = (F.col("owners") == 0) | F.col("key").isNull()
+    of = lambda space, c: F.coalesce(F.sum(F.when(F.col("space") == space, c)), F.lit(0))
+    twice = (F.col("owners") > 1).cast("long")
+    a = groups.agg(*(of(s, twice).alias(f"{s}_dups") for s in ("date", "location", "fact")),
+                   *(of(s, F.when(orphan, F.col("references")).otherwise(0)).alias(f"{s}_orphans") for s in ("date", "location")))
+    rows = (("date_dim.date_pk unique", "date_dups"), ("location_dim.location_pk unique", "location_dups"), ("air_quality_fact.aqi_pk unique", "fact_dups"),
+            ("air_quality_fact.date_fk -> date_dim", "date_orphans"), ("air_quality_fact.location_fk -> location_dim", "location_orphans"))
+    return a.select(F.inline(F.array(*(_row(name, _pass(F.col(c) == 0, "FAIL"), F.col(c)) for name, c in rows))))
 
 
 # Q-14: the rule set declared in the reference's configuration (nulls, duplicates, ranges).
 NULL_RULE_FIELDS = ("measurement_epoch", "location_name", "latitude", "longitude")
 
 
+ROW = "_row"
+
+
+def scan_identity(df: DataFrame) -> DataFrame:
+    """Rows of a table read from files with their place in it (file and row number), which no retry changes."""
+    return df.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias(ROW))
+
+
+def _latest(*more: str) -> Column:
+    """W-1's order as one value whose maximum is the latest: load time first, NULLs above all."""
+    return F.struct(*(x for c in ORDER_COLUMNS for x in (F.col(c).isNull().alias(f"{c}_null"), F.col(c))), *more)
+
+
 def tag_validity(raw: DataFrame, check_nulls: bool = True, check_duplicates: bool = True,
                  check_ranges: bool = True) -> DataFrame:
     """Flattened readings with a ``reasons`` column ('' when valid); see ``split_valid``.
 
-    Each dedup key has one winner, by W-1's order; every other reading of the key
-    is a duplicate, identical copies included. With this rule the flattened rows
-    are first written with a row id (payloads are parsed once), winners are picked
-    from the key and order columns alone (limited within each map task, so a hot
-    key sends one row a task), and they are joined back on the row id.
+    Each dedup key has one winner, by W-1's order; every other reading of the key is a duplicate, identical copies
+    included. With ``scan_identity`` rows, the winners of keys that occur twice come from a grouped maximum over key,
+    order and place alone (combined on the map side, so a hot key sends one row a task) and are joined to the readings.
+    Rows without a place are ranked in one window over whole readings instead.
     """
-    flat = flatten_payload(raw, lenient=True)
+    flat = flatten_payload(raw, lenient=True, keep=(ROW,) if ROW in raw.columns else ())
     reasons = []
     if check_nulls:
         reasons.append(F.when(_any_null(NULL_RULE_FIELDS), F.lit("null")))
-    if check_duplicates:
-        path = new_table_root(raw.sparkSession, "tagged")
-        flat.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
-        flat = raw.sparkSession.read.parquet(path)
-        first = Window.partitionBy(*DEDUP_KEYS).orderBy(*latest_file_order(), "_row")
-        winners = (flat.select(*DEDUP_KEYS, *ORDER_COLUMNS, "_row").withColumn("_rank", F.row_number().over(first))
-                   .where(F.col("_rank") == 1).select(F.col("_row").alias("_winner")))
-        flat = flat.join(winners, F.col("_row") == F.col("_winner"), "left")
-        reasons.append(F.when(F.col("_winner").isNull(), F.lit("duplicate")))
+    if check_duplicates and ROW in raw.columns:
+        keys = [f"w_{c}" for c in DEDUP_KEYS]
+        winners = (flat.groupBy(*(F.col(c).alias(k) for c, k in zip(DEDUP_KEYS, keys))).agg(F.max(_latest(ROW)).alias("_winner"), F.count(F.lit(1)).alias("_copies"))
+                   .where("_copies > 1").select(*keys, F.col(f"_winner.{ROW}").alias("_winner")))
+        same = F.lit(True)
+        for c, k in zip(DEDUP_KEYS, keys):
+            same = same & F.col(c).eqNullSafe(F.col(k))
+        flat = flat.join(winners, same, "left").drop(*keys)
+        reasons.append(F.when(F.col("_winner").isNotNull() & (F.col("_winner") != F.col(ROW)), F.lit("duplicate")))
+    elif check_duplicates:
+        latest = Window.partitionBy(*DEDUP_KEYS).orderBy(*latest_file_order())
+        flat = flat.withColumn("_winner", F.row_number().over(latest))
+        reasons.append(F.when(F.col("_winner") > 1, F.lit("duplicate")))
     if check_ranges:
         reasons.append(F.when(range_violation(), F.lit("range")))
     tagged = flat.withColumn("reasons", F.concat_ws(",", *reasons) if reasons else F.lit(""))
-    return tagged.drop("_row", "_winner")
+    return tagged.drop(ROW, "_winner")
 
 
 def split_valid(raw: DataFrame, **rules) -> tuple[DataFrame, DataFrame]:
@@ -322,6 +371,5 @@ def split_valid_report(raw: DataFrame) -> DataFrame:
 def table_checks(spark, names=("raw_aqi", "clean_aqi_dt", "aqi_consumption_dt", "date_dim", "location_dim",
                                "air_quality_fact")):
     """Q-1 existence part: one row per expected table or view (catalog metadata, no data read)."""
-    rows = [(f"Exists: {n}", "PASS" if spark.catalog.tableExists(n) else "FAIL", 1.0 if spark.catalog.tableExists(n)
-             else 0.0) for n in names]
-    return spark.createDataFrame(rows, CHECK_SCHEMA)
+    there = [(n, spark.catalog.tableExists(n)) for n in names]
+    return spark.createDataFrame([(f"Exists: {n}", "PASS" if x else "FAIL", float(x)) for n, x in there], CHECK_SCHEMA)

@@ -27,10 +27,12 @@ from ..operators import views as v
 from ..operators.clean import clean, flatten_payload
 from ..operators.consumption import CONSUMPTION_COLUMNS, aqi_current, aqi_daily, hourly_rollup, time_hierarchy
 from ..session import new_table_root
-from ..sources.landing import landing_keys, path_attrs, read_landing, write_landing
+from ..sources.landing import PARTITION_COLUMNS as LANDING_FOLDERS
+from ..sources.landing import landing_keys, list_files, path_attrs, read_landing, read_landing_split, write_landing
 from ..sources.readings import raw_aqi
-from ..streaming.incremental import run_incremental
+from ..streaming.incremental import IncrementalMart, hourly_counts, run_hourly_counts, run_incremental
 from . import oracle as o
+from .catalog import register
 from .warehouse import Warehouse, build_warehouse
 
 FIXED_NOW = _dt.datetime.fromisoformat(o.FIXED_NOW)
@@ -123,9 +125,10 @@ def _fact(wh):
 
 
 def _split_valid(wh):
-    """All readings, every tenth delivered twice (an identical copy), with validity and reasons."""
-    copies = wh.raw.where(F.col("_stg_file_md5") < "1a")
-    return q.split_valid_report(wh.raw.unionByName(copies))
+    """All readings, every tenth delivered twice (an identical copy, at a place of its own), with validity and reasons."""
+    rows = q.scan_identity(wh.raw)
+    copies = rows.where(F.col("_stg_file_md5") < "1a").withColumn(q.ROW, F.struct(F.concat(F.col(f"{q.ROW}.file"), F.lit("#copy")).alias("file"), F.col(f"{q.ROW}.row").alias("row")))
+    return q.split_valid_report(rows.unionByName(copies))
 
 
 def _quality(wh):
@@ -187,9 +190,11 @@ def _landed(spark: SparkSession, raw: DataFrame, label: str, layout: str, **opti
 
 
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S-2 -> S-3..S-6: every reading as gzip JSON Lines, in folders whose names need escapes, read back and flattened."""
-    raw = warehouse_for(spark, sf_dir).raw.withColumn("district", F.concat("district", F.lit(" o'x:y%z+")))
-    return normalize(flatten_payload(_landed(spark, raw, "landing", "lines", compression="gzip")).drop(*LOCAL_COLUMNS))
+    """S-2 -> S-3..S-6, twice: every reading as gzip JSON Lines, read back, landed again, read back and flattened; folders and
+    file names hold brackets, quotes and backslashes."""
+    raw = warehouse_for(spark, sf_dir).raw.withColumns({"district": F.concat("district", F.lit(" o'x:y%z+")), "_stg_file_name": F.concat("_stg_file_name", F.lit('}"\\{'))})
+    once = _landed(spark, raw, "landing", "lines", compression="gzip")
+    return normalize(flatten_payload(_landed(spark, once, "landing", "lines")).drop(*LOCAL_COLUMNS))
 
 
 def landing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,28 +202,105 @@ def landing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(clean(_landed(spark, warehouse_for(spark, sf_dir).raw, "documents", "document")).drop(*LOCAL_COLUMNS))
 
 
-def incremental_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T-1..T-3: three deliveries (the last re-delivers the first day) through the streaming refresh.
-
-    Returns the incrementally maintained consumption table, which the tests
-    compare row for row with a batch rebuild over the same landing files.
-    """
-    wh = warehouse_for(spark, sf_dir)
-    root = new_table_root(spark, "incremental")
-    raw = wh.raw
+def _deliveries(raw: DataFrame) -> list[DataFrame]:
+    """Three deliveries by load time; the last one delivers the first day again."""
     ts = F.col("_stg_file_load_ts")
     span = raw.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     if span is None or span["lo"] is None:
-        return normalize(wh.consumption.where(F.lit(False)))
+        return []
     lo, hi = span["lo"], span["hi"]
     cut1, cut2 = lo + (hi - lo) / 3, lo + 2 * (hi - lo) / 3
     first_day = F.to_date(ts) == F.lit(lo.date())
-    deliveries = [raw.where(ts < F.lit(cut1)), raw.where((ts >= F.lit(cut1)) & (ts < F.lit(cut2))),
-                  raw.where(ts >= F.lit(cut2)).unionByName(raw.where(first_day))]
+    return [raw.where(ts < F.lit(cut1)), raw.where((ts >= F.lit(cut1)) & (ts < F.lit(cut2))),
+            raw.where(ts >= F.lit(cut2)).unionByName(raw.where(first_day))]
+
+
+def incremental_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-1..T-3: three deliveries (the last re-delivers the first day) through the streaming refresh, compacted on the way.
+
+    Returns the incrementally maintained consumption table, which the tests
+    compare row for row with a batch rebuild over the same landing files.
+    """
+    wh, root = warehouse_for(spark, sf_dir), new_table_root(spark, "incremental")
+    mart = IncrementalMart(spark, f"{root}/mart")
+    deliveries = _deliveries(wh.raw)
+    for part in deliveries:
+        write_landing(part, f"{root}/landing")
+        run_incremental(spark, f"{root}/landing", mart.root, f"{root}/checkpoint", layout="lines", compact_every=4).awaitTermination()
+    cons = mart.warehouse().consumption if deliveries else wh.consumption.where(F.lit(False))
+    return normalize(cons.drop("_copy_data_ts"))
+
+
+def refresh_on_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-2: deliveries that only land, and refreshes on demand: the UTC hours each refresh rewrote and the commits it made. One
+    without new files rewrites nothing, one after a late delivery the hours of that delivery."""
+    wh, root = warehouse_for(spark, sf_dir), new_table_root(spark, "on-demand")
+    mart = IncrementalMart(spark, f"{root}/mart")
+    raw = wh.raw
+    first_day = raw.where(F.to_date("_stg_file_load_ts") == raw.agg(F.min(F.to_date("_stg_file_load_ts"))).scalar())
+    rows = []
+    for step, part in (("all", raw), ("no file", None), ("first day again", first_day), ("no file again", None)):
+        if part is not None:
+            write_landing(part, f"{root}/landing")
+        run_incremental(spark, f"{root}/landing", mart.root, f"{root}/checkpoint", layout="lines", refresh=False).awaitTermination()
+        before = mart.log.version().seq
+        hours = mart.refresh()
+        rows.append((step, hours, mart.log.version().seq - before))
+    return spark.createDataFrame(rows, "step string, hours_rewritten long, commits long")
+
+
+def hourly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-4: readings per UTC hour and location, counted in the stream's state over three deliveries; what is delivered again
+    counts once."""
+    wh, root = warehouse_for(spark, sf_dir), new_table_root(spark, "windows")
+    deliveries = _deliveries(wh.raw)
     for part in deliveries:
         write_landing(part, f"{root}/landing")
-        run_incremental(spark, f"{root}/landing", f"{root}/mart", f"{root}/checkpoint", layout="lines").awaitTermination()
-    return normalize(spark.read.parquet(f"{root}/mart/aqi_consumption").select(*CONSUMPTION_COLUMNS).drop("_copy_data_ts"))
+        run_hourly_counts(spark, f"{root}/landing", f"{root}/counts", f"{root}/checkpoint", layout="lines").awaitTermination()
+    if not deliveries:
+        return spark.createDataFrame([], "utc_hour timestamp_ntz, location_name string, readings long")
+    return normalize(hourly_counts(spark, f"{root}/counts"))
+
+
+def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-6 / F-17: the audit columns of a load of all landing files, against the run that made it."""
+    raw, root = warehouse_for(spark, sf_dir).raw, new_table_root(spark, "audit")
+    started = spark.range(1).select(F.current_timestamp().cast("timestamp_ntz")).first()[0]
+    _landed(spark, raw, "audit", "lines").drop("raw").write.parquet(f"{root}/loaded")
+    return q.audit_checks(spark.read.parquet(f"{root}/loaded"), started)
+
+
+def landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-3: one document in sixteen is cut off and one in sixteen is a list; accepted rows and quarantined texts with reasons."""
+    raw, root = warehouse_for(spark, sf_dir).raw, new_table_root(spark, "quarantine")
+    tag = F.substring("_stg_file_md5", 1, 1)
+    broken = F.when(tag == "0", F.concat(F.lit('{"cut off": "'), "_stg_file_md5")).when(tag == "1", F.concat(F.lit('["'), "_stg_file_md5", F.lit('"]')))
+    write_landing(raw.withColumn("raw", F.coalesce(broken, F.to_json("raw"))), f"{root}/landing")
+    accepted, kept = read_landing_split(spark, f"{root}/landing", layout="lines")
+    cols = ("country", "city", "district", "year", "month", "day")
+    good = accepted.select(*cols, F.col("_stg_file_md5").alias("text"), F.lit("accepted").alias("status"))
+    return normalize(good.unionByName(kept.select(*cols, F.col("_text").alias("text"), F.col("_reason").alias("status"))))
+
+
+def stage_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-8 / Q-11: landing files against the load history, by folder: the files of day 3 are not loaded, those of day 5 are gone."""
+    wh, root = warehouse_for(spark, sf_dir), new_table_root(spark, "staged")
+    plain = wh.raw.select("raw", *LANDING_FOLDERS)  # without an envelope, so a file's name is its own
+    write_landing(plain, f"{root}/landing")
+    loaded = read_landing(spark, f"{root}/landing", layout="lines").where("day <> 3")
+    listed = list_files(spark, f"{root}/landing").where(~F.col("relative_path").like("%/day=05/%"))
+    rows = q.reconcile_stage(listed, loaded)
+    return normalize(rows.select(*path_attrs(F.col("_stg_file_name")), "status").distinct())
+
+
+def quality_report_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q-1 / Q-11 / Q-13: the report with the stage's listing (day 3 listed under other names, day 5 gone) and the catalog's
+    objects (one of the names is missing)."""
+    wh = warehouse_for(spark, sf_dir)
+    register(spark, wh)
+    listing = wh.raw.where("day <> 5").select(F.when(F.col("day") == 3, F.replace("_stg_file_name", F.lit("/e_"), F.lit("/late_"))).otherwise(F.col("_stg_file_name")).alias("relative_path"))
+    names = ("raw_aqi", "clean_aqi_dt", "aqi_consumption_dt", "date_dim", "location_dim", "air_quality_fact", "vw_location_hierarchy", "missing_dt")
+    return normalize(q.quality_report(wh.raw, _clean_rows(wh), now=FIXED_NOW, files=listing, tables=names))
 
 
 def _page(fn):
@@ -232,7 +314,9 @@ def _page(fn):
 PAGE = {"country": "India", "city": "New Delhi", "date": "2024-01-10"}
 DISTRICT = "Santa Anita"
 
-LANDED = {"landing_roundtrip": landing_roundtrip, "landing_documents": landing_documents, "incremental_equals_batch": incremental_mart}
+LANDED = {"landing_roundtrip": landing_roundtrip, "landing_documents": landing_documents, "incremental_equals_batch": incremental_mart,
+          "refresh_on_demand": refresh_on_demand, "hourly_windows": hourly_windows, "audit_columns": audit_columns,
+          "landing_quarantine": landing_quarantine, "stage_reconciliation": stage_reconciliation, "quality_report_stage": quality_report_stage}
 PAGES = {
     "page_city_day": _page(lambda star: dash.city_day_series(star, **PAGE, pollutant="PM10")),
     "page_district_day": _page(lambda star: dash.district_day_series(star, PAGE["country"], PAGE["city"], DISTRICT, PAGE["date"], "O3")),
