@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +38,19 @@ from ._words import _BYTE, _powers, _SPACE, mix, slices
 SPREAD = 4       # one border in so many lines, on average
 MIN_LINES = 2
 _U = np.uint64
+# A text is its id with 95 bits of two hashes of it: ``mark`` (64) and the upper part of a place (31, then the number of the
+# chunk), so rows that share an id, or have none, stay apart.
 _PLACE_BITS = 32
+TEXT = ["id", "mark", "tail"]
+
+
+def _marks() -> list[Column]:
+    return [F.xxhash64("text").alias("mark"), F.hash("text").bitwiseAND(F.lit((1 << (_PLACE_BITS - 1)) - 1)).cast("long").alias("tail")]
+
+
+def _by_text(places: DataFrame) -> DataFrame:
+    """Places of each text, as one array (bounded by the text's length)."""
+    return places.groupBy("id", "mark", F.shiftrightunsigned("place", _PLACE_BITS).alias("tail")).agg(F.collect_list("place").alias("places"))
 
 
 class Lines:
@@ -108,13 +120,12 @@ def _chunk_hashes(lines: Lines, a: np.ndarray, b: np.ndarray) -> list[np.ndarray
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    mark = F.xxhash64("text").bitwiseAND(F.lit((1 << (_PLACE_BITS - 1)) - 1))
-    return docs.select(order_id(id_col).alias("id"), text.alias("text")).select("id", mark.alias("mark"), "text")
+    return docs.select(order_id(id_col).alias("id"), text.alias("text")).select("id", *_marks(), "text")
 
 
 def chunk_rows(src: DataFrame, runs: bool = False) -> DataFrame:
-    """``h1, h2, id, place`` of the chunks of two lines or more that hold a word; place: text mark and chunk number."""
-    out = schema("h1 long, h2 long, id long, place long")
+    """``h1, h2, id, mark, place`` of the chunks of two lines or more that hold a word; place: rest of the text's mark, chunk number."""
+    out = schema("h1 long, h2 long, id long, mark long, place long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,18 +138,17 @@ def chunk_rows(src: DataFrame, runs: bool = False) -> DataFrame:
                 total = np.concatenate(([0], np.cumsum(lines.has_word)))
                 words = total[b] - total[a]
                 ok = (b - a >= MIN_LINES) & (words > 0)
-                ids, mark = np.asarray(part.column(0))[row], np.asarray(part.column(1))[row]
-                place = (mark << _PLACE_BITS) | number
-                yield pa.RecordBatch.from_arrays([pa.array(x[ok]) for x in (h1.view(np.int64), h2.view(np.int64), ids, place)], names=out.names)
+                ids, mark, tail = (np.asarray(part.column(i))[row] for i in range(3))
+                place = (tail << _PLACE_BITS) | number
+                yield pa.RecordBatch.from_arrays([pa.array(x[ok]) for x in (h1.view(np.int64), h2.view(np.int64), ids, mark, place)], names=out.names)
 
     return src.mapInArrow(run, out)
 
 
 def _chunk_bytes(src: DataFrame, wanted: DataFrame, runs: bool) -> DataFrame:
-    """``h1, h2, id, place, bytes`` of the wanted chunks (of ``id, place``)."""
-    out = schema("h1 long, h2 long, id long, place long, bytes binary")
-    lists = wanted.groupBy("id", F.shiftrightunsigned("place", _PLACE_BITS).alias("mark")).agg(F.collect_list("place").alias("places"))
-    rows = src.join(lists.hint("merge"), ["id", "mark"]).select("id", "mark", "text", "places")
+    """``h1, h2, id, mark, place, bytes`` of the wanted chunks (of ``id, mark, place``)."""
+    out = schema("h1 long, h2 long, id long, mark long, place long, bytes binary")
+    rows = src.join(_by_text(wanted).hint("merge"), TEXT).select(*TEXT, "text", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,33 +157,34 @@ def _chunk_bytes(src: DataFrame, wanted: DataFrame, runs: bool) -> DataFrame:
                 a, b = _units(lines, runs)
                 h1, h2 = (x.view(np.int64) for x in _unit_hashes(lines, a, b, runs))
                 begin = np.searchsorted(a, lines.first[:-1])
-                cols: list[list] = [[], [], [], [], []]
-                for i, places in enumerate(part.column(3)):
+                cols: list[list] = [[] for _ in out.names]
+                for i, places in enumerate(part.column(4)):
                     for place in np.unique(np.asarray(places.values)):
                         c = begin[i] + (place & ((1 << _PLACE_BITS) - 1))
-                        for col, value in zip(cols, (h1[c], h2[c], part.column(0)[i].as_py(), place, data[lines.start[a[c]]:lines.end[b[c] - 1]].tobytes())):
+                        for col, value in zip(cols, (h1[c], h2[c], part.column(0)[i].as_py(), part.column(1)[i].as_py(), place, data[lines.start[a[c]]:lines.end[b[c] - 1]].tobytes())):
                             col.append(value)
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, type=pa.int64()) for c in cols[:4]), pa.array(cols[4], type=pa.binary())], names=out.names)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, type=pa.int64()) for c in cols[:-1]), pa.array(cols[-1], type=pa.binary())], names=out.names)
 
     return rows.mapInArrow(run, out)
 
 
 def repeated_chunks(src: DataFrame, runs: bool = False) -> DataFrame:
-    """``id, place`` of the chunks that occurred before, byte for byte."""
+    """``id, mark, place`` of the chunks that occurred before, byte for byte."""
+    place = ["id", "mark", "place"]
     rows = materialize(chunk_rows(src, runs), "line-chunks")
     key = ["h1", "h2"]
     again = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key)
     again = materialize(rows.join(again, key), "line-repeats")
-    held = _chunk_bytes(src, again.select("id", "place"), runs)
-    kinds = materialize(held.groupBy(*key, "bytes").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("n")), "line-bytes")
+    held = _chunk_bytes(src, again.select(*place), runs)
+    kinds = materialize(held.groupBy(*key, "bytes").agg(F.min(F.struct(*place)).alias("first"), F.count(F.lit(1)).alias("n")), "line-bytes")
     differ = kinds.groupBy(*key).agg(F.count(F.lit(1)).alias("kinds"), F.min("first").alias("first"))
-    later = (F.col("id") != F.col("first.id")) | (F.col("place") - F.col("first.place") >= (2 if runs else 1))
-    out = again.join(differ.where("kinds = 1").select(*key, "first"), key).where(later).select("id", "place")
+    later = (F.col("id") != F.col("first.id")) | (F.col("mark") != F.col("first.mark")) | (F.col("place") - F.col("first.place") >= (2 if runs else 1))
+    out = again.join(differ.where("kinds = 1").select(*key, "first"), key).where(later).select(*place)
     clash = differ.where("kinds > 1").select(*key)
     if not clash.isEmpty():  # different bytes under one 128-bit hash: settled by the bytes themselves
         both = again.join(clash, key)
-        out = out.unionByName(_chunk_bytes(src, both.select("id", "place"), runs).join(kinds.select(*key, "bytes", "first"), [*key, "bytes"])
-                              .where(later).select("id", "place"))
+        out = out.unionByName(_chunk_bytes(src, both.select(*place), runs).join(kinds.select(*key, "bytes", "first"), [*key, "bytes"])
+                              .where(later).select(*place))
     return materialize(out, "line-removals")
 
 
@@ -206,9 +217,8 @@ def _kept(src_rows: DataFrame, passed: list[str], out: T.StructType, text_out: b
 
 
 def _with_places(src: DataFrame, extra: list[str], runs: bool) -> DataFrame:
-    gone = repeated_chunks(src.select("id", "mark", "text"), runs)
-    lists = gone.groupBy("id", F.shiftrightunsigned("place", _PLACE_BITS).alias("mark")).agg(F.collect_list("place").alias("places"))
-    return src.join(lists.hint("merge"), ["id", "mark"], "left").select("id", "text", "places", *extra)
+    gone = repeated_chunks(src.select(*TEXT, "text"), runs)
+    return src.join(_by_text(gone).hint("merge"), TEXT, "left").select("id", "text", "places", *extra)
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: bool = False) -> DataFrame:
@@ -222,14 +232,13 @@ def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The documents with all their columns, repeated chunks gone from the text and ``chars_col`` brought up to date.
     Documents of which no word is left are dropped; documents that lost nothing stay as they are."""
     src = docs.select(order_id(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-                      F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col), F.col(text_col).isNull().alias("__null")).alias("rest"))
-    mark = F.xxhash64("text").bitwiseAND(F.lit((1 << (_PLACE_BITS - 1)) - 1))
-    src = src.select("id", mark.alias("mark"), "text", "rest")
+                      F.struct(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col)).alias("own"), F.col(text_col).isNull().alias("null")).alias("rest"))
+    src = src.select("id", *_marks(), "text", "rest")
     out = T.StructType([T.StructField("rest", src.schema["rest"].dataType), *schema("n_lines long, gone long, kept string").fields])
     rows = _kept(_with_places(src, ["rest"], runs), ["rest"], out, True, runs)
     rows = rows.where((F.col("gone") == 0) | F.col("kept").rlike("[^\\x20\\x09-\\x0D]"))
-    text = F.when(~F.col("rest.__null"), F.col("kept"))
+    text = F.when(~F.col("rest.null"), F.col("kept"))
     pick = {text_col: text}
     if chars_col in docs.columns:
-        pick[chars_col] = F.when(F.col("gone") > 0, F.length("kept")).otherwise(F.col(f"rest.`{chars_col}`")).cast(docs.schema[chars_col].dataType)
-    return rows.select(*(pick.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns))
+        pick[chars_col] = F.when(F.col("gone") > 0, F.length("kept")).otherwise(F.col(f"rest.own.`{chars_col}`")).cast(docs.schema[chars_col].dataType)
+    return rows.select(*(pick.get(c, F.col(f"rest.own.`{c}`")).alias(c) for c in docs.columns))

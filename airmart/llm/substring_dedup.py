@@ -40,8 +40,10 @@ GRAM = 5
 _U = np.uint64
 _Q = 0x9E6C63D0876A9A47 | 1
 _QINV = pow(_Q, -1, 1 << 64)
-# A place in a text: 31 bits of the text's hash (tells rows with equal ids apart), first window, windows - 1.
+# A text is its id with 95 bits of two hashes of it: ``mark`` (64) and the upper part of a place (31, then first window,
+# windows - 1), so rows that share an id, or have none, stay apart.
 _PLACE_BITS, _RUN_BITS = 32, 4
+TEXT = ["id", "mark", "tail"]
 
 
 def _word_prefix(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,16 +86,16 @@ def blocks(w: Words, h: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    mark = F.xxhash64("text").bitwiseAND(F.lit((1 << (_PLACE_BITS - 1)) - 1))
-    return docs.select(order_id(id_col).alias("id"), text.alias("text")).select("id", mark.alias("mark"), "text")
+    tail = F.hash("text").bitwiseAND(F.lit((1 << (_PLACE_BITS - 1)) - 1)).cast("long")
+    return docs.select(order_id(id_col).alias("id"), text.alias("text")).select("id", F.xxhash64("text").alias("mark"), tail.alias("tail"), "text")
 
 
-def _places(mark: np.ndarray, window: np.ndarray, run: np.ndarray) -> np.ndarray:
-    return (mark.astype(np.int64) << _PLACE_BITS) | (window << _RUN_BITS) | (run - 1)
+def _places(tail: np.ndarray, window: np.ndarray, run: np.ndarray) -> np.ndarray:
+    return (tail.astype(np.int64) << _PLACE_BITS) | (window << _RUN_BITS) | (run - 1)
 
 
-def _keyed(k1: np.ndarray, k2: np.ndarray, row: np.ndarray, ids: np.ndarray, place: np.ndarray) -> list[pa.Array]:
-    """One entry for each distinct (row, k1, k2): keys, id, first place, and the other places packed (mostly null)."""
+def _keyed(k1: np.ndarray, k2: np.ndarray, row: np.ndarray, ids: np.ndarray, mark: np.ndarray, place: np.ndarray) -> list[pa.Array]:
+    """One entry for each distinct (row, k1, k2): keys, id and mark, first place, and the other places packed (mostly null)."""
     order = np.lexsort((place, k2, k1, row))
     k1, k2, row, place = k1[order], k2[order], row[order], place[order]
     new = np.ones(len(row), dtype=bool)
@@ -103,45 +105,45 @@ def _keyed(k1: np.ndarray, k2: np.ndarray, row: np.ndarray, ids: np.ndarray, pla
     more: list = [None] * len(first)
     for i in np.flatnonzero(size > 1):
         more[i] = place[first[i] + 1:first[i] + size[i]].tobytes()
-    return [pa.array(k1[first].view(np.int64)), pa.array(k2[first].view(np.int64)), pa.array(ids[row[first]]), pa.array(place[first]),
-            pa.array(more, type=pa.binary())]
+    return [pa.array(k1[first].view(np.int64)), pa.array(k2[first].view(np.int64)), pa.array(ids[row[first]]), pa.array(mark[row[first]]),
+            pa.array(place[first]), pa.array(more, type=pa.binary())]
 
 
-def _unpacked(pick: np.ndarray, ids: np.ndarray, place: np.ndarray, more: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(entry, id, place) of every place of the picked entries."""
+def _unpacked(pick: np.ndarray, ids: np.ndarray, mark: np.ndarray, place: np.ndarray, more: pa.Array) -> tuple[np.ndarray, ...]:
+    """(entry, id, mark, place) of every place of the picked entries."""
     at = np.flatnonzero(pick)
     again = at[np.asarray(more.is_valid())[at]] if more.null_count < len(more) else at[:0]
     lists = [np.frombuffer(more[int(i)].as_py(), dtype=np.int64) for i in again]
     entry = np.concatenate([at, *(np.full(len(x), i) for i, x in zip(again, lists))]).astype(np.int64)
-    return entry, ids[entry], np.concatenate([place[at], *lists])
+    return entry, ids[entry], mark[entry], np.concatenate([place[at], *lists])
 
 
 def _block_rows(src: DataFrame) -> DataFrame:
-    out = schema("anchor long, content long, id long, place long, more binary")
+    out = schema("anchor long, content long, id long, mark long, place long, more binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, off in slices(batch, "text"):
                 w = Words(data, off)
                 row, anchor, content, lo, n = blocks(w, w.hashes())
-                ids, mark = np.asarray(part.column(0)), np.asarray(part.column(1))
-                yield pa.RecordBatch.from_arrays(_keyed(anchor, content, row, ids, _places(mark[row], lo - w.first[row], n)), names=out.names)
+                ids, mark, tail = (np.asarray(part.column(i)) for i in range(3))
+                yield pa.RecordBatch.from_arrays(_keyed(anchor, content, row, ids, mark, _places(tail[row], lo - w.first[row], n)), names=out.names)
 
     return src.mapInArrow(run, out)
 
 
 def _parse(rows: DataFrame) -> DataFrame:
-    """Blocks ordered by (anchor, content, id) -> ``id, place, copied``: blocks that an earlier document holds, and
+    """Blocks ordered by (anchor, content, id) -> ``id, mark, place, copied``: blocks that an earlier document holds, and
     the first holders of blocks whose anchor has other contents too (open: to be checked by window)."""
-    out = schema("id long, place long, copied boolean")
+    out = schema("id long, mark long, place long, copied boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor = content = least = None   # of the last row: its anchor, its content and that content's least id
         several = False                   # the last anchor has had two contents
-        held: list[tuple[np.ndarray, np.ndarray]] = []  # open rows of the last anchor while it has one content
+        held: list[tuple[np.ndarray, ...]] = []  # open rows of the last anchor while it has one content
         for batch in batches:
-            a, c, ids, place = (np.asarray(batch.column(i)) for i in range(4))
-            more, n = batch.column(4), len(a)
+            a, c, ids, mark, place = (np.asarray(batch.column(i)) for i in range(5))
+            more, n = batch.column(5), len(a)
             if not n:
                 continue
             new_a, new_c = np.ones(n, dtype=bool), np.ones(n, dtype=bool)
@@ -162,16 +164,16 @@ def _parse(rows: DataFrame) -> DataFrame:
             keep = copied | multi[ag]
             if held and (not goes_on or multi[0]):
                 if goes_on:
-                    for i, p in held:
-                        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(p), pa.array(np.zeros(len(i), dtype=bool))], names=out.names)
+                    for i, m, p in held:
+                        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(m), pa.array(p), pa.array(np.zeros(len(i), dtype=bool))], names=out.names)
                 held = []
             if not multi[-1]:
                 wait = ~copied & (ag == ag[-1])
                 if wait.any():
-                    held.append(_unpacked(wait, ids, place, more)[1:])
+                    held.append(_unpacked(wait, ids, mark, place, more)[1:])
             if keep.any():
-                entry, i, p = _unpacked(keep, ids, place, more)
-                yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(p), pa.array(copied[entry])], names=out.names)
+                entry, i, m, p = _unpacked(keep, ids, mark, place, more)
+                yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(m), pa.array(p), pa.array(copied[entry])], names=out.names)
             anchor, content, least, several = a[-1], c[-1], low[-1], bool(multi[-1])
 
     return rows.mapInArrow(run, out)
@@ -179,7 +181,7 @@ def _parse(rows: DataFrame) -> DataFrame:
 
 def _by_text(places: DataFrame) -> DataFrame:
     """Places of each text, as one array (bounded by the text's length)."""
-    return places.groupBy("id", F.shiftrightunsigned("place", _PLACE_BITS).alias("mark")).agg(F.collect_list("place").alias("places"))
+    return places.groupBy("id", "mark", F.shiftrightunsigned("place", _PLACE_BITS).alias("tail")).agg(F.collect_list("place").alias("places"))
 
 
 def _windows(place: np.ndarray) -> np.ndarray:
@@ -190,9 +192,9 @@ def _windows(place: np.ndarray) -> np.ndarray:
 
 
 def _open_windows(src: DataFrame, places: DataFrame) -> DataFrame:
-    """``w1, w2, id, place, more``: the windows of open blocks."""
-    out = schema("w1 long, w2 long, id long, place long, more binary")
-    rows = src.join(_by_text(places), ["id", "mark"]).select("id", "mark", "text", "places")
+    """``w1, w2, id, mark, place, more``: the windows of open blocks."""
+    out = schema("w1 long, w2 long, id long, mark long, place long, more binary")
+    rows = src.join(_by_text(places), TEXT).select(*TEXT, "text", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,26 +203,26 @@ def _open_windows(src: DataFrame, places: DataFrame) -> DataFrame:
                 h = w.hashes()
                 total, q = _word_prefix(h)
                 other, _ = _word_prefix(mix(h, 24))
-                lists = part.column(3)
+                lists = part.column(4)
                 per_row = [_windows(np.asarray(x.values)) for x in lists]
                 row = np.repeat(np.arange(len(part)), [len(x) for x in per_row])
                 local = np.concatenate(per_row) if per_row else np.zeros(0, dtype=np.int64)
                 at = local + w.first[row]
                 w1, w2 = (mix((t[at + WINDOW] - t[at]) * q[at], 25) for t in (total, other))
-                ids, mark = np.asarray(part.column(0)), np.asarray(part.column(1))
-                yield pa.RecordBatch.from_arrays(_keyed(w1, w2, row, ids, _places(mark[row], local, np.ones(len(local), dtype=np.int64))), names=out.names)
+                ids, mark, tail = (np.asarray(part.column(i)) for i in range(3))
+                yield pa.RecordBatch.from_arrays(_keyed(w1, w2, row, ids, mark, _places(tail[row], local, np.ones(len(local), dtype=np.int64))), names=out.names)
 
     return rows.mapInArrow(run, out)
 
 
 def _repeats(rows: DataFrame) -> DataFrame:
     """Windows ordered by (w1, w2, id) -> the places of those that an earlier document holds."""
-    out = schema("id long, place long")
+    out = schema("id long, mark long, place long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = least = None
         for batch in batches:
-            a, b, ids, place = (np.asarray(batch.column(i)) for i in range(4))
+            a, b, ids, mark, place = (np.asarray(batch.column(i)) for i in range(5))
             if not len(a):
                 continue
             new = np.ones(len(a), dtype=bool)
@@ -230,27 +232,27 @@ def _repeats(rows: DataFrame) -> DataFrame:
             again = ids > low
             last, least = (a[-1], b[-1]), low[-1]
             if again.any():
-                _, i, p = _unpacked(again, ids, place, batch.column(4))
-                yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(p)], names=out.names)
+                _, i, m, p = _unpacked(again, ids, mark, place, batch.column(5))
+                yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(m), pa.array(p)], names=out.names)
 
     return rows.mapInArrow(run, out)
 
 
 def copied_places(src: DataFrame) -> DataFrame:
-    """``id, place`` of all windows that an earlier document holds."""
+    """``id, mark, place`` of all windows that an earlier document holds."""
     p = width(src.sparkSession)
     ordered = _block_rows(src).repartition(p, "anchor").sortWithinPartitions("anchor", "content", "id")
     parsed = materialize(_parse(ordered), "rlz-blocks")
-    windows = _open_windows(src, parsed.where(~F.col("copied")).select("id", "place"))
+    windows = _open_windows(src, parsed.where(~F.col("copied")).drop("copied"))
     edges = materialize(_repeats(windows.repartition(p, "w1").sortWithinPartitions("w1", "w2", "id")), "rlz-edges")
-    return parsed.where("copied").select("id", "place").unionByName(edges)
+    return parsed.where("copied").drop("copied").unionByName(edges)
 
 
 def remove_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_factors: bool = False) -> DataFrame:
     """One row per document: id, ``n_words``, ``n_removed`` and ``kept_sha256`` (of the kept words joined by a space);
     with ``with_factors`` also ``text`` (the kept words) and ``factors`` (word starts and ends of removed passages)."""
     src = _source(docs, id_col, text_col)
-    rows = src.join(_by_text(copied_places(src)), ["id", "mark"], "left").select("id", "text", "places")
+    rows = src.join(_by_text(copied_places(src)), TEXT, "left").select("id", "text", "places")
     out = schema("id long, n_words long, n_removed long, kept_sha256 string" + (", text string, factors longs" if with_factors else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 """Line dedup, n-gram Jaccard join and substring dedup against brute force."""
 
+import functools
 import hashlib
 import random
 
@@ -242,3 +243,24 @@ def test_jaccard_large_bucket_by_differences(make_docs, monkeypatch):
         monkeypatch.setattr(jaccard_join, "SMALL_BUCKET", limit)
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(make_docs(docs)).collect()}
         assert got == want, limit
+
+
+def test_texts_of_equal_marks_stay_apart(spark, make_docs):
+    """Two texts without an id whose 64-bit marks agree in 31 bits, a long and a short one, keep their own places."""
+    from pyspark.sql import functions as F
+
+    tail = " ".join(f"w{k}" for k in range(20))
+    lines = "\n".join(f"line {k} of it" for k in range(5))
+    for operator, long, short in ((substring_dedup.remove_copies, tail, "x"), (functools.partial(line_dedup.line_report, runs=True), "\n" + lines, "x")):
+        n = spark.range(150_000)
+        kinds = [n.select(F.lit(kind).alias("kind"), F.concat(F.col("id").cast("string"), F.lit(f" {t}")).alias("text")) for kind, t in (("long", long), ("short", short))]
+        for mark in (F.xxhash64("text"), F.hash("text")):
+            a, b = (k.withColumn("m", mark.bitwiseAND(F.lit((1 << 31) - 1))).withColumnsRenamed({"text": f"t{i}"}).drop("kind") for i, k in enumerate(kinds))
+            pair = a.join(b, "m").first()
+            assert pair is not None
+            rows = [(1, f"other {long}"), (None, pair["t0"]), (None, pair["t1"]), (7, pair["t0"]), (7, pair["t1"])]
+            got = operator(make_docs(rows))
+            gone = {(r[0], r[1]): r[2] for r in got.collect()}
+            kept = {k: v for k, v in gone.items() if v == 0}
+            assert len(got.collect()) == 5 and len(kept) == 3 and sorted(v > 0 for v in gone.values()).count(True) == 2, (operator, gone)
+            assert all(n_units > 2 for (_, n_units), v in gone.items() if v)
