@@ -83,4 +83,4 @@ def test_identical_copies_are_duplicates(spark):
 def test_report_lists_staged_files(spark):
     raw = spark.createDataFrame([("a.json",), ("b.json",)], "_stg_file_name string")
     files = spark.createDataFrame([("a.json",), ("b.json",), ("c.json",)], "relative_path string")
-    assert _checks(q.staged_files_check(files, raw)) == {"Stage 6: Files listed": ("PASS", 3.0), "Stage 6: Files not loaded": ("WARN", 1.0)}
+    assert _checks(q.staged_files_check(files, raw)) == {"Stage 6: Files listed": ("PASS", 3.0), "Stage 6: Files not loaded": ("WARN", 1.0), "Stage 6: Loaded files gone": ("PASS", 0.0)}
