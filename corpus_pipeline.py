@@ -30,16 +30,25 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return line_dedup.clean_documents(docs)
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """The name, made longer until no column of the input has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicate texts the row with the smallest id stays. A row is judged by its own text,
     whatever else shares its id; rows equal in id and text are one, of which one stays. Texts without words are
     linked with nothing and stay, each row of them that has no id too."""
     importable(spark)
     nodes = jaccard_join.jaccard_nodes(docs, n_words=NEAR_WORDS, percent=NEAR_PERCENT)
-    first = nodes.where("id = first.id").select(F.col("id").alias("__node"), (F.col("n") == 0).alias("__bare")).distinct()
-    kept = docs.withColumn("__node", jaccard_join.node("doc_id", "text")).join(first, "__node")
-    alone = F.when(F.col("doc_id").isNull() & F.col("__bare"), F.monotonically_increasing_id())
-    return kept.withColumn("__alone", alone).dropDuplicates(["__node", "__alone"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    node, bare, alone = (_unused(docs, c) for c in ("node", "bare", "alone"))
+    first = nodes.where("id = first.id").select(F.col("id").alias(node), (F.col("n") == 0).alias(bare)).distinct()
+    kept = docs.withColumn(node, jaccard_join.node("doc_id", "text")).join(first, node)
+    single = F.when(F.col("doc_id").isNull() & F.col(bare), F.monotonically_increasing_id())
+    return kept.withColumn(alone, single).dropDuplicates([node, alone]).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
