@@ -84,7 +84,7 @@ def secret_base(text):
     return sorted(out, key=lambda x: (x[1], ("assign", "access", "hex").index(x[0])))
 
 
-def katz(docs, top=5, least=2):
+def katz(docs, top=5, least=1):
     """{doc_id: (held, tokens, known, train tokens, base score, score)} and the conditional probabilities."""
     toks = {i: words(t, True) + [None] for i, t in docs}
     train = [i for i in toks if zlib.crc32(str(i).encode()) % 7 != 2]
@@ -121,7 +121,7 @@ def katz(docs, top=5, least=2):
     def cond(h, w):
         x = b.get((h, w), 0)
         return fit[h] * d2(x) * x / of[h] if x >= least else alpha.get(h, 1.0) * prob(w)
-    for h in [*follow, "never seen"]:  # every history sums to one
+    for h in [*list(follow)[::len(follow) // 100 + 1], "never seen"]:  # histories sum to one (a hundred of them: each takes all words)
         assert abs(sum(cond(h, w) for w in c) + alpha.get(h, 1.0) * unknown - 1) < 1e-9 or not c
     base = lambda w: math.log10((c[w] + 1) / (total + types + 1))
     return {i: (i not in train, len(t), sum(w in c for w in t), total, sum(map(base, t)),

@@ -30,21 +30,32 @@ def test_katz_matches_brute_force_and_beats_unigrams(make_docs, small_docs):
 
 
 def test_katz_shards_and_batches(make_docs, small_docs):
-    """The number of shards and the batches (one for each partition here) do not show in the scores."""
-    docs = small_docs[:60] + [(500, "long text " * 3000)]
+    """The number of shards, the batches (one for each partition here) and hot histories do not show in the scores."""
+    docs = small_docs[:60] + [(500, "long text " * 3000), (501, " ".join(f"long t{i}" for i in range(900)))]
     want = brute.katz(docs)
     src = katz_lm._source(make_docs(docs).repartition(9), "doc_id", "text")
-    for shards in (1, 7):
+    for shards, hot in ((1, 0), (7, 2), (100, 5)):
         model = katz_lm.train(src, shards)
-        got = {r.id: r.score for r in katz_lm._scored(katz_lm._requests(src, shards), model, shards).collect()}
-        assert all(math.isclose(got[i], want[i][5], rel_tol=1e-9, abs_tol=1e-9) for i in want)
+        assert len(model.hot) >= hot
+        got = {r.id: r.score for r in katz_lm._scored(model).collect()}
+        assert got.keys() == want.keys() and all(math.isclose(got[i], want[i][5], rel_tol=1e-9, abs_tol=1e-9) for i in want)
+
+
+def test_katz_shards_grow_with_the_tokens(make_docs, small_docs, monkeypatch):
+    """More tokens than a shard takes: more shards, the same scores."""
+    monkeypatch.setattr(katz_lm, "SHARD_TOKENS", 500)
+    want = brute.katz(small_docs)
+    model = katz_lm.train(katz_lm._source(make_docs(small_docs), "doc_id", "text"), 2)
+    assert model.blocks.select("pid").distinct().count() > 4
+    got = {r.id: r.score for r in katz_lm._scored(model).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[i], want[i][5], rel_tol=1e-9, abs_tol=1e-9) for i in want)
 
 
 def test_katz_query_keeps_bigrams_seen_once(spark, make_docs, tmp_path):
     rnd = random.Random(11)
     docs = [(i, " ".join(f"v{rnd.randrange(40)}" for _ in range(rnd.randrange(0, 25)))) for i in range(60)]
     make_docs(docs).write.parquet(f"{tmp_path}/documents.parquet")
-    want, cut = brute.katz(docs, least=1), brute.katz(docs)
+    want, cut = brute.katz(docs), brute.katz(docs, least=2)
     got = {r.doc_id: r.score for r in registry.queries()["op5_katz_lm"](spark, str(tmp_path)).collect()}
     assert got.keys() == want.keys() and all(math.isclose(got[i], want[i][5], rel_tol=1e-9, abs_tol=1e-9) for i in want)
     assert sum(not math.isclose(got[i], cut[i][5], rel_tol=1e-9) for i in want) > len(want) / 2
