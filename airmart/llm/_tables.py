@@ -39,7 +39,8 @@ def width(spark: SparkSession) -> int:
 
 
 def order_id(column: str) -> Column:
-    """An id as a long that orders nulls last."""
+    """An id as a long that orders nulls last. The largest long stands for null, so a row with that very id counts as
+    one without an id."""
     return F.coalesce(F.col(column).cast("long"), F.lit(LAST_ID))
 
 

@@ -6,7 +6,7 @@ and 0 characters, each interpolated with the next shorter one): one of accepted
 other URLs are judged by the length-normalised difference of the two log-likelihoods against a threshold
 calibrated on a held-out fifth of the decided URLs (halfway between the means of the two classes).
 
-Size bound: characters are mapped to ``ALPHABET``, so the model has ``len(ALPHABET) ** 3`` entries (74,088)
+Size bound: characters are mapped to ``ALPHABET``, so the model has ``K ** 3`` entries (``ALPHABET`` and an edge mark: 42, so 74,088)
 whatever the input; only this table is broadcast. Counting and scoring pre-aggregate on the map side.
 
 Edge cases: a null URL or one without ``://`` has empty host and path and no rule; a null or empty URL scores

@@ -2,13 +2,15 @@
 
 import functools
 import hashlib
+import math
 import random
 
 import numpy as np
 import pytest
 
-from airmart.llm import jaccard_join, line_dedup, registry, substring_dedup
+from airmart.llm import jaccard_join, katz_lm, line_dedup, registry, substring_dedup
 from airmart.llm._components import components
+from airmart.llm._words import SLICE_BYTES
 
 from . import brute
 
@@ -264,3 +266,22 @@ def test_texts_of_equal_marks_stay_apart(spark, make_docs):
             kept = {k: v for k, v in gone.items() if v == 0}
             assert len(got.collect()) == 5 and len(kept) == 3 and sorted(v > 0 for v in gone.values()).count(True) == 2, (operator, gone)
             assert all(n_units > 2 for (_, n_units), v in gone.items() if v)
+
+
+def test_texts_larger_than_a_slice(make_docs):
+    """Texts of more than two slices of bytes, a near copy and a part of one, among small ones."""
+    rnd = random.Random(31)
+    lines = [" ".join(f"t{rnd.randrange(90_000)}" for _ in range(12)) for _ in range(32_000)]
+    large = "\n".join(lines)
+    assert len(large) > 2 * SLICE_BYTES
+    docs = [(1, "a few words"), (2, large), (3, None), (4, "\n".join(["another start", *lines[:31_000], "another end"])), (5, "\n".join(lines[20_000:20_400])), (6, "a few words")]
+    pairs = [(i, set(zip((t or "").split("\n"), (t or "").split("\n")[1:]))) for i, t in docs]
+    gone = {r.doc_id: r.n_removed_lines for r in line_dedup.line_report(make_docs(docs), runs=True).collect()}
+    assert gone == {1: 0, 2: 0, 3: 0, 4: 31_000, 5: 400, 6: 0} and len(pairs[1][1] & pairs[3][1]) == 30_999
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(make_docs(docs)).collect()}
+    assert got == brute.components(docs) and got[4][1] == 2 and got[5][1] == 5
+    rows = substring_dedup.remove_copies(make_docs(docs)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in rows} == brute.substring_dedup(docs)
+    want = brute.katz(docs)
+    scores = {r.doc_id: r for r in katz_lm.score_documents(make_docs(docs)).collect()}
+    assert all(math.isclose(scores[i].score, want[i][5], rel_tol=1e-9, abs_tol=1e-9) and scores[i].n_known == want[i][2] for i in want)
