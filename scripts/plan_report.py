@@ -8,8 +8,6 @@ each parquet scan reads.
 
 from __future__ import annotations
 
-import contextlib
-import io
 import os
 import re
 import sys
@@ -63,18 +61,6 @@ def main():
         widths = ",".join(str(len([c for c in s.split(",") if c.strip()])) for s in scans)
         print(f"| {name} | {sec:.2f} | " + " | ".join(counts) + f" | {widths} |")
     print(NOTES)
-    print("## Appendix: final plans of key queries\n")
-    for name in APPENDIX:
-        df = qs[name](spark, sf)
-        df.collect()
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain(mode="formatted")
-        text = re.sub(r"file:[^,\]]*/(airmart/[^/,\]]+)", r"<shared>/\1", buf.getvalue())
-        print(f"### {name}\n\n```\n{text.strip()}\n```\n")
-
-
-APPENDIX = ("top_cities", "dedup_latest_file", "hourly_rollup")
 
 
 NOTES = """
@@ -89,7 +75,7 @@ Seconds include collecting the result to the driver (this report's only use of `
 * Aggregations are partial + final (HashAggregate / ObjectHashAggregate for MODE); `count(DISTINCT ..)`
   adds the Expand-based second aggregation (two hash shuffles) of Spark's distinct rewrite.
 * `top_cities`, `home_metrics` and `freshness` read the latest UTC dates only: a scalar subquery over the partition
-  column prunes the date folders (see `PartitionFilters` in the appendix).
+  column prunes the date folders.
 * `BroadcastNestedLoopJoin` only joins one-row aggregates (report rows, J-5), a bounded 1 x 1 product.
 * Range shuffles come from the `ORDER BY` of report queries whose output is small (districts, dates).
 * Parquet scans read only the referenced columns (last column); the landing scan reads only the VARIANT
