@@ -81,6 +81,14 @@ def test_katz_edges(make_docs):
     assert {(r.held_out, r.n_known, r.train_tokens, r.base_score, r.score) for r in katz_lm.score_documents(held).collect()} == {(True, 0, 0, 0.0, 0.0)}
 
 
+def test_katz_orders_tokens_either_way():
+    rng = np.random.default_rng(2)
+    h, w, text = rng.integers(0, 300, 5000), rng.integers(0, 500, 5000), np.sort(rng.integers(0, 60_000, 5000)).astype(np.uint16)
+    want = sorted(zip(h.tolist(), w.tolist(), text.tolist()))
+    for bits in (9, 23, 3):  # 3: too few for these numbers
+        assert list(zip(*(x.tolist() for x in katz_lm.in_order(h, w, text, bits)))) == want
+
+
 def test_pack_round_trip():
     rng = np.random.default_rng(1)
     keys = np.sort(rng.integers(0, 1 << 64, 1000, dtype=np.uint64))
