@@ -13,13 +13,14 @@ many spare first-level partitions as its sets have such partitions by expectatio
 the few sets with more also take signatures for their empty subsets (only such sets can need them).
 
 Groups: equal sets are one class before any join. In a signature bucket every class is first compared with one
-hub (the class in most buckets), which links a large group with as many comparisons as members. Classes of one
-bucket that are in different components after that are compared directly in buckets of up to ``SMALL_BUCKET``
-members. In larger ones they are not paired off: each is described by its difference to the hub. Two classes
-differ by the difference of their differences, and as they are not both linked to the hub, a link needs a least
-number of common elements of these. So under a fixed order (elements the hub lacks first) the two must share one
-of their first few elements; only such pairs go on. Every pair is verified on the texts, after sizes and the L1
-distance of 256 bin counts (a lower bound of the difference) allowed a link.
+hub (the class in most buckets), which links a large group with as many comparisons as members; a second round takes
+the hub from the classes that the first left apart. Classes of one bucket that are in different components after that
+are not paired off: each is described by its difference to the first hub. Two classes differ by the difference of
+their differences, and as they are not both linked to the hub, a link needs a least number of common elements of these.
+Elements are ordered by the number of classes under the hub that have them, rarest first, and those of one class only
+are left out. So the two must share one of their first few elements, with enough others behind it; and the parities of
+256 bin counts must not differ in more bins than linked sets can (a lower bound of the difference). Both are tested
+while pairs are made, and every pair is then verified on the texts.
 
 Edge cases: an empty or null text has an empty set, size 0, and is linked with nothing. A text with fewer
 words than n is one n-gram. A node is an id with a text (a 64-bit hash of both): rows that share an id, or have none,
@@ -44,7 +45,7 @@ from ._words import Words, grams, mix, slices
 N_WORDS, PERCENT = 4, 85
 BAND = 1.5      # ratio of the borders of a size band; above 100 / PERCENT
 BINS = 256
-SMALL_BUCKET = 10  # members up to which a bucket is compared pair by pair; larger ones by differences to their hub
+PARITY = [f"p{i}" for i in range(BINS // 64)]  # one bit a bin: whether its count is odd
 _U = np.uint64
 
 
@@ -150,8 +151,9 @@ def _over_sets(src: DataFrame, n: int, out, make, keep: tuple[str, ...] = ()) ->
 
 
 def set_prints(src: DataFrame, n: int) -> DataFrame:
-    """``key, id, n, f1, f2, bins`` of each row: own id, node, size, 128-bit fingerprint and bin counts of its set."""
-    out = schema("key long, id long, n long, f1 long, f2 long, bins binary")
+    """``key, id, n, f1, f2, bins`` and ``PARITY`` of each row: own id, node, size, 128-bit fingerprint and bin counts of
+    its set."""
+    out = schema("key long, id long, n long, f1 long, f2 long, bins binary, " + ", ".join(f"{p} long" for p in PARITY))
 
     def make(ids, row, val):
         size = np.bincount(row, minlength=len(ids))
@@ -163,7 +165,8 @@ def set_prints(src: DataFrame, n: int) -> DataFrame:
             f.append(pa.array(total.view(np.int64)))
         bins = np.bincount(row * BINS + (mix(val, 13) % _U(BINS)).astype(np.int64), minlength=len(ids) * BINS)
         raw = np.minimum(bins, 255).astype(np.uint8).reshape(len(ids), BINS)
-        return [pa.array(ids), pa.array(size), *f, pa.array([x.tobytes() for x in raw], type=pa.binary())]
+        odd = np.packbits((bins & 1).astype(np.uint8).reshape(len(ids), BINS), axis=1).view(np.int64)
+        return [pa.array(ids), pa.array(size), *f, pa.array([x.tobytes() for x in raw], type=pa.binary()), *(pa.array(x) for x in odd.T.copy())]
 
     return _over_sets(src, n, out, make, ("key",))
 
@@ -268,49 +271,57 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return _with_texts(pairs, texts).mapInArrow(run, schema("a long, b long")).distinct()
 
 
-def _differences(spokes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """``id, hub`` -> ``hub, element, id, pos, new, d, n``: the first elements of the difference to the hub, as many as
-    any link of the class can need; ``d`` is the whole difference, ``new`` its elements that the hub lacks (they come
-    first), ``n`` the set's size."""
-    out = schema("hub long, element long, id long, pos long, new long, d long, n long")
+def _differences(spokes: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """``id, hub`` -> ``spoke, id, n, d, elements``: the difference of the set to the hub's, as hashes of hub and element;
+    ``spoke`` names the row, ``n`` is the set's size and ``d`` that of the difference."""
+    out = schema("spoke long, id long, n long, d long, elements longs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         set_of = _sets_of(n)
         for batch in batches:
             for i in range(len(batch)):
                 own, hub = set_of(batch.column(2)[i].as_py()), set_of(batch.column(3)[i].as_py())
-                new, gone = np.setdiff1d(own, hub, assume_unique=True), np.setdiff1d(hub, own, assume_unique=True)
-                d = len(new) + len(gone)
-                first = np.concatenate((new, gone))[:len(own) * (100 - percent) // percent + 1]
-                m = len(first)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(m, batch.column(1)[i].as_py())), pa.array(first.view(np.int64)), pa.array(np.full(m, batch.column(0)[i].as_py())),
-                    pa.array(np.arange(m)), pa.array(np.full(m, len(new))), pa.array(np.full(m, d)), pa.array(np.full(m, len(own)))], names=out.names)
+                ids, of = batch.column(0).slice(i, 1), np.asarray(batch.column(1).slice(i, 1)).view(np.uint64)
+                rest = mix(np.setxor1d(own, hub, assume_unique=True) + mix(of, 14), 15).view(np.int64)
+                spoke = mix(np.asarray(ids).view(np.uint64) + mix(of, 16), 17).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(spoke), ids, pa.array([len(own)]), pa.array([len(rest)]),
+                                                  pa.ListArray.from_arrays(pa.array([0, len(rest)], pa.int32()), pa.array(rest))], names=out.names)
 
     return _with_texts(spokes.select(F.col("id").alias("a"), F.col("hub").alias("b")), texts).mapInArrow(run, out)
 
 
-def _pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of small buckets (a member meets SMALL_BUCKET others at most) in different components."""
-    x, y = rows.alias("x"), rows.alias("y")
-    near = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
-                  & (F.col("x.n") * percent <= F.col("y.n") * 100) & (F.col("y.n") * percent <= F.col("x.n") * 100))
-    return near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+def _first_elements(differences: DataFrame, percent: int) -> DataFrame:
+    """``element, spoke, left`` of the elements that a link of the class can need: under the order by number of classes,
+    rarest first, ``left`` elements that another class has too remain from this one on. A class that differs by ``d``
+    from the hub meets only classes that differ by ``d - k`` or more, so a link has ``d - k`` common elements at least."""
+    rows = differences.select("spoke", F.explode("elements").alias("element"))
+    count = rows.groupBy("element").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    common = rows.join(count.hint("merge"), "element").groupBy("spoke").agg(F.sort_array(F.collect_list(F.struct("c", "element"))).alias("common"))
+    least = F.greatest(F.lit(1), F.expr(f"d - n * {100 - percent} div {percent}"))
+    ranked = differences.select("spoke", least.alias("least")).join(common.hint("merge"), "spoke")
+    first = F.expr("slice(common, 1, cast(greatest(size(common) - least + 1, 0) as int))")
+    ranked = ranked.select("spoke", F.size("common").alias("size"), F.posexplode(first).alias("pos", "e"))
+    return ranked.select(F.col("e.element").alias("element"), "spoke", (F.col("size") - F.col("pos")).cast("long").alias("left"))
 
 
 def _cross(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that a link allows by their differences to a common hub: with ``k`` the
-    most that linked sets of their sizes differ by, they share ``t = (dx + dy - k) / 2`` elements at least, so they
-    share one of the first ``d - t + 1`` of either. What ``t`` is above the elements of the hub that either misses, they
-    share of those that the hub lacks, so the same holds among these alone."""
+    most that linked sets of their sizes differ by, they share ``(dx + dy - k) / 2`` elements at least, all of them
+    from the first common one on; and ``k`` bounds the bins of different parity."""
     x, y = rows.alias("x"), rows.alias("y")
     k = F.expr(f"(x.n + y.n) * {100 - percent} div {100 + percent}")
-    over = F.col("x.d") + F.col("y.d") - k - 2 * F.least(F.col("x.d") - F.col("x.new"), F.col("y.d") - F.col("y.new"))
-    near = (x.join(y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.id") < F.col("y.id"))
-                   & (F.col("x.label") != F.col("y.label")) & (F.col("x.n") * percent <= F.col("y.n") * 100) & (F.col("y.n") * percent <= F.col("x.n") * 100)
-                   & (2 * F.col("x.pos") <= F.col("x.d") - F.col("y.d") + k) & (2 * F.col("y.pos") <= F.col("y.d") - F.col("x.d") + k)
-                   & ((over <= 0) | (2 * F.least(F.col("x.new") - F.col("x.pos"), F.col("y.new") - F.col("y.pos")) >= over))))
-    return near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    odd = sum((F.bit_count(F.col(f"x.{p}").bitwiseXOR(F.col(f"y.{p}"))) for p in PARITY), F.lit(0))
+    near = x.join(y, (F.col("x.element") == F.col("y.element")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
+                  & (2 * F.least("x.left", "y.left") >= F.col("x.d") + F.col("y.d") - k) & (odd <= k)
+                  & (F.col("x.n") * percent <= F.col("y.n") * 100) & (F.col("y.n") * percent <= F.col("x.n") * 100))
+    return near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
+def _open(starred: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows of (sig, id, deg, hub, label) but the hubs themselves, of the buckets whose other classes are in several components."""
+    rows = starred.where("id <> hub").join(label, "id", "left").select("sig", "id", "deg", "hub", F.coalesce("label", "id").alias("label"))
+    split = rows.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    return rows.join(split.select("sig").hint("merge"), "sig")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS,
@@ -336,29 +347,34 @@ def jaccard_nodes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     by_class = shared.join(copies.hint("merge"), "id", "left").select("sig", F.coalesce("rep", "id").alias("id")).distinct()
     of_sig = by_class.groupBy("sig").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("sig")
     buckets = materialize(by_class.join(of_sig.hint("merge"), "sig"), "jaccard-buckets")
-    degree = buckets.groupBy("id").agg(F.count(F.lit(1)).alias("deg"))
-    hubs = buckets.join(degree.hint("merge"), "id").groupBy("sig").agg(F.max_by("id", F.struct("deg", -F.col("id"))).alias("hub"))
+    degree = materialize(buckets.groupBy("id").agg(F.count(F.lit(1)).alias("deg")), "jaccard-candidates")
+    buckets = buckets.join(degree.hint("merge"), "id")
+    most = F.max_by("id", F.struct("deg", -F.col("id")))
+    hubs = buckets.groupBy("sig").agg(most.alias("hub"))
     starred = materialize(buckets.join(hubs.hint("merge"), "sig"), "jaccard-hubs")
-    found = materialize(buckets.select("id").distinct(), "jaccard-candidates")
+    found = degree.select("id")
     texts = materialize(src.select("id", "text").join(found.hint("merge"), "id", "left_semi").dropDuplicates(["id"]), "jaccard-texts")
-    sets = materialize(prints.select("id", "n", "bins").join(found, "id", "left_semi").dropDuplicates(["id"]), "jaccard-bins")
-    spokes = starred.where("id <> hub").select("id", "hub").distinct()
-    star = spokes.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-    star = materialize(_possible(star, sets, percent), "jaccard-star")
-    links = materialize(_verified(star, texts, n_words, percent), "jaccard-links")
+    sets = materialize(prints.select("id", "n", "bins", *PARITY).join(found, "id", "left_semi").dropDuplicates(["id"]), "jaccard-bins")
+
+    def star(spokes: DataFrame) -> DataFrame:
+        pairs = spokes.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+        return materialize(_verified(materialize(_possible(pairs, sets, percent), "jaccard-star"), texts, n_words, percent), "jaccard-links")
+
+    links = star(starred.where("id <> hub").select("id", "hub"))
+    label = components(links)
+    # A second hub, from the classes that are not in the first hub's component.
+    apart = materialize(_open(starred, label).join(label.select(F.col("id").alias("hub"), F.col("label").alias("of")), "hub", "left")
+                        .withColumn("of", F.coalesce("of", "hub")), "jaccard-apart")
+    second = apart.where("label <> of").groupBy("sig").agg(F.max_by(F.struct("id", "label"), F.struct("deg", -F.col("id"))).alias("next"))
+    links = links.unionByName(star(apart.join(second.hint("merge"), "sig").where("label <> next.label").select("id", F.col("next.id").alias("hub"))))
     label = components(links)
 
-    # What one hub could not settle: classes of a bucket in different components.
-    others = starred.where("id <> hub").join(label, "id", "left").select("sig", "id", "hub", F.coalesce("label", "id").alias("label"))
-    split = others.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi")
-    others = others.join(split.select("sig", "m").hint("merge"), "sig").join(sets.select("id", "n"), "id")
-    others = materialize(others, "jaccard-open")
-    pairs = _pairs(others.where(F.col("m") <= SMALL_BUCKET), percent)
-    large = others.where(F.col("m") > SMALL_BUCKET).select("id", "hub", "label").distinct()
-    rows = _differences(large.select("id", "hub"), texts, n_words, percent).join(large.select("id", "label").distinct(), "id")
-    pairs = pairs.unionByName(_cross(materialize(rows, "jaccard-differences"), percent)).distinct()
-    seen = spokes.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-    cross = materialize(_possible(pairs.join(seen, ["a", "b"], "left_anti"), sets, percent), "jaccard-cross")
+    # What the hubs could not settle: classes of a bucket in different components.
+    spokes = _open(starred, label).select("id", "hub").distinct()
+    differences = materialize(_differences(spokes, texts, n_words), "jaccard-differences")
+    about = differences.select("spoke", "id", "n", "d").join(sets.select("id", *PARITY), "id").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    rows = materialize(_first_elements(differences, percent).join(about.hint("merge"), "spoke"), "jaccard-elements")
+    cross = materialize(_cross(rows, percent), "jaccard-cross")
     label = components(links.unionByName(_verified(cross, texts, n_words, percent)))
     linked = label.join(member.where("id = rep").select("id", F.col("key")).distinct().hint("merge"), "id")
     lows = linked.groupBy("label").agg(F.min(F.struct("key", "id")).alias("first"))

@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from airmart.llm import jaccard_join, katz_lm, line_dedup, registry, substring_dedup
 from airmart.llm._components import components
@@ -228,29 +229,57 @@ def test_substring_edges(make_docs):
     assert substring_dedup.remove_copies(docs.limit(0)).count() == 0
 
 
-def test_jaccard_large_bucket_by_differences(make_docs, monkeypatch):
-    """The way of large buckets finds what the pairs of small ones find."""
-    rnd = random.Random(12)
-    base = [f"w{i}" for i in range(150)]
+@pytest.mark.parametrize("seed, bases", [(12, 1), (13, 1), (14, 3)])
+def test_jaccard_large_bucket_by_differences(make_docs, monkeypatch, seed, bases):
+    """Variants of a text, some too far from any hub, and texts that share half of their words: the hubs leave classes
+    apart, and the differences find every link that brute force finds."""
+    rnd = random.Random(seed)
+    shared = [f"w{i}" for i in range(150 if bases == 1 else 100)]
     docs = []
     for i in range(90):
-        w = list(base)
+        w = shared + ([f"b{i % bases} {j}" for j in range(40)] if bases > 1 else [])
         for _ in range(rnd.randrange(0, 14)):
-            at = rnd.randrange(150)
+            at = rnd.randrange(len(w))
             w[at] = f"x{rnd.randrange(40)}"
         docs.append((i, " ".join(w)))
     want = brute.components(docs)
     assert len({c for _, c in want.values()}) > 5
-    for limit in (0, 32, 1000):
-        monkeypatch.setattr(jaccard_join, "SMALL_BUCKET", limit)
-        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(make_docs(docs)).collect()}
-        assert got == want, limit
+    kept, write = {}, jaccard_join.materialize
+
+    def spy(df, label, **options):
+        kept.setdefault(label, []).append(write(df, label, **options))
+        return kept[label][-1]
+
+    monkeypatch.setattr(jaccard_join, "materialize", spy)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(make_docs(docs)).collect()}
+    assert got == want
+    assert kept["jaccard-elements"][0].count() > 0
+    apart = {(r.a, r.b) for r in kept["jaccard-cross"][0].collect()}
+    assert len(apart) < 90 * 89 // 4  # far from all pairs
+
+
+def test_first_elements_hold_every_link(spark):
+    """Differences to a hub as random sets: each pair with the common elements that a link needs meets in a first element."""
+    rnd = random.Random(3)
+    rows = []
+    near = [set(rnd.sample(range(70), rnd.randrange(25, 40))) for _ in range(6)]
+    for i in range(60):
+        elements = near[i % 6] ^ set(rnd.sample(range(80), rnd.randrange(0, 9)))
+        rows.append((i, i, rnd.randrange(100, 130), len(elements), sorted(elements)))
+    differences = spark.createDataFrame(rows, "spoke long, id long, n long, d long, elements array<long>")
+    first = jaccard_join._first_elements(differences, 85).select("element", "spoke", "left")
+    about = differences.select("spoke", "id", "n", "d", F.col("id").alias("label"), *(F.lit(0).cast("long").alias(p) for p in jaccard_join.PARITY))
+    got = {(r.a, r.b) for r in jaccard_join._cross(first.join(about, "spoke"), 85).collect()}
+    want = set()
+    for a, _, na, da, ea in rows:
+        for b, _, nb, db, eb in rows:
+            if a < b and 85 * na <= 100 * nb and 85 * nb <= 100 * na and len(set(ea) ^ set(eb)) <= (na + nb) * 15 // 185:
+                want.add((a, b))
+    assert want <= got and len(want) > 5
 
 
 def test_texts_of_equal_marks_stay_apart(spark, make_docs):
     """Two texts without an id whose 64-bit marks agree in 31 bits, a long and a short one, keep their own places."""
-    from pyspark.sql import functions as F
-
     tail = " ".join(f"w{k}" for k in range(20))
     lines = "\n".join(f"line {k} of it" for k in range(5))
     for operator, long, short in ((substring_dedup.remove_copies, tail, "x"), (functools.partial(line_dedup.line_report, runs=True), "\n" + lines, "x")):
