@@ -187,11 +187,13 @@ NOT_LOADED, GONE = "listed, not loaded", "loaded, gone"
 
 def reconcile_stage(files: DataFrame, raw: DataFrame) -> DataFrame:
     """Q-11 / S-8: files of a listing (``list_files``) against the load history, in both directions: ``_stg_file_name`` and
-    ``status`` of files that are listed and not loaded, and of loaded files that are gone."""
-    listed = files.select(F.col("relative_path").alias("_stg_file_name")).distinct()
-    loaded = raw.select("_stg_file_name").where(F.col("_stg_file_name").isNotNull()).distinct()
-    missing = listed.join(loaded, "_stg_file_name", "left_anti").withColumn("status", F.lit(NOT_LOADED))
-    return missing.unionByName(loaded.join(listed, "_stg_file_name", "left_anti").withColumn("status", F.lit(GONE)))
+    ``status`` of files that are listed and not loaded, and of loaded files that are gone. Both sides are read once, in one
+    grouping by name (combined on the map side, so a task sends each name once)."""
+    side = lambda df, name, listed: df.select(F.col(name).alias("_stg_file_name"), F.lit(listed).alias("listed"))
+    names = side(files, "relative_path", True).unionByName(side(raw.where(F.col("_stg_file_name").isNotNull()), "_stg_file_name", False))
+    found = names.groupBy("_stg_file_name").agg(F.bool_or("listed").alias("listed"), F.bool_and("listed").alias("open"))
+    status = F.when(F.col("open"), F.lit(NOT_LOADED)).when(~F.col("listed"), F.lit(GONE))
+    return found.select("_stg_file_name", status.alias("status")).where(F.col("status").isNotNull())
 
 
 def staged_files_check(files: DataFrame, raw: DataFrame) -> DataFrame:

@@ -84,3 +84,11 @@ def test_report_lists_staged_files(spark):
     raw = spark.createDataFrame([("a.json",), ("b.json",)], "_stg_file_name string")
     files = spark.createDataFrame([("a.json",), ("b.json",), ("c.json",)], "relative_path string")
     assert _checks(q.staged_files_check(files, raw)) == {"Stage 6: Files listed": ("PASS", 3.0), "Stage 6: Files not loaded": ("WARN", 1.0), "Stage 6: Loaded files gone": ("PASS", 0.0)}
+
+
+def test_reconciliation_reads_each_side_once(spark, tmp_path):
+    files = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "relative_path string")
+    spark.createDataFrame([("b",), ("b",), ("c",), (None,)], "_stg_file_name string").write.parquet(f"{tmp_path}/raw")
+    rows = q.reconcile_stage(files, spark.read.parquet(f"{tmp_path}/raw"))
+    assert {(r[0], r[1]) for r in rows.collect()} == {("a", q.NOT_LOADED), (None, q.NOT_LOADED), ("c", q.GONE)} and rows.count() == 3
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
