@@ -15,12 +15,13 @@ the few sets with more also take signatures for their empty subsets (only such s
 Groups: equal sets are one class before any join. In a signature bucket every class is first compared with one
 hub (the class in most buckets), which links a large group with as many comparisons as members; a second round takes
 the hub from the classes that the first left apart. Classes of one bucket that are in different components after that
-are not paired off: each is described by its difference to the first hub. Two classes differ by the difference of
+are paired off where a bucket has far fewer pairs of them than their sets have elements (``SMALL``). In another one
+they are not: each is described by its difference to the first hub. Two classes differ by the difference of
 their differences, and as they are not both linked to the hub, a link needs a least number of common elements of these.
 Elements are ordered by the number of classes under the hub that have them, rarest first, and those of one class only
 are left out. So the two must share one of their first few elements, with enough others behind it; and the parities of
-256 bin counts must not differ in more bins than linked sets can (a lower bound of the difference). Both are tested
-while pairs are made, and every pair is then verified on the texts.
+256 bin counts must not differ in more bins than linked sets can (a lower bound of the difference). Both (in a small
+bucket the latter) are tested while pairs are made, and every pair is then verified on the texts.
 
 Edge cases: an empty or null text has an empty set, size 0, and is linked with nothing. A text with fewer
 words than n is one n-gram. A node is an id with a text (a 64-bit hash of both): rows that share an id, or have none,
@@ -44,6 +45,7 @@ from ._words import Words, grams, mix, slices
 
 N_WORDS, PERCENT = 4, 85
 BAND = 1.5      # ratio of the borders of a size band; above 100 / PERCENT
+SMALL = 16      # a bucket of so many times fewer pairs than elements is paired off, another goes by differences to its hub
 BINS = 256
 PARITY = [f"p{i}" for i in range(BINS // 64)]  # one bit a bin: whether its count is odd
 _U = np.uint64
@@ -308,20 +310,25 @@ def _cross(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that a link allows by their differences to a common hub: with ``k`` the
     most that linked sets of their sizes differ by, they share ``(dx + dy - k) / 2`` elements at least, all of them
     from the first common one on; and ``k`` bounds the bins of different parity."""
+    d = F.col("x.d") + F.col("y.d")
+    return _pairs(rows, "element", percent, lambda k: 2 * F.least("x.left", "y.left") >= d - k)
+
+
+def _pairs(rows: DataFrame, key: str, percent: int, more=lambda k: F.lit(True)) -> DataFrame:
+    """Pairs (a, b) of different components with an equal ``key`` whose sizes and bin parities allow a link, and ``more``."""
     x, y = rows.alias("x"), rows.alias("y")
     k = F.expr(f"(x.n + y.n) * {100 - percent} div {100 + percent}")
     odd = sum((F.bit_count(F.col(f"x.{p}").bitwiseXOR(F.col(f"y.{p}"))) for p in PARITY), F.lit(0))
-    near = x.join(y, (F.col("x.element") == F.col("y.element")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
-                  & (2 * F.least("x.left", "y.left") >= F.col("x.d") + F.col("y.d") - k) & (odd <= k)
+    near = x.join(y, (F.col(f"x.{key}") == F.col(f"y.{key}")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & more(k) & (odd <= k)
                   & (F.col("x.n") * percent <= F.col("y.n") * 100) & (F.col("y.n") * percent <= F.col("x.n") * 100))
     return near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
 def _open(starred: DataFrame, label: DataFrame) -> DataFrame:
-    """Rows of (sig, id, deg, hub, label) but the hubs themselves, of the buckets whose other classes are in several components."""
+    """Rows of (sig, id, deg, hub, label) but the hubs themselves, of the buckets whose ``m`` other classes are in several components."""
     rows = starred.where("id <> hub").join(label, "id", "left").select("sig", "id", "deg", "hub", F.coalesce("label", "id").alias("label"))
-    split = rows.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    return rows.join(split.select("sig").hint("merge"), "sig")
+    split = rows.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi")
+    return rows.join(split.select("sig", "m").hint("merge"), "sig")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS,
@@ -370,11 +377,15 @@ def jaccard_nodes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     label = components(links)
 
     # What the hubs could not settle: classes of a bucket in different components.
-    spokes = _open(starred, label).select("id", "hub").distinct()
+    left = _open(starred, label).select("sig", "id", "hub", "label", "m").join(sets.select("id", "n", *PARITY).hint("merge"), "id")
+    left = materialize(left, "jaccard-open")
+    left = left.join(left.groupBy("sig").agg(F.sum("n").alias("elements")).hint("merge"), "sig").withColumn("small", F.expr(f"m * (m - 1) div 2 * {SMALL} <= elements"))
+    small = _pairs(left.where("small"), "sig", percent)
+    spokes = left.where("not small").select("id", "hub").distinct()
     differences = materialize(_differences(spokes, texts, n_words), "jaccard-differences")
     about = differences.select("spoke", "id", "n", "d").join(sets.select("id", *PARITY), "id").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
     rows = materialize(_first_elements(differences, percent).join(about.hint("merge"), "spoke"), "jaccard-elements")
-    cross = materialize(_cross(rows, percent), "jaccard-cross")
+    cross = materialize(_cross(rows, percent).union(small).distinct(), "jaccard-cross")
     label = components(links.unionByName(_verified(cross, texts, n_words, percent)))
     linked = label.join(member.where("id = rep").select("id", F.col("key")).distinct().hint("merge"), "id")
     lows = linked.groupBy("label").agg(F.min(F.struct("key", "id")).alias("first"))

@@ -258,6 +258,27 @@ def test_jaccard_large_bucket_by_differences(make_docs, monkeypatch, seed, bases
     assert len(apart) < 90 * 89 // 4  # far from all pairs
 
 
+def test_jaccard_small_buckets_need_no_differences(make_docs, monkeypatch):
+    """Variants of a text that the hubs leave apart: a bucket of few is settled pair by pair."""
+    rnd, docs = random.Random(12), []
+    for i in range(15):  # 105 pairs, 15 * 147 elements
+        w = [f"w{i}" for i in range(150)]
+        for _ in range(rnd.randrange(0, 14)):
+            w[rnd.randrange(len(w))] = f"x{rnd.randrange(40)}"
+        docs.append((i, " ".join(w)))
+    want = brute.components(docs)
+    assert len({c for _, c in want.values()}) > 2
+    kept, write = {}, jaccard_join.materialize
+
+    def spy(df, label, **options):
+        kept[label] = write(df, label, **options)
+        return kept[label]
+
+    monkeypatch.setattr(jaccard_join, "materialize", spy)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(make_docs(docs)).collect()} == want
+    assert kept["jaccard-differences"].count() == 0 and kept["jaccard-open"].count() > 0
+
+
 def test_first_elements_hold_every_link(spark):
     """Differences to a hub as random sets: each pair with the common elements that a link needs meets in a first element."""
     rnd = random.Random(3)
