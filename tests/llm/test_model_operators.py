@@ -247,3 +247,11 @@ def test_chunked_framing():
     for bad in (b"5\r\nhell", b"5\r\nhelloX\r\n0\r\n\r\n", b"zz\r\n"):
         with pytest.raises(ValueError):
             warc.dechunk(bad)
+
+
+def test_katz_batches_are_small():
+    """A task numbers and orders a batch of tokens as whole arrays, so batches bound its memory."""
+    text = " ".join(f"w{i}" for i in range(9_999))
+    batches = (pa.RecordBatch.from_pydict({"id": np.arange(10 * i, 10 * i + 10), "held": [False] * 10, "text": [text] * 10}) for i in range(12))
+    sizes = [len(tok) for _, _, tok, _, _ in katz_lm._tokens(batches)]
+    assert sum(sizes) == 1_200_000 and max(sizes) <= 600_000
