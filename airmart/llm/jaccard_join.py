@@ -16,7 +16,8 @@ Groups: equal sets are one class before any join. In a signature bucket every cl
 hub (the class in most buckets), which links a large group with as many comparisons as members; a second round takes
 the hub from the classes that the first left apart. Classes of one bucket that are in different components after that
 are paired off where a bucket has far fewer pairs of them than their sets have elements (``SMALL``). In another one
-they are not: each is described by its difference to the first hub. Two classes differ by the difference of
+they are not: each is described by its difference to the first hub, at first by a few of the elements that the hub lacks, which leave
+out classes that share too few of these with every class of another component. Two classes differ by the difference of
 their differences, and as they are not both linked to the hub, a link needs a least number of common elements of these.
 Elements are ordered by the number of classes under the hub that have them, rarest first, and those of one class only
 are left out. So the two must share one of their first few elements, with enough others behind it; and the parities of
@@ -273,25 +274,46 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return _with_texts(pairs, texts).mapInArrow(run, schema("a long, b long")).distinct()
 
 
-def _differences(spokes: DataFrame, texts: DataFrame, n: int) -> DataFrame:
-    """``id, hub`` -> ``spoke, id, n, d, elements``: the difference of the set to the hub's, as hashes of hub and element;
-    ``spoke`` names the row, ``n`` is the set's size and ``d`` that of the difference."""
-    out = schema("spoke long, id long, n long, d long, elements longs")
+def _differences(spokes: DataFrame, texts: DataFrame, n: int, percent: int = 0) -> DataFrame:
+    """``id, hub`` -> ``spoke, id, hub, n, d, elements``: the difference of the set to the hub's, as hashes of hub and
+    element; ``spoke`` names the row, ``n`` is the set's size and ``d`` that of the difference. With a ``percent``, only the lowest
+    elements that the hub lacks: twice as many, and one, as a linked set can lack (for ``_meeting``)."""
+    out = schema("spoke long, id long, hub long, n long, d long, elements longs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         set_of = _sets_of(n)
         for batch in batches:
             for i in range(len(batch)):
                 own, hub = set_of(batch.column(2)[i].as_py()), set_of(batch.column(3)[i].as_py())
-                ids, of = batch.column(0).slice(i, 1), np.asarray(batch.column(1).slice(i, 1)).view(np.uint64)
-                rest = mix(np.setxor1d(own, hub, assume_unique=True) + mix(of, 14), 15).view(np.int64)
+                ids, hubs = batch.column(0).slice(i, 1), batch.column(1).slice(i, 1)
+                of = np.asarray(hubs).view(np.uint64)
+                rest = (np.setdiff1d if percent else np.setxor1d)(own, hub, assume_unique=True)
+                rest = mix(rest + mix(of, 14), 15).view(np.int64)
                 spoke = mix(np.asarray(ids).view(np.uint64) + mix(of, 16), 17).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(spoke), ids, pa.array([len(own)]), pa.array([len(rest)]),
+                d = len(rest)
+                if percent:
+                    rest = np.sort(rest)[:2 * (len(own) * (100 - percent) // 100) + 1]
+                yield pa.RecordBatch.from_arrays([pa.array(spoke), ids, hubs, pa.array([len(own)]), pa.array([d]),
                                                   pa.ListArray.from_arrays(pa.array([0, len(rest)], pa.int32()), pa.array(rest))], names=out.names)
 
     return _with_texts(spokes.select(F.col("id").alias("a"), F.col("hub").alias("b")), texts).mapInArrow(run, out)
 
 
+def _meeting(lowest: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """``id, hub`` of the classes that can have a link, given the lowest elements that the hub lacks. Of a class of ``n``
+    elements a linked one lacks ``k = n * (1 - t)`` at most. So the lowest ``2k + 1`` of the one and of the other, each with
+    its own ``k``, have the smaller ``k + 1`` in common at least, or all but ``k`` of a class that has fewer. Elements of one
+    component only do not count; a class that differs from the hub by ``k`` of its elements or fewer always stays."""
+    rows = lowest.select("spoke", "id", "elements").join(label.hint("merge"), "id", "left")
+    rows = rows.select("spoke", F.coalesce("label", "id").alias("label"), F.explode("elements").alias("element"))
+    shared = rows.groupBy("element").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("element")
+    met = rows.select("spoke", "element").join(shared.hint("merge"), "element").groupBy("spoke").agg(F.count(F.lit(1)).alias("met"))
+    lacks = f"{100 - percent} div 100"
+    least = F.expr(f"least((n * {percent} + 99) div 100 * {lacks} + 1, size(elements) - n * {lacks})")
+    found = lowest.select("spoke", "id", "hub", least.alias("least")).join(met.hint("merge"), "spoke", "left")
+    return found.where("coalesce(met, 0) >= least").select("id", "hub")
+
+
 def _first_elements(differences: DataFrame, percent: int) -> DataFrame:
     """``element, spoke, left`` of the elements that a link of the class can need: under the order by number of classes,
     rarest first, ``left`` elements that another class has too remain from this one on. A class that differs by ``d``
@@ -381,7 +403,8 @@ def jaccard_nodes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     left = materialize(left, "jaccard-open")
     left = left.join(left.groupBy("sig").agg(F.sum("n").alias("elements")).hint("merge"), "sig").withColumn("small", F.expr(f"m * (m - 1) div 2 * {SMALL} <= elements"))
     small = _pairs(left.where("small"), "sig", percent)
-    spokes = left.where("not small").select("id", "hub").distinct()
+    lowest = materialize(_differences(left.where("not small").select("id", "hub").distinct(), texts, n_words, percent), "jaccard-lowest")
+    spokes = materialize(_meeting(lowest, label, percent), "jaccard-spokes")
     differences = materialize(_differences(spokes, texts, n_words), "jaccard-differences")
     about = differences.select("spoke", "id", "n", "d").join(sets.select("id", *PARITY), "id").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
     rows = materialize(_first_elements(differences, percent).join(about.hint("merge"), "spoke"), "jaccard-elements")

@@ -299,6 +299,56 @@ def test_first_elements_hold_every_link(spark):
     assert want <= got and len(want) > 5
 
 
+def test_jaccard_differences_without_a_near_class_are_not_written(make_docs, monkeypatch):
+    """Texts that share half of their words meet in large buckets: of those with no near text no whole difference is
+    written, and the links of the others are found."""
+    rnd, docs = random.Random(21), []
+    head = [f"w{i}" for i in range(75)]
+    for i in range(120):
+        docs.append((i, " ".join(head + [f"x{i}-{k}" for k in range(75)])))
+    for i in range(6):  # linked with one of them each
+        w = docs[10 * i][1].split(" ")
+        w[rnd.randrange(len(w))] = "y"
+        docs.append((200 + i, " ".join(w)))
+    kept, write = {}, jaccard_join.materialize
+
+    def spy(df, label, **options):
+        kept.setdefault(label, []).append(write(df, label, **options))
+        return kept[label][-1]
+
+    monkeypatch.setattr(jaccard_join, "materialize", spy)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(make_docs(docs)).collect()}
+    assert got == brute.components(docs) and sum(c != i for i, (_, c) in got.items()) == 6
+    assert sum(len(r.elements) for d in kept["jaccard-differences"] for r in d.collect()) < 120 * 100
+    assert kept["jaccard-lowest"][0].count() >= 100
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_lowest_elements_keep_every_link(spark, make_docs, percent):
+    """Of random variants of texts, each one linked with a class of another component is kept for the whole differences."""
+    make_docs([])
+    rnd, n, texts = random.Random(percent), 4, [(0, " ".join(f"w{i}" for i in range(120)))]
+    for i in range(1, 80):
+        w = [f"w{k}" for k in range(40 + 5 * (i % 3))] + [f"b{i % 7}-{k}" for k in range(60 + i % 11)]
+        for _ in range(rnd.randrange(0, 8)):
+            w[rnd.randrange(len(w))] = f"x{rnd.randrange(20)}"
+        texts.append((i, " ".join(w)))
+    texts += [(i, " ".join(f"{i}-{k}" for k in range(90))) for i in range(80, 100)]
+    sets = {i: {tuple(t.split()[k:k + n]) for k in range(len(t.split()) - n + 1)} for i, t in texts}
+    linked = {i for i in range(1, 100) for j in range(1, 100) if i != j and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])}
+    table = spark.createDataFrame(texts, "id long, text string")
+    spokes = spark.createDataFrame([(i, 0) for i in range(1, 100)], "id long, hub long")
+    lowest = jaccard_join._differences(spokes, table, n, percent).cache()
+    for r in lowest.collect():
+        k = len(sets[r.id]) * (100 - percent) // 100
+        assert r.d == len(sets[r.id] - sets[0]) and len(r.elements) == min(r.d, 2 * k + 1)
+    none = spark.createDataFrame([], "id long, label long")
+    kept = {(r.id, r.hub) for r in jaccard_join._meeting(lowest, none, percent).collect()}
+    assert {(i, 0) for i in linked} <= kept and len(linked) > 10 and not kept & {(i, 0) for i in range(80, 100)}
+    one = spark.createDataFrame([(i, 1) for i in range(100)], "id long, label long")
+    assert jaccard_join._meeting(lowest, one, percent).count() == 0
+
+
 def test_texts_of_equal_marks_stay_apart(spark, make_docs):
     """Two texts without an id whose 64-bit marks agree in 31 bits, a long and a short one, keep their own places."""
     tail = " ".join(f"w{k}" for k in range(20))
