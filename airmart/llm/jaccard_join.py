@@ -41,13 +41,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._tables import materialize, order_id, own_id, schema, width
+from ._tables import arrow_batches, materialize, order_id, own_id, schema, width
 from ._words import Words, grams, mix, slices
 
 N_WORDS, PERCENT = 4, 85
 BAND = 1.5      # ratio of the borders of a size band; above 100 / PERCENT
 SMALL = 16      # a bucket of so many times fewer pairs than elements is paired off, another goes by differences to its hub
 BINS = 256
+BATCH_BYTES = 2 << 20  # of texts on their way to Python, beside the executor's heap
 PARITY = [f"p{i}" for i in range(BINS // 64)]  # one bit a bin: whether its count is odd
 _U = np.uint64
 
@@ -303,22 +304,30 @@ def _meeting(lowest: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     """``id, hub`` of the classes that can have a link, given the lowest elements that the hub lacks. Of a class of ``n``
     elements a linked one lacks ``k = n * (1 - t)`` at most. So the lowest ``2k + 1`` of the one and of the other, each with
     its own ``k``, have the smaller ``k + 1`` in common at least, or all but ``k`` of a class that has fewer. Elements of one
-    component only do not count; a class that differs from the hub by ``k`` of its elements or fewer always stays."""
-    rows = lowest.select("spoke", "id", "elements").join(label.hint("merge"), "id", "left")
-    rows = rows.select("spoke", F.coalesce("label", "id").alias("label"), F.explode("elements").alias("element"))
+    component only do not count. And as a linked class lacks ``k`` at most of the elements that the hub lacks, too, a class
+    goes if none of another component has so few of them: a group of near copies of the hub has no use for far ones."""
+    lacks = f"{100 - percent} div 100"
+    lowest = lowest.join(label.hint("merge"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    rows = lowest.select("spoke", "label", F.explode("elements").alias("element"))
     shared = rows.groupBy("element").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("element")
     met = rows.select("spoke", "element").join(shared.hint("merge"), "element").groupBy("spoke").agg(F.count(F.lit(1)).alias("met"))
-    lacks = f"{100 - percent} div 100"
     least = F.expr(f"least((n * {percent} + 99) div 100 * {lacks} + 1, size(elements) - n * {lacks})")
-    found = lowest.select("spoke", "id", "hub", least.alias("least")).join(met.hint("merge"), "spoke", "left")
-    return found.where("coalesce(met, 0) >= least").select("id", "hub")
+    found = lowest.select("spoke", "id", "hub", "label", "d", F.expr(f"d - n * {lacks}").alias("more"), least.alias("least"))
+    found = found.join(met.hint("merge"), "spoke", "left").where("coalesce(met, 0) >= least").select("id", "hub", "label", "d", "more")
+    parts = found.groupBy("hub", "label").agg(F.min("more").alias("more"))
+    first = parts.groupBy("hub").agg(F.min(F.struct("more", "label")).alias("first"))
+    others = parts.join(first.hint("merge"), "hub").where("label <> first.label").groupBy("hub", "first").agg(F.min("more").alias("second"))
+    found = found.join(others.hint("merge"), "hub").where("d >= if(label = first.label, second, first.more)")
+    return found.select("id", "hub")
 
 
 def _first_elements(differences: DataFrame, percent: int) -> DataFrame:
     """``element, spoke, left`` of the elements that a link of the class can need: under the order by number of classes,
     rarest first, ``left`` elements that another class has too remain from this one on. A class that differs by ``d``
     from the hub meets only classes that differ by ``d - k`` or more, so a link has ``d - k`` common elements at least."""
-    rows = differences.select("spoke", F.explode("elements").alias("element"))
+    # Written by hub; dealt out by class, or a task would open all classes of a large hub.
+    dealt = differences.repartition(width(differences.sparkSession), "spoke")
+    rows = dealt.select("spoke", F.explode("elements").alias("element"))
     count = rows.groupBy("element").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     common = rows.join(count.hint("merge"), "element").groupBy("spoke").agg(F.sort_array(F.collect_list(F.struct("c", "element"))).alias("common"))
     least = F.greatest(F.lit(1), F.expr(f"d - n * {100 - percent} div {percent}"))
@@ -364,6 +373,11 @@ def jaccard_nodes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   percent: int = PERCENT) -> DataFrame:
     """One row per document: ``key`` (its id in order), ``id`` (its node), ``n`` (n-grams) and ``first``, the key and id
     of the node of smallest key that links reach."""
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        return _nodes(docs, id_col, text_col, n_words, percent)
+
+
+def _nodes(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: int) -> DataFrame:
     spark, src = docs.sparkSession, _source(docs, id_col, text_col)
     prints = materialize(set_prints(src, n_words), "jaccard-sets")
     classes = prints.where("n > 0").groupBy("f1", "f2").agg(F.min(F.struct("key", "id")).alias("rep"))

@@ -301,7 +301,7 @@ def test_first_elements_hold_every_link(spark):
 
 def test_jaccard_differences_without_a_near_class_are_not_written(make_docs, monkeypatch):
     """Texts that share half of their words meet in large buckets: of those with no near text no whole difference is
-    written, and the links of the others are found."""
+    written, and the links of the others are found. Texts go to Python in bounded batches."""
     rnd, docs = random.Random(21), []
     head = [f"w{i}" for i in range(75)]
     for i in range(120):
@@ -310,17 +310,21 @@ def test_jaccard_differences_without_a_near_class_are_not_written(make_docs, mon
         w = docs[10 * i][1].split(" ")
         w[rnd.randrange(len(w))] = "y"
         docs.append((200 + i, " ".join(w)))
-    kept, write = {}, jaccard_join.materialize
+    kept, write, sizes = {}, jaccard_join.materialize, set()
 
     def spy(df, label, **options):
+        sizes.add(df.sparkSession.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"))
         kept.setdefault(label, []).append(write(df, label, **options))
         return kept[label][-1]
 
     monkeypatch.setattr(jaccard_join, "materialize", spy)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(make_docs(docs)).collect()}
+    data = make_docs(docs)
+    before = data.sparkSession.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(data).collect()}
     assert got == brute.components(docs) and sum(c != i for i, (_, c) in got.items()) == 6
     assert sum(len(r.elements) for d in kept["jaccard-differences"] for r in d.collect()) < 120 * 100
     assert kept["jaccard-lowest"][0].count() >= 100
+    assert sizes == {str(jaccard_join.BATCH_BYTES)} and data.sparkSession.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
 
 
 @pytest.mark.parametrize("percent", [80, 85])
