@@ -423,6 +423,7 @@ def _nodes(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: i
     about = differences.select("spoke", "id", "n", "d").join(sets.select("id", *PARITY), "id").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
     rows = materialize(_first_elements(differences, percent).join(about.hint("merge"), "spoke"), "jaccard-elements")
     cross = materialize(_cross(rows, percent).union(small).distinct(), "jaccard-cross")
+    cross = materialize(_possible(cross, sets, percent), "jaccard-pairs")  # by bin counts, before texts are sent
     label = components(links.unionByName(_verified(cross, texts, n_words, percent)))
     linked = label.join(member.where("id = rep").select("id", F.col("key")).distinct().hint("merge"), "id")
     lows = linked.groupBy("label").agg(F.min(F.struct("key", "id")).alias("first"))

@@ -324,6 +324,8 @@ def test_jaccard_differences_without_a_near_class_are_not_written(make_docs, mon
     assert got == brute.components(docs) and sum(c != i for i, (_, c) in got.items()) == 6
     assert sum(len(r.elements) for d in kept["jaccard-differences"] for r in d.collect()) < 120 * 100
     assert kept["jaccard-lowest"][0].count() >= 100
+    pairs, cross = ({(r.a, r.b) for r in kept[k][0].collect()} for k in ("jaccard-pairs", "jaccard-cross"))
+    assert pairs <= cross
     assert sizes == {str(jaccard_join.BATCH_BYTES)} and data.sparkSession.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
 
 
