@@ -15,14 +15,16 @@ the few sets with more also take signatures for their empty subsets (only such s
 Groups: equal sets are one class before any join. In a signature bucket every class is first compared with one
 hub (the class in most buckets), which links a large group with as many comparisons as members; a second round takes
 the hub from the classes that the first left apart. Classes of one bucket that are in different components after that
-are paired off where a bucket has far fewer pairs of them than their sets have elements (``SMALL``). In another one
-they are not: each is described by its difference to the first hub, at first by a few of the elements that the hub lacks, which leave
+are paired off where a bucket has far fewer pairs of them than their sets have elements (``SMALL``), and those under one hub
+where these are more than ``PAIRED``: the rows of a bucket or hub meet in a task (in tiles of ``TILE``), which tests sizes, the
+parities of 256 bin counts and the counts themselves (a lower bound of the difference) and puts out only the pairs that pass. So
+what is moved is a few hundred bytes a class and bucket, however many classes there are and however long their texts.
+Under a hub of fewer classes they are not: each is described by its difference to that hub, at first by a few of the elements that the hub lacks, which leave
 out classes that share too few of these with every class of another component. Two classes differ by the difference of
 their differences, and as they are not both linked to the hub, a link needs a least number of common elements of these.
 Elements are ordered by the number of classes under the hub that have them, rarest first, and those of one class only
-are left out. So the two must share one of their first few elements, with enough others behind it; and the parities of
-256 bin counts must not differ in more bins than linked sets can (a lower bound of the difference). Both (in a small
-bucket the latter) are tested while pairs are made, and every pair is then verified on the texts.
+are left out. So the two must share one of their first few elements, with enough others behind it, which is tested with the
+parities while pairs are made. Every pair is then verified on the texts.
 
 Edge cases: an empty or null text has an empty set, size 0, and is linked with nothing. A text with fewer
 words than n is one n-gram. A node is an id with a text (a 64-bit hash of both): rows that share an id, or have none,
@@ -32,6 +34,7 @@ with an id. Other columns are not read. An empty table gives an empty one.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -46,7 +49,10 @@ from ._words import Words, grams, mix, slices
 
 N_WORDS, PERCENT = 4, 85
 BAND = 1.5      # ratio of the borders of a size band; above 100 / PERCENT
-SMALL = 16      # a bucket of so many times fewer pairs than elements is paired off, another goes by differences to its hub
+SMALL = 16      # a bucket of so many times fewer pairs than elements is paired off
+PAIRED = 128    # so are the classes under a hub of more than that many, whose differences would take disk; fewer go by them
+TILE = 8192     # classes that meet as many others at once
+ROUNDS = 2      # signatures take more disk than all else: each of so many ranges of them is made and shuffled by itself
 BINS = 256
 BATCH_BYTES = 2 << 20  # of texts on their way to Python, beside the executor's heap
 PARITY = [f"p{i}" for i in range(BINS // 64)]  # one bit a bin: whether its count is odd
@@ -175,12 +181,14 @@ def set_prints(src: DataFrame, n: int) -> DataFrame:
     return _over_sets(src, n, out, make, ("key",))
 
 
-def set_signatures(src: DataFrame, n: int, percent: int) -> DataFrame:
+def set_signatures(src: DataFrame, n: int, percent: int, part: int = 0, parts: int = 1) -> DataFrame:
+    """``sig, id`` of the signatures in the range ``part`` of ``parts`` equal ones."""
     out, band_list = schema("sig long, id long"), bands(percent)
 
     def make(ids, row, val):
         r, s = signatures(row, val, len(ids), percent, band_list)
-        return [pa.array(s.view(np.int64)), pa.array(ids[r])]
+        own = (s >> _U(32)) * _U(parts) >> _U(32) == _U(part)
+        return [pa.array(s[own].view(np.int64)), pa.array(ids[r[own]])]
 
     return _over_sets(src, n, out, make)
 
@@ -337,6 +345,74 @@ def _first_elements(differences: DataFrame, percent: int) -> DataFrame:
     return ranked.select(F.col("e.element").alias("element"), "spoke", (F.col("size") - F.col("pos")).cast("long").alias("left"))
 
 
+def _near(same: bool, x: np.ndarray, y: np.ndarray, label, n, parity, bins, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (one of ``x``, one of ``y``, both in order of ``n``) of classes whose sizes, bin parities and bin counts allow a
+    link, in different components; with ``same``, ``x`` and ``y`` are one list and a pair is given once."""
+    ny, block = n[y], 128
+    for at in range(0, len(x), block):
+        i = x[at:at + block]
+        a = int(np.searchsorted(ny * 100, n[i[0]] * percent, side="left"))
+        b = int(np.searchsorted(ny * percent, n[i[-1]] * 100, side="right"))
+        a = max(a, at + 1) if same else a
+        if a >= b:
+            continue
+        j = y[a:b]
+        nx, nj = n[i][:, None], n[j][None, :]
+        ok = (label[i][:, None] != label[j][None, :]) & (nx * percent <= nj * 100) & (nj * percent <= nx * 100)
+        if same:
+            ok &= np.arange(a, b)[None, :] > np.arange(at, at + len(i))[:, None]
+        odd = sum(np.bitwise_count(parity[i, w][:, None] ^ parity[j, w][None, :]).astype(np.uint16) for w in range(parity.shape[1]))
+        u, v = np.nonzero(ok & (odd <= (nx + nj) * (100 - percent) // (100 + percent)))
+        for c in range(0, len(u), 4096):
+            p, q = i[u[c:c + 4096]], j[v[c:c + 4096]]
+            far = np.abs(bins[p].astype(np.int16) - bins[q]).sum(axis=1, dtype=np.int64)
+            ok = far * (100 + percent) <= (n[p] + n[q]) * (100 - percent)
+            if ok.any():
+                yield p[ok], q[ok]
+
+
+def _near_pairs(rows: DataFrame, sets: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """``bucket, id, tiles`` -> pairs (a, b) of a bucket that are in different components and pass the tests of ``_near``. Classes are
+    dealt out to ``tiles`` tiles of their bucket, and each two tiles (and each with itself) meet somewhere."""
+    about = sets.join(label.hint("merge"), "id", "left").select("id", F.coalesce("label", "id").alias("label"), "n", *PARITY, "bins")
+    dealt = rows.withColumn("tile", F.expr("cast(pmod(xxhash64(id, bucket), tiles) as int)")).withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
+    dealt = dealt.select("bucket", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "id").join(about.hint("merge"), "id")
+    dealt = dealt.select("bucket", "lo", "hi", "tile", "id", "label", "n", *PARITY, "bins").repartition(width(rows.sparkSession), "bucket", "lo", "hi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []  # the parts of a group that may go on in the next batch
+
+        def met(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            _, lo, hi, tile, ids, label, n, parity, bins = parts[0] if len(parts) == 1 else (np.concatenate(c) for c in zip(*parts))
+            order, same = np.argsort(n, kind="stable"), lo[0] == hi[0]
+            x, y = (order, order) if same else (order[tile[order] == lo[0]], order[tile[order] == hi[0]])
+            found = list(_near(same, x, y, label, n, parity, bins, percent)) if len(x) and len(y) else []
+            if found:
+                a, b = (ids[np.concatenate(c)] for c in zip(*found))
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        for batch in batches:
+            m, last = len(batch), 7 + len(PARITY)
+            if not m:
+                continue
+            parity = np.stack([np.asarray(batch.column(i)).view(np.uint64) for i in range(7, last)], axis=1)
+            bins = np.frombuffer(b"".join(batch.column(last).to_pylist()), dtype=np.uint8).reshape(m, BINS)
+            columns = [*(np.asarray(batch.column(i)) for i in range(7)), parity, bins]
+            new = np.ones(m, dtype=bool)
+            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:3]])
+            first = np.flatnonzero(new)
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), m]):
+                part = [c[a:b] for c in columns]
+                if held and any(held[0][k][0] != part[k][0] for k in range(3)):
+                    yield from met(held)
+                    held = []
+                held.append(part)
+        if held:
+            yield from met(held)
+
+    return dealt.sortWithinPartitions("bucket", "lo", "hi").mapInArrow(run, schema("a long, b long")).distinct()
+
+
 def _cross(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that a link allows by their differences to a common hub: with ``k`` the
     most that linked sets of their sizes differ by, they share ``(dx + dy - k) / 2`` elements at least, all of them
@@ -383,9 +459,9 @@ def _nodes(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: i
     classes = prints.where("n > 0").groupBy("f1", "f2").agg(F.min(F.struct("key", "id")).alias("rep"))
     member = prints.select("key", "id", "n", "f1", "f2").join(classes, ["f1", "f2"], "left").withColumn("rep", F.coalesce("rep", F.struct("key", "id")))
     member = materialize(member.select("key", "id", "n", F.col("rep.id").alias("rep"), F.col("rep.key").alias("rep_key")), "jaccard-classes")
-    # Tables that grow with the input meet by merge joins at every size. The next shuffle is the one pass over all signatures.
-    rows = set_signatures(src, n_words, percent).repartition(width(spark), "sig").sortWithinPartitions("sig", "id")
-    shared = materialize(_shared(rows), "jaccard-shared")
+    # Tables that grow with the input meet by merge joins at every size. The next shuffles pass over all signatures, each once.
+    rounds = [set_signatures(src, n_words, percent, part, ROUNDS).repartition(width(spark), "sig").sortWithinPartitions("sig", "id") for part in range(ROUNDS)]
+    shared = functools.reduce(DataFrame.unionByName, [materialize(_shared(rows), "jaccard-shared") for rows in rounds])
     copies = member.where("id <> rep").select("id", "rep").distinct()
     by_class = shared.join(copies.hint("merge"), "id", "left").select("sig", F.coalesce("rep", "id").alias("id")).distinct()
     of_sig = by_class.groupBy("sig").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("sig")
@@ -416,13 +492,17 @@ def _nodes(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: i
     left = _open(starred, label).select("sig", "id", "hub", "label", "m").join(sets.select("id", "n", *PARITY).hint("merge"), "id")
     left = materialize(left, "jaccard-open")
     left = left.join(left.groupBy("sig").agg(F.sum("n").alias("elements")).hint("merge"), "sig").withColumn("small", F.expr(f"m * (m - 1) div 2 * {SMALL} <= elements"))
-    small = _pairs(left.where("small"), "sig", percent)
-    lowest = materialize(_differences(left.where("not small").select("id", "hub").distinct(), texts, n_words, percent), "jaccard-lowest")
+    under = left.where("not small").select("id", "hub").distinct()
+    under = under.join(under.groupBy("hub").agg(F.count(F.lit(1)).alias("m")).hint("merge"), "hub")
+    paired = left.where("small").select(F.col("sig").alias("bucket"), "id", F.lit(1).alias("tiles"))
+    paired = paired.union(under.where(f"m > {PAIRED}").select("hub", "id", F.expr(f"cast((m + {TILE} - 1) div {TILE} as int)")))
+    near = materialize(_near_pairs(paired, sets, label, percent), "jaccard-near")
+    lowest = materialize(_differences(under.where(f"m <= {PAIRED}").select("id", "hub"), texts, n_words, percent), "jaccard-lowest")
     spokes = materialize(_meeting(lowest, label, percent), "jaccard-spokes")
     differences = materialize(_differences(spokes, texts, n_words), "jaccard-differences")
     about = differences.select("spoke", "id", "n", "d").join(sets.select("id", *PARITY), "id").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
     rows = materialize(_first_elements(differences, percent).join(about.hint("merge"), "spoke"), "jaccard-elements")
-    cross = materialize(_cross(rows, percent).union(small).distinct(), "jaccard-cross")
+    cross = materialize(_cross(rows, percent).union(near).distinct(), "jaccard-cross")
     cross = materialize(_possible(cross, sets, percent), "jaccard-pairs")  # by bin counts, before texts are sent
     label = components(links.unionByName(_verified(cross, texts, n_words, percent)))
     linked = label.join(member.where("id = rep").select("id", F.col("key")).distinct().hint("merge"), "id")

@@ -391,3 +391,57 @@ def test_texts_larger_than_a_slice(make_docs):
     want = brute.katz(docs)
     scores = {r.doc_id: r for r in katz_lm.score_documents(make_docs(docs)).collect()}
     assert all(math.isclose(scores[i].score, want[i][5], rel_tol=1e-9, abs_tol=1e-9) and scores[i].n_known == want[i][2] for i in want)
+
+
+def test_near_pairs_are_those_of_the_bounds(spark, monkeypatch):
+    """Pairs of a bucket by sizes, parities and bin counts are those of all pairs tested one by one, whatever the tiles; classes of
+    one component and of other buckets do not meet."""
+    rng, rnd = np.random.default_rng(8), random.Random(8)
+    base = [rng.poisson(1.2, jaccard_join.BINS) for _ in range(4)]
+    sets, label = [], {}
+    for i in range(90):
+        bins = np.maximum(base[i % 4] + (rng.random(jaccard_join.BINS) < rnd.random() / 4) * rng.choice([-1, 1], jaccard_join.BINS), 0)
+        odd = np.packbits((bins & 1).astype(np.uint8)).view(np.int64).tolist()
+        sets.append((i, int(bins.sum()), *odd, bytearray(bins.astype(np.uint8).tobytes())))
+        if i % 3 == 0:
+            label[i] = i % 5
+    fields = "id long, n long, " + ", ".join(f"{p} long" for p in jaccard_join.PARITY) + ", bins binary"
+    table, labels = spark.createDataFrame(sets, fields), spark.createDataFrame(list(label.items()), "id long, label long")
+    member = [(7, i) for i in range(0, 90)] + [(-3, i) for i in range(40, 60)]
+    want = set()
+    for a, x in enumerate(sets):
+        for y in sets[a + 1:]:
+            far = sum(abs(p - q) for p, q in zip(x[-1], y[-1]))
+            if label.get(x[0], x[0]) != label.get(y[0], y[0]) and 80 * x[1] <= 100 * y[1] and 80 * y[1] <= 100 * x[1] and far * 180 <= (x[1] + y[1]) * 20:
+                want.add((x[0], y[0]))
+    assert 50 < len(want) < 2000
+    for tiles in (1, 3):
+        rows = spark.createDataFrame([(b, i, tiles) for b, i in member], "bucket long, id long, tiles int")
+        assert {(r.a, r.b) for r in jaccard_join._near_pairs(rows, table, labels, 80).collect()} == want
+    alone = spark.createDataFrame([(i, i, 1) for i in range(90)], "bucket long, id long, tiles int")
+    assert jaccard_join._near_pairs(alone, table, labels, 80).count() == 0
+
+
+def test_jaccard_many_classes_under_a_hub_need_no_differences(make_docs, monkeypatch):
+    """More classes under a hub than ``PAIRED``: no difference is written, pairs come from the sketches, and the links are those of
+    brute force; signatures come in rounds."""
+    rnd, docs = random.Random(31), []
+    head = [f"w{i}" for i in range(60)]
+    for i in range(170):
+        docs.append((i, " ".join(head + [f"x{i}-{k}" for k in range(60)])))
+    for i in range(8):
+        w = docs[20 * i][1].split(" ")
+        w[rnd.randrange(len(w))] = "y"
+        docs.append((200 + i, " ".join(w)))
+    kept, write = {}, jaccard_join.materialize
+
+    def spy(df, label, **options):
+        kept.setdefault(label, []).append(write(df, label, **options))
+        return kept[label][-1]
+
+    monkeypatch.setattr(jaccard_join, "materialize", spy)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(make_docs(docs)).collect()}
+    assert got == brute.components(docs) and sum(c != i for i, (_, c) in got.items()) == 8
+    under = kept["jaccard-open"][0].groupBy("hub").agg(F.countDistinct("id").alias("m")).where("m > 128")
+    assert under.count() > 0 and kept["jaccard-lowest"][0].join(under, "hub").count() == 0
+    assert len(kept["jaccard-shared"]) == jaccard_join.ROUNDS and all(t.count() for t in kept["jaccard-shared"])
