@@ -489,9 +489,9 @@ def _nodes(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: i
     label = components(links)
 
     # What the hubs could not settle: classes of a bucket in different components.
-    left = _open(starred, label).select("sig", "id", "hub", "label", "m").join(sets.select("id", "n", *PARITY).hint("merge"), "id")
-    left = materialize(left, "jaccard-open")
-    left = left.join(left.groupBy("sig").agg(F.sum("n").alias("elements")).hint("merge"), "sig").withColumn("small", F.expr(f"m * (m - 1) div 2 * {SMALL} <= elements"))
+    left = _open(starred, label).select("sig", "id", "hub", "m").join(sets.select("id", "n").hint("merge"), "id")
+    left = left.join(left.groupBy("sig").agg(F.sum("n").alias("elements")).hint("merge"), "sig")
+    left = materialize(left.select("sig", "id", "hub", F.expr(f"m * (m - 1) div 2 * {SMALL} <= elements").alias("small")), "jaccard-open")
     under = left.where("not small").select("id", "hub").distinct()
     under = under.join(under.groupBy("hub").agg(F.count(F.lit(1)).alias("m")).hint("merge"), "hub")
     paired = left.where("small").select(F.col("sig").alias("bucket"), "id", F.lit(1).alias("tiles"))
