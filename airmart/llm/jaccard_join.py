@@ -52,7 +52,6 @@ BAND = 1.5      # ratio of the borders of a size band; above 100 / PERCENT
 SMALL = 16      # a bucket of so many times fewer pairs than elements is paired off
 PAIRED = 128    # so are the classes under a hub of more than that many, whose differences would take disk; fewer go by them
 TILE = 8192     # classes that meet as many others at once
-ROUNDS = 2      # signatures take more disk than all else: each of so many ranges of them is made and shuffled by itself
 BINS = 256
 BATCH_BYTES = 2 << 20  # of texts on their way to Python, beside the executor's heap
 PARITY = [f"p{i}" for i in range(BINS // 64)]  # one bit a bin: whether its count is odd
@@ -446,21 +445,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def jaccard_nodes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = N_WORDS,
-                  percent: int = PERCENT) -> DataFrame:
+                  percent: int = PERCENT, rounds: int = 1) -> DataFrame:
     """One row per document: ``key`` (its id in order), ``id`` (its node), ``n`` (n-grams) and ``first``, the key and id
-    of the node of smallest key that links reach."""
+    of the node of smallest key that links reach. Each of ``rounds`` ranges of
+    the signatures is made and shuffled by itself: less disk for more time."""
     with arrow_batches(docs.sparkSession, BATCH_BYTES):
-        return _nodes(docs, id_col, text_col, n_words, percent)
+        return _nodes(docs, id_col, text_col, n_words, percent, rounds)
 
 
-def _nodes(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: int) -> DataFrame:
+def _nodes(docs: DataFrame, id_col: str, text_col: str, n_words: int, percent: int, parts: int) -> DataFrame:
     spark, src = docs.sparkSession, _source(docs, id_col, text_col)
     prints = materialize(set_prints(src, n_words), "jaccard-sets")
     classes = prints.where("n > 0").groupBy("f1", "f2").agg(F.min(F.struct("key", "id")).alias("rep"))
     member = prints.select("key", "id", "n", "f1", "f2").join(classes, ["f1", "f2"], "left").withColumn("rep", F.coalesce("rep", F.struct("key", "id")))
     member = materialize(member.select("key", "id", "n", F.col("rep.id").alias("rep"), F.col("rep.key").alias("rep_key")), "jaccard-classes")
     # Tables that grow with the input meet by merge joins at every size. The next shuffles pass over all signatures, each once.
-    rounds = [set_signatures(src, n_words, percent, part, ROUNDS).repartition(width(spark), "sig").sortWithinPartitions("sig", "id") for part in range(ROUNDS)]
+    rounds = [set_signatures(src, n_words, percent, part, parts).repartition(width(spark), "sig").sortWithinPartitions("sig", "id") for part in range(parts)]
     shared = functools.reduce(DataFrame.unionByName, [materialize(_shared(rows), "jaccard-shared") for rows in rounds])
     copies = member.where("id <> rep").select("id", "rep").distinct()
     by_class = shared.join(copies.hint("merge"), "id", "left").select("sig", F.coalesce("rep", "id").alias("id")).distinct()

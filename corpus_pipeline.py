@@ -16,6 +16,7 @@ from airmart.llm._tables import materialize, table
 from airmart.llm.registry import importable
 
 NEAR_WORDS, NEAR_PERCENT = 5, 80
+NEAR_ROUNDS = 2  # at this similarity signatures take three times the disk of the documents, if shuffled at once
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +44,7 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     whatever else shares its id; rows equal in id and text are one, of which one stays. Texts without words are
     linked with nothing and stay, each row of them that has no id too."""
     importable(spark)
-    nodes = jaccard_join.jaccard_nodes(docs, n_words=NEAR_WORDS, percent=NEAR_PERCENT)
+    nodes = jaccard_join.jaccard_nodes(docs, n_words=NEAR_WORDS, percent=NEAR_PERCENT, rounds=NEAR_ROUNDS)
     node, bare, alone = (_unused(docs, c) for c in ("node", "bare", "alone"))
     first = nodes.where("id = first.id").select(F.col("id").alias(node), (F.col("n") == 0).alias(bare)).distinct()
     kept = docs.withColumn(node, jaccard_join.node("doc_id", "text")).join(first, node)
